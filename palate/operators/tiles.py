@@ -176,8 +176,8 @@ def vector_top_k(
         F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("__lb"),
         block_of("id", item_blocks).alias("__rb"),
         F.col("id").cast("bigint").alias("id"),
-        "features",
-        *tags,
+        # Both sides may stem from one table; aliases keep their columns apart.
+        *[F.col(c).alias(c) for c in ("features", *tags)],
     )
     found = (
         left.groupBy("__lb", "__rb")

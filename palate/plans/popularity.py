@@ -222,8 +222,9 @@ def title_lookup(t):
 
 
 HIDDEN = """, hidden AS (
-        SELECT movieId, title FROM movies WHERE movieId % 3 <> 0 AND movieId % 5 <> 0),
-    spare AS (SELECT movieId, title FROM movies WHERE movieId % 5 <> 0),
+        SELECT movieId, title FROM movies
+        WHERE genres NOT LIKE 'SMALL|%' AND genres NOT LIKE 'ECONOMY|%' AND genres NOT LIKE '%|Brand#7'),
+    spare AS (SELECT movieId, title FROM movies WHERE genres NOT LIKE '%|Brand#7'),
     raw AS (
         SELECT userId, movieId, h.title AS title FROM ratings LEFT JOIN hidden h USING (movieId)),
     filled AS (
@@ -232,10 +233,12 @@ HIDDEN = """, hidden AS (
 
 
 def _partly_titled(t):
-    """Ratings against a catalogue that lacks every third title; another lacks every fifth."""
-    movies = t.movies().select("movieId", "title")
-    spare = movies.where(F.col("movieId") % 5 != 0)
-    hidden = spare.where(F.col("movieId") % 3 != 0)
+    """Ratings against a catalogue that lacks two types of item; both it and the spare one lack
+    a brand."""
+    spare = t.movies().where(~F.col("genres").endswith("|Brand#7"))
+    small = F.col("genres").startswith("SMALL|") | F.col("genres").startswith("ECONOMY|")
+    hidden = spare.where(~small).select("movieId", "title")
+    spare = spare.select("movieId", "title")
     raw = catalog.with_titles(t.ratings().select("userId", "movieId"), hidden)
     return raw, catalog.fill_titles(raw, spare)
 

@@ -8,17 +8,15 @@ from palate.operators import ratings as rt
 from palate.operators.favorites import recommend_for_favorites, recommend_near_items
 from palate.operators.ranking import rounded
 from palate.operators.weighting import weigh
-from palate.plans.registry import query, views
+from palate.plans.registry import VIEWS, query, views
 
 TOP = 20
 
-#: Every supplier is a newcomer whose part numbers are the liked items: one seed per line item
-#: sold in the first days of the calendar.  Repeats and unknown ids occur on purpose.
+#: Every customer with purchases is a newcomer who likes what they bought (repeats count) plus
+#: one item nobody rated; people with errors but no purchase know only that item.
 SEEDS_SQL = """, seeds AS (
-        SELECT l_suppkey % 10 AS queryId, l_partkey AS movieId FROM lineitem
-        WHERE l_shipdate < TIMESTAMP '1995-01-04'
-        UNION ALL SELECT DISTINCT l_suppkey % 10, -1 FROM lineitem
-        UNION ALL SELECT 100, -1),
+        SELECT userId AS queryId, movieId FROM purchases
+        UNION ALL SELECT DISTINCT userId, -1 FROM evts WHERE eventType = 'error'),
     seed_entries AS (
         SELECT DISTINCT seeds.movieId AS seedId, userId, rating
         FROM seeds JOIN entries USING (movieId)),
@@ -53,20 +51,18 @@ SHRUNK = "sims.cosine * overlap / (overlap + CAST(100 AS DOUBLE))"
 
 
 def seeds(t):
-    lines = t.table("lineitem")
-    asked = (F.col("l_suppkey") % 10).alias("queryId")
-    early = lines.where(F.col("l_shipdate") < F.lit("1995-01-04").cast("timestamp_ntz"))
-    unknown = lines.select(asked).distinct().withColumn("movieId", F.lit(-1).cast("bigint"))
-    nobody = t.spark.createDataFrame([(100, -1)], "queryId bigint, movieId bigint")
-    return early.select(asked, F.col("l_partkey").alias("movieId")).unionByName(unknown).unionByName(nobody)
+    bought = t.purchases().select(F.col("userId").alias("queryId"), "movieId")
+    unlucky = t.events().where(F.col("eventType") == "error")
+    unknown = unlucky.select(F.col("userId").alias("queryId")).distinct()
+    return bought.unionByName(unknown.withColumn("movieId", F.lit(-1).cast("bigint")))
 
 
-@query("coldstart_cosine", views("norms") + SEEDS_SQL + scored_seeds(PLAIN) + BEST_SQL)
+@query("coldstart_cosine", views("norms", "purchases") + SEEDS_SQL + scored_seeds(PLAIN) + BEST_SQL)
 def coldstart_cosine(t):
     return coldstart.recommend_for_seeds(t.ratings(), seeds(t), k=TOP)
 
 
-@query("coldstart_shrunk", views("norms") + SEEDS_SQL + scored_seeds(SHRUNK) + BEST_SQL)
+@query("coldstart_shrunk", views("norms", "purchases") + SEEDS_SQL + scored_seeds(SHRUNK) + BEST_SQL)
 def coldstart_shrunk(t):
     return coldstart.recommend_for_seeds(t.ratings(), seeds(t), k=TOP, shrink=coldstart.SHRINK)
 
@@ -85,7 +81,11 @@ def weighted_entries(weight: str) -> str:
         FROM plain JOIN users USING (userId) JOIN lens USING (movieId)),
     entries AS (SELECT userId, movieId, {weight} AS rating FROM weighted),
     """
-        + views("norms").split("AS rating FROM ratings GROUP BY userId, movieId),\n")[1]
+        + VIEWS["norms"]
+        + ",\n"
+        + VIEWS["evts"]
+        + ",\n"
+        + VIEWS["purchases"]
     )
 
 
@@ -106,21 +106,23 @@ def coldstart_bm25(t):
 
 @query(
     "coldstart_excluding",
-    views("norms")
-    + SEEDS_SQL.replace(" seeds AS (", " liked AS (").replace("FROM seeds", "FROM liked").replace(
-        "seeds.movieId AS seedId", "liked.movieId AS seedId"
+    views("norms", "purchases")
+    + SEEDS_SQL.replace("seeds AS (", "all_seeds AS (", 1).replace(
+        "\n    seed_entries",
+        """
+    seeds AS (SELECT queryId, min(movieId) AS movieId FROM all_seeds
+              WHERE movieId >= 0 GROUP BY queryId),
+    seed_entries""",
+        1,
     )
-    + """, seeds AS (SELECT * FROM liked WHERE queryId IN (0, 1) AND movieId < 0),
-    one AS (
-        SELECT queryId, min(movieId) AS movieId FROM liked WHERE movieId >= 0 GROUP BY queryId),
-    barred AS (
-        SELECT queryId, movieId FROM one
-        UNION SELECT queryId, r.movieId FROM one, (SELECT DISTINCT movieId FROM ratings) r
-        WHERE r.movieId % 7 = queryId % 7 AND r.movieId < 1000000),
+    + """, barred AS (
+        SELECT queryId, movieId FROM seeds
+        UNION SELECT userId, movieId FROM evts WHERE eventType = 'view'),
+    rated AS (SELECT DISTINCT movieId FROM ratings),
     scored AS (
         SELECT queryId, r.movieId, round(coalesce(sum(cosine), 0), 6) AS score
-        FROM one CROSS JOIN (SELECT DISTINCT movieId FROM ratings) r
-        LEFT JOIN sims ON sims.seedId = one.movieId AND sims.movieId = r.movieId
+        FROM seeds CROSS JOIN rated r
+        LEFT JOIN sims ON sims.seedId = seeds.movieId AND sims.movieId = r.movieId
         GROUP BY queryId, r.movieId),
     best AS (
         SELECT *, CAST(row_number() OVER (PARTITION BY queryId ORDER BY score DESC, movieId)
@@ -128,21 +130,21 @@ def coldstart_bm25(t):
         FROM scored WHERE NOT EXISTS (
             SELECT 1 FROM barred
             WHERE barred.queryId = scored.queryId AND barred.movieId = scored.movieId))
-    SELECT queryId, movieId, score, rank FROM best WHERE rank <= 1000""",
+    SELECT queryId, movieId, score, rank FROM best WHERE rank <= 1500""",
 )
 def coldstart_excluding(t):
-    """One seed each, a seventh of the catalogue barred, lists long enough to need zeros."""
+    """One liked item each, viewed items barred, lists long enough to need zeros."""
     one = seeds(t).where(F.col("movieId") >= 0).groupBy("queryId").agg(F.min("movieId").alias("movieId"))
-    items = t.ratings().select("movieId").distinct().withColumn("residue", F.col("movieId") % 7)
-    barred = one.select("queryId", (F.col("queryId") % 7).alias("residue")).join(items, "residue")
+    viewed = t.events().where(F.col("eventType") == "view")
+    viewed = viewed.select(F.col("userId").alias("queryId"), "movieId")
     return coldstart.recommend_for_seeds(
-        t.ratings(), one, k=1000, exclude=barred.select("queryId", "movieId"), include_zero=True
+        t.ratings(), one, k=1500, exclude=viewed, include_zero=True
     )
 
 
 @query(
     "coldstart_explain",
-    views("norms")
+    views("norms", "purchases")
     + SEEDS_SQL
     + scored_seeds(PLAIN)
     + f""", parts AS (
@@ -254,7 +256,7 @@ def lsh_radius_pairs(t):
 
 
 FAVORITES_SQL = """, favs AS (
-        SELECT DISTINCT label AS queryId, vec_id AS movieId FROM embeddings WHERE vec_id % 9 = label % 9),
+        SELECT DISTINCT userId AS queryId, movieId FROM purchases),
     scored AS (
         SELECT f.queryId, b.id AS movieId, round(max({cosine}), 6) AS score
         FROM favs f JOIN factors a ON a.id = f.movieId CROSS JOIN factors b
@@ -267,15 +269,14 @@ FAVORITES_SQL = """, favs AS (
 
 
 def favorites(t):
-    """Each label is a query; every ninth vector is one of its favourites."""
-    table = t.table("embeddings").where(F.col("vec_id") % 9 == F.col("label") % 9)
-    return table.select(F.col("label").cast("bigint").alias("queryId"), F.col("vec_id").alias("movieId"))
+    """What each customer bought."""
+    return t.purchases().select(F.col("userId").alias("queryId"), "movieId")
 
 
 @query(
     "favorites_max_cosine",
-    views("factors") + FAVORITES_SQL
-    + " SELECT CAST(queryId AS BIGINT) AS queryId, movieId, score, rank FROM best WHERE rank <= 10",
+    views("factors", "purchases") + FAVORITES_SQL
+    + " SELECT queryId, movieId, score, rank FROM best WHERE rank <= 10",
 )
 def favorites_max_cosine(t):
     return recommend_near_items(favorites(t), t.factors(), k=10)
@@ -337,7 +338,7 @@ def hybrid_score(t):
 
 @query(
     "mmr_rerank",
-    views("factors")
+    views("factors", "purchases")
     + FAVORITES_SQL
     + """, pool AS (SELECT queryId, movieId, score FROM best WHERE rank <= 40),
     near AS (
@@ -370,7 +371,7 @@ def hybrid_score(t):
             for n in range(2, 9)
         ]
     )
-    + " SELECT CAST(queryId AS BIGINT) AS queryId, movieId, score, mmr, CAST(rank AS INTEGER) AS rank FROM pick8",
+    + " SELECT queryId, movieId, score, mmr, CAST(rank AS INTEGER) AS rank FROM pick8",
 )
 def mmr_rerank(t):
     pool = recommend_near_items(favorites(t), t.factors(), k=40)
