@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from palate.functions.vectors import radius_for_cosine, with_unit_vector
 from palate.operators.ranking import BROADCAST_ROWS, SCORE_DIGITS, rounded, top_k_per
-from palate.operators.ratings import item_norms, resolve_duplicates
-from palate.operators.tiles import TilePlan, co_rating_candidates, vector_top_k
-from palate.operators.weighting import weigh
+from palate.operators.ratings import item_norms
+from palate.operators.tiles import Cut, co_rating_candidates, vector_top_k
+from palate.operators.weighting import rating_entries
 
 #: Item count up to which exact factor neighbours are the automatic choice.
 EXACT_ITEMS = 20_000
@@ -35,15 +35,15 @@ def rating_neighbors(
     dup_policy: str = "sum",
     shrink: float | None = None,
     weighting: str = "none",
-    plan: TilePlan | None = None,
+    plan: Cut | None = None,
 ) -> DataFrame:
     """Best ``top_n`` neighbours of every item by cosine of rating vectors."""
-    entries = weigh(resolve_duplicates(ratings, dup_policy), weighting)
+    entries = rating_entries(ratings, dup_policy, weighting)
     return entry_neighbors(entries, top_n, shrink, plan)
 
 
 def entry_neighbors(
-    entries: DataFrame, top_n: int, shrink: float | None = None, plan: TilePlan | None = None
+    entries: DataFrame, top_n: int, shrink: float | None = None, plan: Cut | None = None
 ) -> DataFrame:
     """:func:`rating_neighbors` over entries that are already unique and weighted."""
     pairs = co_rating_candidates(entries, top_n, shrink, plan)
@@ -72,7 +72,7 @@ def factor_neighbors(factors: DataFrame, top_n: int = TOP_N, **blocks) -> DataFr
     )
 
 
-def _bucket_tile(top_n: int, radius: float):
+def _bucket_tile(top_n: int | None, radius: float):
     schema = pa.schema([("movieId", pa.int64()), ("neighborId", pa.int64()), ("similarity", pa.float64())])
 
     def pairs_within(table: pa.Table) -> pa.Table:
@@ -100,6 +100,8 @@ def _bucket_tile(top_n: int, radius: float):
         if not (side == 1).any():
             one, two = np.concatenate([one, two]), np.concatenate([two, one])
             near = np.concatenate([near, near])
+        if top_n is None:
+            return pa.Table.from_arrays([pa.array(x) for x in (one, two, near)], schema=schema)
         order = np.lexsort((two, -np.round(near, SCORE_DIGITS), one))
         place = np.arange(order.size) - np.searchsorted(one[order], one[order])
         best = order[place < top_n]
@@ -108,37 +110,15 @@ def _bucket_tile(top_n: int, radius: float):
     return pairs_within
 
 
-def lsh_neighbors(
-    factors: DataFrame,
-    top_n: int = TOP_N,
-    bucket_length: float = BUCKET_LENGTH,
-    num_hash_tables: int = HASH_TABLES,
-    cos_threshold: float = COS_THRESHOLD,
-    seed: int = 42,
-    bucket_rows: int = 2048,
+def _near_in_buckets(
+    members: DataFrame, radius: float, top_n: int | None, bucket_rows: int
 ) -> DataFrame:
-    """Approximate neighbours with cosine above ``cos_threshold``: pairs that share a bucket in
-    one of the hash tables.
+    """``movieId, neighborId, similarity`` of unit vectors (``table, bucket, id, unit``) that share
+    a bucket and lie within ``radius``; each task keeps the best ``top_n`` per item (None: all).
 
-    The hashing is Spark's random projection LSH.  Its own similarity join would send every pair
-    of a bucket through the shuffle, and one bucket may hold a third of all vectors; so a bucket
-    of more than ``bucket_rows`` vectors is cut into parts, each pair of parts is one group, and
-    a group returns only the best ``top_n`` partners of its members.
+    A bucket of more than ``bucket_rows`` members is cut into parts and each pair of parts is a
+    group of its own, so no group is larger than two parts however full one bucket is.
     """
-    unit = with_unit_vector(factors.where(F.col("features").isNotNull()), "features", "unit_vec")
-    lsh = BucketedRandomProjectionLSH(
-        inputCol="unit_vec",
-        outputCol="hashes",
-        bucketLength=bucket_length,
-        numHashTables=num_hash_tables,
-        seed=seed,
-    )
-    hashed = lsh.fit(unit).transform(unit)
-    members = hashed.select(
-        F.col("id").cast("bigint").alias("id"),
-        vector_to_array("unit_vec").alias("unit"),
-        F.posexplode("hashes").alias("table", "hash"),
-    ).withColumn("bucket", vector_to_array("hash")[0].cast("bigint")).drop("hash")
     sizes = members.groupBy("table", "bucket").agg(F.count(F.lit(1)).alias("__size"))
     large = sizes.where(F.col("__size") > bucket_rows).orderBy(F.desc("__size")).limit(BROADCAST_ROWS)
     parts = F.ceil(F.coalesce("__size", F.lit(1)) / F.lit(bucket_rows)).cast("int")
@@ -158,15 +138,63 @@ def lsh_neighbors(
         "id",
         "unit",
     )
-    found = (
+    return (
         tiled.groupBy("table", "bucket", "__a", "__b")
         .applyInArrow(
-            _bucket_tile(top_n, radius_for_cosine(cos_threshold)),
+            _bucket_tile(top_n, radius),
             "movieId bigint, neighborId bigint, similarity double",
         )
         .groupBy("movieId", "neighborId")
         .agg(rounded(F.max("similarity")).alias("similarity"))
     )
+
+
+def radius_pairs(factors: DataFrame, cos_threshold: float, bucket_rows: int = 2048) -> DataFrame:
+    """Exactly the ordered pairs whose cosine exceeds ``cos_threshold``: what LSH approximates.
+
+    All vectors share one bucket, which :func:`_near_in_buckets` cuts into parts.
+    """
+    unit = with_unit_vector(factors.where(F.col("features").isNotNull()), "features", "unit_vec")
+    members = unit.select(
+        F.col("id").cast("bigint").alias("id"),
+        vector_to_array("unit_vec").alias("unit"),
+        F.lit(0).alias("table"),
+        F.lit(0).cast("bigint").alias("bucket"),
+    )
+    return _near_in_buckets(members, radius_for_cosine(cos_threshold), None, bucket_rows)
+
+
+def lsh_neighbors(
+    factors: DataFrame,
+    top_n: int = TOP_N,
+    bucket_length: float = BUCKET_LENGTH,
+    num_hash_tables: int = HASH_TABLES,
+    cos_threshold: float = COS_THRESHOLD,
+    seed: int = 42,
+    bucket_rows: int = 2048,
+) -> DataFrame:
+    """Approximate neighbours with cosine above ``cos_threshold``: pairs that share a bucket in
+    one of the hash tables.
+
+    The hashing is Spark's random projection LSH.  Its own similarity join would send every pair
+    of a bucket through the shuffle, and one bucket may hold a third of all vectors; here full
+    buckets are cut up and only the best ``top_n`` partners leave a task.
+    """
+    unit = with_unit_vector(factors.where(F.col("features").isNotNull()), "features", "unit_vec")
+    lsh = BucketedRandomProjectionLSH(
+        inputCol="unit_vec",
+        outputCol="hashes",
+        bucketLength=bucket_length,
+        numHashTables=num_hash_tables,
+        seed=seed,
+    )
+    hashed = lsh.fit(unit).transform(unit)
+    members = hashed.select(
+        F.col("id").cast("bigint").alias("id"),
+        vector_to_array("unit_vec").alias("unit"),
+        F.posexplode("hashes").alias("table", "hash"),
+    ).withColumn("bucket", vector_to_array("hash")[0].cast("bigint")).drop("hash")
+    found = _near_in_buckets(members, radius_for_cosine(cos_threshold), top_n, bucket_rows)
     return _ranked(found, top_n)
 
 

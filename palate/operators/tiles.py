@@ -5,6 +5,7 @@ tile NumPy multiplies and keeps only each row's best entries, so what leaves a t
 ``rows x k`` and never the pairs.  Spark decides where tiles run and merges the candidates.
 
 * :func:`vector_top_k` multiplies dense vectors (factors).
+* :func:`sparse_top_k` multiplies two sparse matrices given as long tables.
 * :func:`co_rating_candidates` multiplies the sparse rating matrix with itself.
 """
 
@@ -13,14 +14,15 @@ from math import ceil, isqrt
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palate.operators.ranking import SCORE_DIGITS, rounded, top_k_per
-from palate.session import parallelism
+from palate.session import parallelism, shuffle_partitions
 
 STRIP_CELLS = 4_000_000
 HASH_CELLS = 16_384
+SLICE_ROWS = 4_000_000
 
 
 def block_of(key: str, n: int) -> Column:
@@ -35,6 +37,11 @@ def block_count(rows: int, block_rows: int, slots: int) -> int:
     return max(1, by_size, for_slots)
 
 
+def tile_tasks(spark: SparkSession, tiles: int) -> int:
+    """Tasks for a number of tiles: several per slot, to even out tiles of different weight."""
+    return max(1, min(tiles, max(8 * parallelism(spark), shuffle_partitions(spark))))
+
+
 def _best_cells(scores: np.ndarray, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Row and column numbers of the ``keep[r]`` best cells of each row r.
 
@@ -179,6 +186,9 @@ def vector_top_k(
         # Both sides may stem from one table; aliases keep their columns apart.
         *[F.col(c).alias(c) for c in ("features", *tags)],
     )
+    tasks = tile_tasks(queries.sparkSession, query_blocks * item_blocks)
+    left = left.repartition(tasks, "__lb", "__rb")
+    right = right.repartition(tasks, "__lb", "__rb")
     found = (
         left.groupBy("__lb", "__rb")
         .cogroup(right.groupBy("__lb", "__rb"))
@@ -195,43 +205,44 @@ def vector_top_k(
 
 
 @dataclass(frozen=True)
-class TilePlan:
-    """How the rating matrix is cut: item blocks, and user slices of the heavy tiles."""
+class Cut:
+    """How one side of a sparse product is cut into blocks, and how many rows each one holds."""
 
     blocks: int
-    rows_per_block: tuple[int, ...]
-    slice_rows: int
+    rows: tuple[int, ...]
 
-    def any_sliced(self) -> bool:
-        return sum(sorted(self.rows_per_block)[-2:]) > self.slice_rows
+    @property
+    def largest(self) -> int:
+        return max(self.rows)
 
-    def slice_column(self, a: Column, b: Column) -> Column:
-        """User slices of the tile of blocks ``a`` and ``b``: its rows over ``slice_rows``."""
-        if not self.any_sliced():
-            return F.lit(1)
-        sizes = F.lit(list(self.rows_per_block)).cast("array<bigint>")
-        rows = sizes[a] + F.when(a == b, F.lit(0)).otherwise(sizes[b])
-        return F.greatest(F.lit(1), F.ceil(rows / F.lit(self.slice_rows))).cast("int")
+    def rows_of(self, block: Column) -> Column:
+        return F.lit(list(self.rows)).cast("array<bigint>")[block]
 
 
-def plan_tiles(
-    entries: DataFrame, block_items: int = 2048, slice_rows: int = 4_000_000, blocks: int | None = None
-) -> TilePlan:
-    """One pass that sizes the tiling: row and item counts over a fixed number of hash cells."""
+def cut(entries: DataFrame, key: str, block_keys: int = 2048, blocks: int | None = None) -> Cut:
+    """One pass that counts rows and keys over a fixed number of hash cells, folded to blocks of
+    about ``block_keys`` keys."""
     cells = HASH_CELLS if blocks is None else blocks
     counted = (
-        entries.groupBy(block_of("movieId", cells).alias("cell"))
-        .agg(F.count(F.lit(1)).alias("rows"), F.approx_count_distinct("movieId").alias("items"))
+        entries.groupBy(block_of(key, cells).alias("cell"))
+        .agg(F.count(F.lit(1)).alias("rows"), F.approx_count_distinct(key).alias("keys"))
         .collect()
     )
-    slots = parallelism(entries.sparkSession)
     if blocks is None:
-        n_items = sum(r["items"] for r in counted)
-        blocks = min(cells, 1 << (block_count(n_items, block_items, slots) - 1).bit_length())
+        n = sum(r["keys"] for r in counted)
+        wanted = block_count(n, block_keys, parallelism(entries.sparkSession))
+        blocks = min(cells, 1 << (wanted - 1).bit_length())
     rows = [0] * blocks
     for r in counted:  # cells is a multiple of blocks, so cell % blocks is the block
         rows[r["cell"] % blocks] += r["rows"]
-    return TilePlan(blocks, tuple(rows), slice_rows)
+    return Cut(blocks, tuple(rows))
+
+
+def _slices(rows: Column, largest: int, slice_rows: int) -> Column:
+    """Slices of a tile that holds ``rows`` rows; the constant 1 if no tile can need more."""
+    if largest <= slice_rows:
+        return F.lit(1)
+    return F.greatest(F.lit(1), F.ceil(rows / F.lit(slice_rows))).cast("int")
 
 
 def _fold(parts):
@@ -350,7 +361,8 @@ def co_rating_candidates(
     entries: DataFrame,
     k: int,
     shrink: float | None = None,
-    plan: TilePlan | None = None,
+    plan: Cut | None = None,
+    slice_rows: int = SLICE_ROWS,
     spread_limit: int = 32,
 ) -> DataFrame:
     """``movieId, neighborId, dot, overlap``: a superset of every item's best ``k`` neighbours.
@@ -362,7 +374,7 @@ def co_rating_candidates(
     item) is further cut by user hash; such slices send partial sums, at most about as many as
     rows they received, and the sums meet in an ordinary aggregate.
     """
-    plan = plan or plan_tiles(entries)
+    plan = plan or cut(entries, "movieId")
     n = plan.blocks
     rows = entries.select(
         F.col("userId").cast("bigint").alias("userId"),
@@ -376,7 +388,9 @@ def co_rating_candidates(
         touched = rows.select("userId", F.col("__own").alias("__other")).distinct()
         paired = rows.join(touched, "userId")
     own, other = F.col("__own"), F.col("__other")
-    slices = plan.slice_column(own, other)
+    both = plan.rows_of(own) + F.when(own == other, F.lit(0)).otherwise(plan.rows_of(other))
+    largest = sum(sorted(plan.rows)[-2:])
+    slices = _slices(both, largest, slice_rows)
     tiled = paired.select(
         F.least(own, other).alias("__a"),
         F.greatest(own, other).alias("__b"),
@@ -387,10 +401,110 @@ def co_rating_candidates(
         "movieId",
         "rating",
     )
-    found = tiled.groupBy("__a", "__b", "__slice").applyInArrow(_co_rating_tile(k, shrink), _PAIR_DDL)
-    if not plan.any_sliced():
+    keys = ["__a", "__b", "__slice"]
+    # Tiles are heavy on CPU and light on bytes: an explicit count keeps adaptive execution from
+    # folding them into a few tasks.
+    tiled = tiled.repartition(tile_tasks(entries.sparkSession, n * (n + 1) // 2), *keys)
+    found = tiled.groupBy(*keys).applyInArrow(_co_rating_tile(k, shrink), _PAIR_DDL)
+    if largest <= slice_rows:
         return found
     return found.groupBy("movieId", "neighborId").agg(
         F.sum("dot").alias("dot"), F.sum("overlap").alias("overlap")
     )
 
+
+
+def _product_tile():
+    schema = pa.schema([("queryId", pa.int64()), ("id", pa.int64()), ("score", pa.float64())])
+
+    def multiply(table: pa.Table) -> pa.Table:
+        table = table.sort_by("inner")
+        is_left = table["side"].to_numpy() == 0
+        inner, key = table["inner"].to_numpy(), table["key"].to_numpy()
+        x, keep = table["x"].to_numpy(), table["keep"].to_numpy()
+        whole = not table["sliced"][0].as_py()
+        queries, first, qi = np.unique(key[is_left], return_index=True, return_inverse=True)
+        ids, ij = np.unique(key[~is_left], return_inverse=True)
+        limit = keep[is_left][first]
+        q, i, score, _ = _pair_sums(
+            qi, inner[is_left], x[is_left], ij, inner[~is_left], x[~is_left], len(queries), len(ids)
+        )
+        if whole and q.size:
+            shown = np.round(score, SCORE_DIGITS)
+            order = np.lexsort((i, -shown, q))
+            sorted_q = q[order]
+            place = np.arange(order.size) - np.searchsorted(sorted_q, sorted_q)
+            best = order[(place < limit[sorted_q]) & (shown[order] != 0)]
+            q, i, score = q[best], i[best], score[best]
+        arrays = [pa.array(queries[q], pa.int64()), pa.array(ids[i], pa.int64()), pa.array(score, pa.float64())]
+        return pa.Table.from_arrays(arrays, schema=schema)
+
+    return multiply
+
+
+def sparse_top_k(
+    left: DataFrame,
+    right: DataFrame,
+    k: int,
+    exclude: DataFrame | None = None,
+    left_cut: Cut | None = None,
+    right_cut: Cut | None = None,
+    slice_rows: int = SLICE_ROWS,
+) -> DataFrame:
+    """Best ``k`` non-zero sums per query: ``queryId, id, score, rank``.
+
+    ``left`` is ``queryId, inner, x``, ``right`` is ``inner, id, y`` and the score of a pair is the
+    sum of ``x·y`` over ``inner``.  ``exclude`` (``queryId, id``) bars pairs.  Both sides are read
+    twice, so they should be stored tables.  Heavy tiles are cut by the hash of ``inner``.
+    """
+    left_cut = left_cut or cut(left, "queryId")
+    right_cut = right_cut or cut(right, "id")
+    limit = F.lit(k)
+    lefts = left
+    if exclude is not None:
+        barred = exclude.select("queryId", "id").distinct()
+        counts = barred.groupBy("queryId").agg(F.count(F.lit(1)).alias("__barred"))
+        lefts = left.join(counts, "queryId", "left")
+        limit = limit + F.coalesce("__barred", F.lit(0))
+    nl, nr = left_cut.blocks, right_cut.blocks
+    columns = ["__lb", "__rb", "side", "inner", "key", "x", "keep"]
+    spread = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    lefts = lefts.select(
+        block_of("queryId", nl).alias("__lb"),
+        spread(nr).alias("__rb"),
+        F.lit(0).alias("side"),
+        F.col("inner").cast("bigint").alias("inner"),
+        F.col("queryId").cast("bigint").alias("key"),
+        F.col("x").cast("double").alias("x"),
+        limit.cast("int").alias("keep"),
+    )
+    rights = right.select(
+        spread(nl).alias("__lb"),
+        block_of("id", nr).alias("__rb"),
+        F.lit(1).alias("side"),
+        F.col("inner").cast("bigint").alias("inner"),
+        F.col("id").cast("bigint").alias("key"),
+        F.col("y").cast("double").alias("x"),
+        F.lit(0).alias("keep"),
+    )
+    largest = left_cut.largest + right_cut.largest
+    rows = left_cut.rows_of(F.col("__lb")) + right_cut.rows_of(F.col("__rb"))
+    slices = _slices(rows, largest, slice_rows)
+    tiled = (
+        lefts.select(*columns)
+        .unionByName(rights.select(*columns))
+        .withColumn("sliced", slices > 1)
+        .withColumn("__slice", F.pmod(F.xxhash64("inner"), slices).cast("int"))
+    )
+    keys = ["__lb", "__rb", "__slice"]
+    found = (
+        tiled.repartition(tile_tasks(left.sparkSession, nl * nr), *keys)
+        .groupBy(*keys)
+        .applyInArrow(_product_tile(), "queryId bigint, id bigint, score double")
+    )
+    if largest > slice_rows:
+        found = found.groupBy("queryId", "id").agg(F.sum("score").alias("score"))
+    found = found.withColumn("score", rounded(F.col("score"))).where(F.col("score") != 0)
+    if exclude is not None:
+        found = found.join(barred, ["queryId", "id"], "left_anti")
+    return top_k_per(found, "queryId", [F.desc("score"), F.asc("id")], k)

@@ -6,6 +6,9 @@ Input and output are ``userId, movieId, rating`` with one row per pair.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from palate.operators.ratings import resolve_duplicates
+from palate.session import settle
+
 BM25_K1 = 1.2
 BM25_B = 0.75
 
@@ -44,3 +47,15 @@ def weigh(entries: DataFrame, weighting: str = "none") -> DataFrame:
     if weighting not in WEIGHTINGS:
         raise ValueError(f"weighting must be one of {sorted(WEIGHTINGS)}, not {weighting!r}")
     return WEIGHTINGS[weighting](entries)
+
+
+def rating_entries(ratings: DataFrame, dup_policy: str = "sum", weighting: str = "none") -> DataFrame:
+    """The rating matrix as a stored long table ``userId, movieId, rating``, one row per pair.
+
+    Similarity reads it several times, so it is written once instead of being derived again
+    from the source for every use.
+    """
+    entries = settle(resolve_duplicates(ratings, dup_policy), "entries")
+    if weighting == "none":
+        return entries
+    return settle(weigh(entries, weighting), "entries")

@@ -2,12 +2,11 @@
 
 from pyspark.sql import functions as F
 
-from palate.functions.vectors import cosine_from_distance, radius_for_cosine
-from palate.operators import coldstart, content, diversity, neighbors, tiles
-from palate.operators import ratings as rt
+from palate.functions.vectors import cosine_from_distance
+from palate.operators import coldstart, content, diversity, neighbors
 from palate.operators.favorites import recommend_for_favorites, recommend_near_items
 from palate.operators.ranking import rounded
-from palate.operators.weighting import weigh
+from palate.operators.weighting import rating_entries
 from palate.plans.registry import VIEWS, query, views
 
 TOP = 20
@@ -161,7 +160,7 @@ def coldstart_excluding(t):
     SELECT * FROM reasons WHERE reason_rank <= 2""",
 )
 def coldstart_explain(t):
-    entries, asked = rt.resolve_duplicates(t.ratings()), seeds(t)
+    entries, asked = rating_entries(t.ratings()), seeds(t)
     recs = coldstart.recommend_from_entries(entries, asked, k=TOP)
     return coldstart.explain(entries, asked, recs, m=2)
 
@@ -244,14 +243,11 @@ def factor_topn_lsh(t):
     FROM pairs WHERE dist < sqrt(CAST(1.4 AS DOUBLE))""",
 )
 def lsh_radius_pairs(t):
-    """Exact answer to the radius question LSH approximates, by way of exact neighbour lists
-    long enough to hold every pair of the table."""
-    factors = t.factors()
-    every = neighbors.factor_neighbors(factors, top_n=factors.count())
+    """The radius question LSH approximates, answered exactly."""
+    near = neighbors.radius_pairs(t.factors(), 0.30)
     dist = F.sqrt(F.greatest(F.lit(0.0), 2.0 - 2.0 * F.col("similarity")))
-    near = every.withColumn("dist", dist).where(F.col("dist") < radius_for_cosine(0.30))
     return near.select(
-        "movieId", "neighborId", rounded(cosine_from_distance("dist")).alias("similarity")
+        "movieId", "neighborId", rounded(cosine_from_distance(dist)).alias("similarity")
     )
 
 

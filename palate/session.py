@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -31,3 +31,19 @@ def work_path(spark: SparkSession, purpose: str) -> str:
 def parallelism(spark: SparkSession) -> int:
     """Task slots the session can use at once."""
     return max(1, spark.sparkContext.defaultParallelism)
+
+
+def shuffle_partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def settle(df: DataFrame, purpose: str) -> DataFrame:
+    """Write a table that is about to be read several times and return it from storage.
+
+    The copy lies in the shared checkpoint folder, so a lost executor costs a re-read and not
+    a recomputation, and every reader gets column pruning and true sizes for join planning.
+    """
+    spark = df.sparkSession
+    path = work_path(spark, purpose)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
