@@ -1,12 +1,18 @@
 """Top-k of large products without ever forming the product.
 
-Both operands are cut into blocks; a pair of blocks (a *tile*) is one Spark group.  Inside a
-tile NumPy multiplies and keeps only each row's best entries, so what leaves a task is
-``rows x k`` and never the pairs.  Spark decides where tiles run and merges the candidates.
+Both operands are cut into blocks and each block is packed into one binary value; a pair of
+blocks (a *tile*) is one Spark group.  Inside a tile NumPy multiplies and keeps only each row's
+best entries, so what leaves a task is ``rows x k`` and never the pairs.  Spark decides where
+tiles run, moves the blocks and merges the candidates.
 
 * :func:`vector_top_k` multiplies dense vectors (factors).
 * :func:`sparse_top_k` multiplies two sparse matrices given as long tables.
 * :func:`co_rating_candidates` multiplies the sparse rating matrix with itself.
+
+Skew: a block has a bounded number of keys, and one that still has many rows (a very popular
+item) is packed in several slices by the hash of the inner key (the user); slices of a tile
+run apart and their partial sums meet in an ordinary aggregate.  A very busy user has at most
+one row per item and is therefore spread over all blocks.
 """
 
 from dataclasses import dataclass
@@ -20,9 +26,17 @@ from pyspark.sql import functions as F
 from palate.operators.ranking import SCORE_DIGITS, rounded, top_k_per
 from palate.session import parallelism, shuffle_partitions
 
+#: Cells of a product worked on at once inside a tile.
 STRIP_CELLS = 4_000_000
+#: Hash cells counted to size blocks; also the largest number of blocks.
 HASH_CELLS = 16_384
-SLICE_ROWS = 4_000_000
+BLOCK_KEYS = 2048
+SLICE_ROWS = 2_000_000
+
+LEFT, BOTH, RIGHT = 0, 1, 2
+
+
+# ---------------------------------------------------------------- blocks and tiles
 
 
 def block_of(key: str, n: int) -> Column:
@@ -37,9 +51,90 @@ def block_count(rows: int, block_rows: int, slots: int) -> int:
     return max(1, by_size, for_slots)
 
 
-def tile_tasks(spark: SparkSession, tiles: int) -> int:
-    """Tasks for a number of tiles: several per slot, to even out tiles of different weight."""
-    return max(1, min(tiles, max(8 * parallelism(spark), shuffle_partitions(spark))))
+@dataclass(frozen=True)
+class Cut:
+    """How one side of a sparse product is cut into blocks, and how many rows each one holds."""
+
+    blocks: int
+    rows: tuple[int, ...]
+
+    def slices(self, slice_rows: int) -> list[int]:
+        """User slices per block, powers of two so that coarser slices are unions of finer ones."""
+        return [1 << (max(1, ceil(r / slice_rows)) - 1).bit_length() for r in self.rows]
+
+
+def cut(entries: DataFrame, key: str, block_keys: int = BLOCK_KEYS, blocks: int | None = None) -> Cut:
+    """One pass that counts rows and keys over a fixed number of hash cells, folded to blocks of
+    about ``block_keys`` keys."""
+    cells = HASH_CELLS if blocks is None else blocks
+    counted = (
+        entries.groupBy(block_of(key, cells).alias("cell"))
+        .agg(F.count(F.lit(1)).alias("rows"), F.approx_count_distinct(key).alias("keys"))
+        .collect()
+    )
+    if blocks is None:
+        n = sum(r["keys"] for r in counted)
+        wanted = block_count(n, block_keys, parallelism(entries.sparkSession))
+        blocks = min(cells, 1 << (wanted - 1).bit_length())
+    rows = [0] * blocks
+    for r in counted:  # cells is a multiple of blocks, so cell % blocks is the block
+        rows[r["cell"] % blocks] += r["rows"]
+    return Cut(blocks, tuple(rows))
+
+
+def tile_tasks(spark: SparkSession, groups: int) -> int:
+    """Tasks for a number of groups: several per slot, to even out groups of different weight.
+
+    Tiles are heavy on CPU and light on bytes; an explicit count keeps adaptive execution from
+    folding them into a few tasks.
+    """
+    return max(1, min(groups, max(8 * parallelism(spark), shuffle_partitions(spark))))
+
+
+def _to_bytes(table: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as writer:
+        writer.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def packed(df: DataFrame, keys: list[str], groups: int) -> DataFrame:
+    """One row per group: the keys and the group's other columns as one binary ``piece``."""
+
+    def pack(key: tuple, table: pa.Table) -> pa.Table:
+        body = table.drop_columns(keys).combine_chunks()
+        columns = {name: [value.as_py()] for name, value in zip(keys, key, strict=True)}
+        columns["piece"] = [_to_bytes(body)]
+        schema = pa.schema([(k, pa.int32()) for k in keys] + [("piece", pa.binary())])
+        return pa.table(columns, schema=schema)
+
+    ddl = ", ".join(f"{k} int" for k in keys) + ", piece binary"
+    grouped = df.repartition(tile_tasks(df.sparkSession, groups), *keys).groupBy(*keys)
+    return grouped.applyInArrow(pack, ddl)
+
+
+def _side(table: pa.Table, wanted: int) -> pa.Table | None:
+    """All pieces of a tile that act as its left (or right) operand."""
+    sides = table["side"].to_pylist()
+    pieces = [
+        pa.ipc.open_stream(pa.py_buffer(table["piece"][i].as_py())).read_all()
+        for i, side in enumerate(sides)
+        if side in (wanted, BOTH)
+    ]
+    return pa.concat_tables(pieces).combine_chunks() if pieces else None
+
+
+def _tiles(pieces: DataFrame, keys: list[str], tiles: int, multiply, ddl: str) -> DataFrame:
+    grouped = pieces.repartition(tile_tasks(pieces.sparkSession, tiles), *keys).groupBy(*keys)
+    return grouped.applyInArrow(multiply, ddl)
+
+
+def _range(n: int | Column) -> Column:
+    last = (n if isinstance(n, Column) else F.lit(n)) - 1
+    return F.explode(F.sequence(F.lit(0), last.cast("int")))
+
+
+# ---------------------------------------------------------------- dense vectors
 
 
 def _best_cells(scores: np.ndarray, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -50,24 +145,21 @@ def _best_cells(scores: np.ndarray, keep: np.ndarray) -> tuple[np.ndarray, np.nd
     n_cols = scores.shape[1]
     shown = np.round(scores, SCORE_DIGITS)
     most = int(min(keep.max(initial=0), n_cols))
-    if most <= 0:
-        none = np.zeros(0, dtype=np.int64)
-        return none, none
-    if most < n_cols:
-        cut = np.partition(shown, n_cols - most, axis=1)[:, n_cols - most]
-        rows, cols = np.nonzero(shown >= cut[:, None])
+    if 0 < most < n_cols:
+        edge = np.partition(shown, n_cols - most, axis=1)[:, n_cols - most]
+        rows, cols = np.nonzero(shown >= edge[:, None])
     else:
-        rows, cols = np.nonzero(shown > -np.inf)
-    order = np.lexsort((cols, -shown[rows, cols], rows))
-    rows, cols = rows[order], cols[order]
-    place = np.arange(rows.size) - np.searchsorted(rows, rows)
-    chosen = place < keep[rows]
-    rows, cols = rows[chosen], cols[chosen]
-    real = shown[rows, cols] > -np.inf
-    return rows[real], cols[real]
+        rows, cols = np.nonzero(shown > (-np.inf if most else np.inf))
+    chosen = _best(rows, cols, shown[rows, cols], keep)
+    return rows[chosen], cols[chosen]
 
 
-# ---------------------------------------------------------------- dense vectors
+def _best(owner: np.ndarray, other: np.ndarray, shown: np.ndarray, keep: np.ndarray) -> np.ndarray:
+    """Positions of the ``keep[o]`` best pairs of every owner o, ties to the smaller other."""
+    order = np.lexsort((other, -shown, owner))
+    in_order = owner[order]
+    place = np.arange(order.size) - np.searchsorted(in_order, in_order)
+    return order[place < keep[in_order]]
 
 
 def _matrix(table: pa.Table, column: str) -> np.ndarray:
@@ -95,11 +187,15 @@ def _jaccard(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return np.divide(both, either, out=np.zeros_like(both), where=either > 0)
 
 
+_SCORES = pa.schema([("queryId", pa.int64()), ("id", pa.int64()), ("score", pa.float64())])
+_SCORES_DDL = "queryId bigint, id bigint, score double"
+
+
 def _vector_tile(metric: str, tag_weight: float | None):
-    def multiply(left: pa.Table, right: pa.Table) -> pa.Table:
-        schema = pa.schema([("queryId", pa.int64()), ("id", pa.int64()), ("score", pa.float64())])
-        if left.num_rows == 0 or right.num_rows == 0:
-            return schema.empty_table()
+    def multiply(table: pa.Table) -> pa.Table:
+        left, right = _side(table, LEFT), _side(table, RIGHT)
+        if left is None or right is None:
+            return _SCORES.empty_table()
         left, right = left.sort_by("queryId"), right.sort_by("id")
         lm, rm = _matrix(left, "features"), _matrix(right, "features")
         if metric == "cosine":
@@ -109,10 +205,8 @@ def _vector_tile(metric: str, tag_weight: float | None):
             names = sorted({n for tags in (*lt, *rt) for n in tags or ()})
             vocabulary = {n: i for i, n in enumerate(names)}
             lt, rt = _tag_matrix(lt, vocabulary), _tag_matrix(rt, vocabulary)
-        query = left["queryId"].to_numpy()
-        keep = left["keep"].to_numpy()
-        ids = right["id"].to_numpy()
-        out_q, out_i, out_s = [], [], []
+        query, keep, ids = (left["queryId"].to_numpy(), left["keep"].to_numpy(), right["id"].to_numpy())
+        out = []
         strip = max(1, STRIP_CELLS // len(ids))
         for at in range(0, len(query), strip):
             rows = slice(at, at + strip)
@@ -123,15 +217,22 @@ def _vector_tile(metric: str, tag_weight: float | None):
             if len(q) < scores.shape[0]:
                 scores = np.maximum.reduceat(scores, first, axis=0)
             r, c = _best_cells(scores, keep[rows][first])
-            out_q.append(q[r])
-            out_i.append(ids[c])
-            out_s.append(scores[r, c])
-        columns = [np.concatenate(out_q), np.concatenate(out_i), np.concatenate(out_s)]
-        return pa.Table.from_arrays([pa.array(c) for c in columns], schema=schema)
+            out.append((q[r], ids[c], scores[r, c]))
+        columns = [pa.array(np.concatenate(part)) for part in zip(*out, strict=True)]
+        return pa.Table.from_arrays(columns, schema=_SCORES)
 
     return multiply
 
 
+def _with_keep(queries: DataFrame, barred: DataFrame | None, k: int) -> DataFrame:
+    """Adds ``keep``: k plus the query's barred items, which makes barring after the merge exact."""
+    if barred is None:
+        return queries.withColumn("keep", F.lit(k))
+    counts = barred.groupBy("queryId").agg(F.count(F.lit(1)).alias("__barred"))
+    keep = (F.lit(k) + F.coalesce("__barred", F.lit(0))).cast("int")
+    return queries.join(counts, "queryId", "left").withColumn("keep", keep).drop("__barred")
+
+
 def vector_top_k(
     queries: DataFrame,
     items: DataFrame,
@@ -150,9 +251,8 @@ def vector_top_k(
     ``tag_weight`` both sides also carry ``tags array<string>`` and the score becomes
     ``(1-w)·cosine + w·jaccard(tags)``.
 
-    A tile keeps ``k`` plus the query's number of barred items, which is what makes barring
-    after the merge exact.  The vectors of a query may fall into several blocks: an item in
-    the overall best list is also in the list of the block that holds its best vector.
+    The vectors of a query may fall into several blocks: an item in the overall best list is
+    also in the list of the block that holds its best vector.
     """
     if metric not in ("cosine", "dot"):
         raise ValueError("metric must be 'cosine' or 'dot'")
@@ -162,87 +262,37 @@ def vector_top_k(
     if item_blocks is None:
         item_blocks = block_count(items.count(), block_rows, slots)
     tags = [] if tag_weight is None else ["tags"]
+    barred = None if exclude is None else exclude.select("queryId", "id").distinct()
 
-    left = queries.where(F.col("features").isNotNull())
-    if exclude is None:
-        left = left.withColumn("keep", F.lit(k))
-    else:
-        barred = exclude.select("queryId", "id").distinct()
-        counts = barred.groupBy("queryId").agg(F.count(F.lit(1)).alias("__barred"))
-        keep = F.lit(k) + F.coalesce("__barred", F.lit(0))
-        left = left.join(counts, "queryId", "left").withColumn("keep", keep.cast("int"))
-    left = left.select(
+    left = _with_keep(queries.where(F.col("features").isNotNull()), barred, k).select(
         F.pmod(F.xxhash64("queryId", "features"), F.lit(query_blocks)).cast("int").alias("__lb"),
-        F.explode(F.sequence(F.lit(0), F.lit(item_blocks - 1))).alias("__rb"),
         F.col("queryId").cast("bigint").alias("queryId"),
         "features",
         "keep",
         *tags,
     )
     right = items.where(F.col("features").isNotNull()).select(
-        F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("__lb"),
         block_of("id", item_blocks).alias("__rb"),
         F.col("id").cast("bigint").alias("id"),
-        # Both sides may stem from one table; aliases keep their columns apart.
-        *[F.col(c).alias(c) for c in ("features", *tags)],
+        "features",
+        *tags,
+    )
+    lefts = packed(left, ["__lb"], query_blocks).select(
+        "__lb", _range(item_blocks).alias("__rb"), F.lit(LEFT).alias("side"), "piece"
     )
-    tasks = tile_tasks(queries.sparkSession, query_blocks * item_blocks)
-    left = left.repartition(tasks, "__lb", "__rb")
-    right = right.repartition(tasks, "__lb", "__rb")
-    found = (
-        left.groupBy("__lb", "__rb")
-        .cogroup(right.groupBy("__lb", "__rb"))
-        .applyInArrow(_vector_tile(metric, tag_weight), "queryId bigint, id bigint, score double")
-        .groupBy("queryId", "id")
-        .agg(rounded(F.max("score")).alias("score"))
+    rights = packed(right, ["__rb"], item_blocks).select(
+        _range(query_blocks).alias("__lb"), "__rb", F.lit(RIGHT).alias("side"), "piece"
     )
-    if exclude is not None:
+    multiply = _vector_tile(metric, tag_weight)
+    pieces, tiles = lefts.unionByName(rights), query_blocks * item_blocks
+    found = _tiles(pieces, ["__lb", "__rb"], tiles, multiply, _SCORES_DDL)
+    found = found.groupBy("queryId", "id").agg(rounded(F.max("score")).alias("score"))
+    if barred is not None:
         found = found.join(barred, ["queryId", "id"], "left_anti")
     return top_k_per(found, "queryId", [F.desc("score"), F.asc("id")], k)
 
 
-# ---------------------------------------------------------------- sparse ratings
-
-
-@dataclass(frozen=True)
-class Cut:
-    """How one side of a sparse product is cut into blocks, and how many rows each one holds."""
-
-    blocks: int
-    rows: tuple[int, ...]
-
-    @property
-    def largest(self) -> int:
-        return max(self.rows)
-
-    def rows_of(self, block: Column) -> Column:
-        return F.lit(list(self.rows)).cast("array<bigint>")[block]
-
-
-def cut(entries: DataFrame, key: str, block_keys: int = 2048, blocks: int | None = None) -> Cut:
-    """One pass that counts rows and keys over a fixed number of hash cells, folded to blocks of
-    about ``block_keys`` keys."""
-    cells = HASH_CELLS if blocks is None else blocks
-    counted = (
-        entries.groupBy(block_of(key, cells).alias("cell"))
-        .agg(F.count(F.lit(1)).alias("rows"), F.approx_count_distinct(key).alias("keys"))
-        .collect()
-    )
-    if blocks is None:
-        n = sum(r["keys"] for r in counted)
-        wanted = block_count(n, block_keys, parallelism(entries.sparkSession))
-        blocks = min(cells, 1 << (wanted - 1).bit_length())
-    rows = [0] * blocks
-    for r in counted:  # cells is a multiple of blocks, so cell % blocks is the block
-        rows[r["cell"] % blocks] += r["rows"]
-    return Cut(blocks, tuple(rows))
-
-
-def _slices(rows: Column, largest: int, slice_rows: int) -> Column:
-    """Slices of a tile that holds ``rows`` rows; the constant 1 if no tile can need more."""
-    if largest <= slice_rows:
-        return F.lit(1)
-    return F.greatest(F.lit(1), F.ceil(rows / F.lit(slice_rows))).cast("int")
+# ---------------------------------------------------------------- sparse products
 
 
 def _fold(parts):
@@ -253,16 +303,16 @@ def _fold(parts):
 
 
 def _pair_sums(li, lu, lx, rj, ru, rx, n_left, n_right):
-    """Sum of products and number of common users per (left item, right item), as sparse arrays.
+    """Sum of products and number of common inner keys per (left, right) index, as sparse arrays.
 
-    Both sides are sorted by user.  Pairs are expanded in bounded strips and folded at once.
+    The right side is sorted by inner key.  Pairs are expanded in bounded strips and folded at
+    once, into a dense table when that is small enough.
     """
     start = np.searchsorted(ru, lu, side="left")
     width = np.searchsorted(ru, lu, side="right") - start
     cells = n_left * n_right
     dense = cells <= 4 * STRIP_CELLS
-    dot = np.zeros(cells if dense else 0)
-    common = np.zeros(cells if dense else 0)
+    dot, common = (np.zeros(cells), np.zeros(cells)) if dense else (None, None)
     folded = []
     ends = np.cumsum(width)
     at = 0
@@ -280,13 +330,12 @@ def _pair_sums(li, lu, lx, rj, ru, rx, n_left, n_right):
                 dot += np.bincount(cell, weights=value, minlength=cells)
                 common += np.bincount(cell, minlength=cells)
             else:
-                keys, where = np.unique(cell, return_inverse=True)
-                sums, counts = np.bincount(where, weights=value), np.bincount(where)
+                part = _fold([(cell, value, np.ones(total))])
                 if dense:
-                    dot[keys] += sums
-                    common[keys] += counts
+                    dot[part[0]] += part[1]
+                    common[part[0]] += part[2]
                 else:
-                    folded.append((keys, sums, counts))
+                    folded.append(part)
                     if sum(len(f[0]) for f in folded) > 4 * STRIP_CELLS:
                         folded = [_fold(folded)]
         at = to
@@ -300,37 +349,55 @@ def _pair_sums(li, lu, lx, rj, ru, rx, n_left, n_right):
     return keys // n_right, keys % n_right, sums, counts
 
 
-def _best_pairs(owner, other, shown, k: int) -> np.ndarray:
-    """Positions of the ``k`` best pairs of every owner, ties to the smaller other item."""
-    order = np.lexsort((other, -shown, owner))
-    sorted_owner = owner[order]
-    place = np.arange(order.size) - np.searchsorted(sorted_owner, sorted_owner)
-    return order[place < k]
+def _sliced_pieces(entries: DataFrame, key: str, inner: str, plan: Cut, finest: int) -> DataFrame:
+    """Packed pieces ``__own, __piece, piece`` of a long table.
+
+    Every block is packed in the finest slicing any block needs, so a light block that meets a
+    heavy one brings exactly the inner keys of the slice and no row travels twice to one tile.
+    """
+    rows = entries.withColumn("__own", block_of(key, plan.blocks))
+    rows = rows.withColumn("__piece", F.pmod(F.xxhash64(inner), F.lit(finest)).cast("int"))
+    return packed(rows, ["__own", "__piece"], plan.blocks * finest)
+
 
+def _spread(pieces: DataFrame, own_slices: list[int], other_slices: list[int]) -> DataFrame:
+    """Every piece once per block of the other side, with its ``__slice`` of that tile.
 
-_PAIR_FIELDS = [("movieId", pa.int64()), ("neighborId", pa.int64()), ("dot", pa.float64()), ("overlap", pa.int64())]
-_PAIR_DDL = "movieId bigint, neighborId bigint, dot double, overlap bigint"
+    A tile has as many slices as its heavier block; slice counts are powers of two, so a coarse
+    slice is a union of fine pieces.
+    """
+    paired = pieces.withColumn("__other", _range(len(other_slices)))
+    if max(*own_slices, *other_slices) == 1:
+        return paired.withColumn("__slice", F.lit(0)).withColumn("sliced", F.lit(False))
+    tile = F.greatest(F.lit(own_slices)[F.col("__own")], F.lit(other_slices)[F.col("__other")])
+    return paired.withColumn("sliced", tile > 1).withColumn(
+        "__slice", F.pmod(F.col("__piece"), tile).cast("int")
+    )
+
+
+_PAIRS = pa.schema(
+    [("movieId", pa.int64()), ("neighborId", pa.int64()), ("dot", pa.float64()), ("overlap", pa.int64())]
+)
+_PAIRS_DDL = "movieId bigint, neighborId bigint, dot double, overlap bigint"
 
 
 def _co_rating_tile(k: int, shrink: float | None):
     def multiply(table: pa.Table) -> pa.Table:
-        table = table.sort_by("userId")
-        side = table["side"].to_numpy()
-        user = table["userId"].to_numpy()
-        x = table["rating"].to_numpy()
-        item = table["movieId"].to_numpy()
         whole = not table["sliced"][0].as_py()
-        is_left, is_right = side <= 1, side >= 1
-        same_block = bool((side == 1).any())
-        left_ids, li = np.unique(item[is_left], return_inverse=True)
-        right_ids, rj = np.unique(item[is_right], return_inverse=True)
-        lu, ru, lx, rx = user[is_left], user[is_right], x[is_left], x[is_right]
+        diagonal = BOTH in table["side"].to_pylist()
+        left, right = _side(table, LEFT), _side(table, RIGHT)
+        if left is None or right is None:
+            return _PAIRS.empty_table()
+        right = right.sort_by("userId")
+        left_ids, li = np.unique(left["movieId"].to_numpy(), return_inverse=True)
+        right_ids, rj = np.unique(right["movieId"].to_numpy(), return_inverse=True)
+        lx, rx = left["rating"].to_numpy(), right["rating"].to_numpy()
+        lu, ru = left["userId"].to_numpy(), right["userId"].to_numpy()
         i, j, dot, common = _pair_sums(li, lu, lx, rj, ru, rx, len(left_ids), len(right_ids))
-        if same_block:  # every unordered pair occurs twice in a diagonal tile
-            once = left_ids[i] != right_ids[j]
-            i, j, dot, common = i[once], j[once], dot[once], common[once]
-        a, b = left_ids[i], right_ids[j]
-        if whole and a.size:
+        if diagonal:
+            apart = i != j
+            i, j, dot, common = i[apart], j[apart], dot[apart], common[apart]
+        if whole:
             # All users are here, so lengths are final and weak pairs can be dropped now.
             ln = np.sqrt(np.bincount(li, weights=lx * lx, minlength=len(left_ids)))
             rn = np.sqrt(np.bincount(rj, weights=rx * rx, minlength=len(right_ids)))
@@ -339,20 +406,17 @@ def _co_rating_tile(k: int, shrink: float | None):
             if shrink is not None:
                 sim = sim * common / (common + shrink)
             shown = np.round(sim, SCORE_DIGITS)
-            forward = _best_pairs(a, b, shown, k)
-            if same_block:
-                a, b, dot, common = a[forward], b[forward], dot[forward], common[forward]
-            else:
-                back = _best_pairs(b, a, shown, k)
-                a, b = np.concatenate([a[forward], b[back]]), np.concatenate([b[forward], a[back]])
-                dot = np.concatenate([dot[forward], dot[back]])
-                common = np.concatenate([common[forward], common[back]])
-        elif not same_block:
-            a, b = np.concatenate([a, b]), np.concatenate([b, a])
-            dot, common = np.concatenate([dot, dot]), np.concatenate([common, common])
-        arrays = [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(dot, pa.float64())]
-        arrays.append(pa.array(common.astype(np.int64)))
-        return pa.Table.from_arrays(arrays, schema=pa.schema(_PAIR_FIELDS))
+            forward = _best(i, j, shown, np.full(len(left_ids), k))
+            back = [] if diagonal else _best(j, i, shown, np.full(len(right_ids), k))
+        else:
+            forward = np.arange(i.size)
+            back = [] if diagonal else forward
+        a, b = left_ids[i], right_ids[j]
+        where = np.concatenate([forward, back]).astype(np.int64)
+        owner = np.concatenate([a[forward], b[back]]) if len(back) else a[forward]
+        other = np.concatenate([b[forward], a[back]]) if len(back) else b[forward]
+        columns = [owner, other, dot[where], common[where].astype(np.int64)]
+        return pa.Table.from_arrays([pa.array(c) for c in columns], schema=_PAIRS)
 
     return multiply
 
@@ -363,83 +427,58 @@ def co_rating_candidates(
     shrink: float | None = None,
     plan: Cut | None = None,
     slice_rows: int = SLICE_ROWS,
-    spread_limit: int = 32,
 ) -> DataFrame:
     """``movieId, neighborId, dot, overlap``: a superset of every item's best ``k`` neighbours.
 
-    ``entries`` is ``userId, movieId, rating``, one row per pair.  An entry of block *b* goes to
-    the tiles ``{b, o}`` where *o* runs over the blocks its user touches, so a row is copied at
-    most ``min(blocks, items of the user)`` times, and a user who rated everything is spread
-    over all tiles.  A tile with more than ``slice_rows`` rows (a block with a very popular
-    item) is further cut by user hash; such slices send partial sums, at most about as many as
-    rows they received, and the sums meet in an ordinary aggregate.
+    ``entries`` is ``userId, movieId, rating``, one row per pair, read twice.  Each unordered pair
+    of blocks is multiplied once and answers for both.  Slices of a heavy tile send partial sums,
+    at most block keys squared of them, which is about what they received.
     """
     plan = plan or cut(entries, "movieId")
-    n = plan.blocks
+    n, slices = plan.blocks, plan.slices(slice_rows)
     rows = entries.select(
         F.col("userId").cast("bigint").alias("userId"),
         F.col("movieId").cast("bigint").alias("movieId"),
         F.col("rating").cast("double").alias("rating"),
-        block_of("movieId", n).alias("__own"),
     )
-    if n <= spread_limit:
-        paired = rows.withColumn("__other", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-    else:
-        touched = rows.select("userId", F.col("__own").alias("__other")).distinct()
-        paired = rows.join(touched, "userId")
     own, other = F.col("__own"), F.col("__other")
-    both = plan.rows_of(own) + F.when(own == other, F.lit(0)).otherwise(plan.rows_of(other))
-    largest = sum(sorted(plan.rows)[-2:])
-    slices = _slices(both, largest, slice_rows)
-    tiled = paired.select(
+    pieces = _sliced_pieces(rows, "movieId", "userId", plan, max(slices))
+    placed = _spread(pieces, slices, slices).select(
         F.least(own, other).alias("__a"),
         F.greatest(own, other).alias("__b"),
-        F.when(own == other, 1).when(own < other, 0).otherwise(2).alias("side"),
-        (slices > 1).alias("sliced"),
-        F.pmod(F.xxhash64("userId"), slices).cast("int").alias("__slice"),
-        "userId",
-        "movieId",
-        "rating",
+        "__slice",
+        "sliced",
+        F.when(own == other, BOTH).when(own < other, LEFT).otherwise(RIGHT).alias("side"),
+        "piece",
     )
-    keys = ["__a", "__b", "__slice"]
-    # Tiles are heavy on CPU and light on bytes: an explicit count keeps adaptive execution from
-    # folding them into a few tasks.
-    tiled = tiled.repartition(tile_tasks(entries.sparkSession, n * (n + 1) // 2), *keys)
-    found = tiled.groupBy(*keys).applyInArrow(_co_rating_tile(k, shrink), _PAIR_DDL)
-    if largest <= slice_rows:
+    tiles = n * (n + 1) // 2 * max(slices)
+    found = _tiles(placed, ["__a", "__b", "__slice"], tiles, _co_rating_tile(k, shrink), _PAIRS_DDL)
+    if max(slices) == 1:
         return found
     return found.groupBy("movieId", "neighborId").agg(
         F.sum("dot").alias("dot"), F.sum("overlap").alias("overlap")
     )
 
 
-
-def _product_tile():
-    schema = pa.schema([("queryId", pa.int64()), ("id", pa.int64()), ("score", pa.float64())])
-
-    def multiply(table: pa.Table) -> pa.Table:
-        table = table.sort_by("inner")
-        is_left = table["side"].to_numpy() == 0
-        inner, key = table["inner"].to_numpy(), table["key"].to_numpy()
-        x, keep = table["x"].to_numpy(), table["keep"].to_numpy()
-        whole = not table["sliced"][0].as_py()
-        queries, first, qi = np.unique(key[is_left], return_index=True, return_inverse=True)
-        ids, ij = np.unique(key[~is_left], return_inverse=True)
-        limit = keep[is_left][first]
-        q, i, score, _ = _pair_sums(
-            qi, inner[is_left], x[is_left], ij, inner[~is_left], x[~is_left], len(queries), len(ids)
-        )
-        if whole and q.size:
-            shown = np.round(score, SCORE_DIGITS)
-            order = np.lexsort((i, -shown, q))
-            sorted_q = q[order]
-            place = np.arange(order.size) - np.searchsorted(sorted_q, sorted_q)
-            best = order[(place < limit[sorted_q]) & (shown[order] != 0)]
-            q, i, score = q[best], i[best], score[best]
-        arrays = [pa.array(queries[q], pa.int64()), pa.array(ids[i], pa.int64()), pa.array(score, pa.float64())]
-        return pa.Table.from_arrays(arrays, schema=schema)
-
-    return multiply
+def _product_tile(table: pa.Table) -> pa.Table:
+    whole = not table["sliced"][0].as_py()
+    left, right = _side(table, LEFT), _side(table, RIGHT)
+    if left is None or right is None:
+        return _SCORES.empty_table()
+    right = right.sort_by("inner")
+    queries, first, qi = np.unique(left["queryId"].to_numpy(), return_index=True, return_inverse=True)
+    ids, ij = np.unique(right["id"].to_numpy(), return_inverse=True)
+    keep = left["keep"].to_numpy()[first]
+    lu, ru = left["inner"].to_numpy(), right["inner"].to_numpy()
+    lx, rx = left["x"].to_numpy(), right["y"].to_numpy()
+    q, i, score, _ = _pair_sums(qi, lu, lx, ij, ru, rx, len(queries), len(ids))
+    if whole:
+        shown = np.round(score, SCORE_DIGITS)
+        some = shown != 0
+        q, i, score, shown = q[some], i[some], score[some], shown[some]
+        best = _best(q, i, shown, keep)
+        q, i, score = q[best], i[best], score[best]
+    return pa.Table.from_arrays([pa.array(queries[q]), pa.array(ids[i]), pa.array(score)], schema=_SCORES)
 
 
 def sparse_top_k(
@@ -455,56 +494,41 @@ def sparse_top_k(
 
     ``left`` is ``queryId, inner, x``, ``right`` is ``inner, id, y`` and the score of a pair is the
     sum of ``x·y`` over ``inner``.  ``exclude`` (``queryId, id``) bars pairs.  Both sides are read
-    twice, so they should be stored tables.  Heavy tiles are cut by the hash of ``inner``.
+    twice, so they should be stored tables.
     """
     left_cut = left_cut or cut(left, "queryId")
     right_cut = right_cut or cut(right, "id")
-    limit = F.lit(k)
-    lefts = left
-    if exclude is not None:
-        barred = exclude.select("queryId", "id").distinct()
-        counts = barred.groupBy("queryId").agg(F.count(F.lit(1)).alias("__barred"))
-        lefts = left.join(counts, "queryId", "left")
-        limit = limit + F.coalesce("__barred", F.lit(0))
-    nl, nr = left_cut.blocks, right_cut.blocks
-    columns = ["__lb", "__rb", "side", "inner", "key", "x", "keep"]
-    spread = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    lefts = lefts.select(
-        block_of("queryId", nl).alias("__lb"),
-        spread(nr).alias("__rb"),
-        F.lit(0).alias("side"),
+    barred = None if exclude is None else exclude.select("queryId", "id").distinct()
+    left_slices, right_slices = left_cut.slices(slice_rows), right_cut.slices(slice_rows)
+    finest = max(*left_slices, *right_slices)
+    lefts = _with_keep(left, barred, k).select(
+        F.col("queryId").cast("bigint").alias("queryId"),
         F.col("inner").cast("bigint").alias("inner"),
-        F.col("queryId").cast("bigint").alias("key"),
         F.col("x").cast("double").alias("x"),
-        limit.cast("int").alias("keep"),
+        "keep",
     )
     rights = right.select(
-        spread(nl).alias("__lb"),
-        block_of("id", nr).alias("__rb"),
-        F.lit(1).alias("side"),
+        F.col("id").cast("bigint").alias("id"),
         F.col("inner").cast("bigint").alias("inner"),
-        F.col("id").cast("bigint").alias("key"),
-        F.col("y").cast("double").alias("x"),
-        F.lit(0).alias("keep"),
+        F.col("y").cast("double").alias("y"),
     )
-    largest = left_cut.largest + right_cut.largest
-    rows = left_cut.rows_of(F.col("__lb")) + right_cut.rows_of(F.col("__rb"))
-    slices = _slices(rows, largest, slice_rows)
-    tiled = (
-        lefts.select(*columns)
-        .unionByName(rights.select(*columns))
-        .withColumn("sliced", slices > 1)
-        .withColumn("__slice", F.pmod(F.xxhash64("inner"), slices).cast("int"))
-    )
-    keys = ["__lb", "__rb", "__slice"]
-    found = (
-        tiled.repartition(tile_tasks(left.sparkSession, nl * nr), *keys)
-        .groupBy(*keys)
-        .applyInArrow(_product_tile(), "queryId bigint, id bigint, score double")
+    left_pieces = _sliced_pieces(lefts, "queryId", "inner", left_cut, finest)
+    right_pieces = _sliced_pieces(rights, "id", "inner", right_cut, finest)
+    own, other = F.col("__own"), F.col("__other")
+    columns = ["__lb", "__rb", "__slice", "sliced", "side", "piece"]
+    placed = (
+        _spread(left_pieces, left_slices, right_slices)
+        .select(own.alias("__lb"), other.alias("__rb"), "__slice", "sliced", F.lit(LEFT).alias("side"), "piece")
+        .unionByName(
+            _spread(right_pieces, right_slices, left_slices)
+            .select(other.alias("__lb"), own.alias("__rb"), "__slice", "sliced", F.lit(RIGHT).alias("side"), "piece")
+        )
     )
-    if largest > slice_rows:
+    tiles = left_cut.blocks * right_cut.blocks * finest
+    found = _tiles(placed.select(*columns), ["__lb", "__rb", "__slice"], tiles, _product_tile, _SCORES_DDL)
+    if finest > 1:
         found = found.groupBy("queryId", "id").agg(F.sum("score").alias("score"))
     found = found.withColumn("score", rounded(F.col("score"))).where(F.col("score") != 0)
-    if exclude is not None:
+    if barred is not None:
         found = found.join(barred, ["queryId", "id"], "left_anti")
     return top_k_per(found, "queryId", [F.desc("score"), F.asc("id")], k)
