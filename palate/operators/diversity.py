@@ -5,10 +5,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from palate.operators.ranking import SCORE_DIGITS, rounded, top_k_per
+from palate.operators.ranking import rounded, top_k_per
 
 LAMBDA = 0.7
 POOL = 100
+#: Candidate scores have six decimals; lambda times such a number may end half-way there.
+MMR_DIGITS = 9
 
 
 def _greedy(lam: float, k: int):
@@ -29,7 +31,7 @@ def _greedy(lam: float, k: int):
         picked, values = [], []
         for _ in range(min(k, len(relevance))):
             penalty = closest if picked else np.zeros(len(relevance))
-            value = np.round(lam * relevance - (1.0 - lam) * penalty, SCORE_DIGITS)
+            value = np.round(lam * relevance - (1.0 - lam) * penalty, MMR_DIGITS)
             best = int(np.argmax(np.where(open_, value, -np.inf)))
             picked.append(best)
             values.append(value[best])

@@ -11,9 +11,13 @@ SCORE_DIGITS = 6
 BROADCAST_ROWS = 100_000
 
 
-def rounded(score: Column) -> Column:
-    """Scores are compared at six decimals so that summation order never changes a ranking."""
-    return F.round(score, SCORE_DIGITS)
+def rounded(score: Column, digits: int = SCORE_DIGITS) -> Column:
+    """Scores are compared rounded so that summation order never changes a ranking.
+
+    Values built from numbers that are themselves rounded to six decimals need more ``digits``:
+    their exact results fall on half units of the sixth.
+    """
+    return F.round(score, digits)
 
 
 def top_k(df: DataFrame, order: Sequence[Column], k: int, rank: str = "rank") -> DataFrame:

@@ -1,3 +1,3 @@
 """Registered queries over the sales tables, each beside the SQL that defines its answer."""
 
-from palate.plans import popularity, similarity  # noqa: F401
+from palate.plans import popularity, quality, recommend, similarity  # noqa: F401

@@ -346,9 +346,9 @@ def hybrid_score(t):
     + ",\n    ".join(
         ["""pick1 AS (
         SELECT * FROM (
-            SELECT queryId, movieId, score, round(CAST(0.7 AS DOUBLE) * score, 6) AS mmr, 1 AS rank,
+            SELECT queryId, movieId, score, round(CAST(0.7 AS DOUBLE) * score, 9) AS mmr, 1 AS rank,
                    row_number() OVER (PARTITION BY queryId
-                       ORDER BY round(CAST(0.7 AS DOUBLE) * score, 6) DESC, movieId) AS rn
+                       ORDER BY round(CAST(0.7 AS DOUBLE) * score, 9) DESC, movieId) AS rn
             FROM pool) WHERE rn = 1)"""]
         + [
             f"""pick{n} AS MATERIALIZED (
@@ -358,7 +358,7 @@ def hybrid_score(t):
                    row_number() OVER (PARTITION BY queryId ORDER BY mmr DESC, movieId) AS rn
             FROM (
                 SELECT p.queryId, p.movieId, p.score,
-                       round(CAST(0.7 AS DOUBLE) * p.score - CAST(0.3 AS DOUBLE) * max(n.cosine), 6) AS mmr
+                       round(CAST(0.7 AS DOUBLE) * p.score - CAST(0.3 AS DOUBLE) * max(n.cosine), 9) AS mmr
                 FROM pool p JOIN near n ON n.queryId = p.queryId AND n.movieId = p.movieId
                 JOIN pick{n - 1} s ON s.queryId = p.queryId AND s.movieId = n.otherId
                 WHERE NOT EXISTS (SELECT 1 FROM pick{n - 1} d

@@ -50,7 +50,8 @@ def compare(df, con, sql: str) -> tuple[int, list[str]]:
             problems.append(f"type of {name}: {dtype} != {want_types[name]}")
     got, want = _normal(df.columns, got_rows), _normal(want_columns, want_rows)
     if got != want:
-        missing = [r for r in want if r not in set(got)][:3]
-        extra = [r for r in got if r not in set(want)][:3]
+        in_got, in_want = set(got), set(want)
+        missing = [r for r in want if r not in in_got][:3]
+        extra = [r for r in got if r not in in_want][:3]
         problems.append(f"rows {len(got)} vs {len(want)}; missing {missing}; extra {extra}")
     return len(got_rows), problems
