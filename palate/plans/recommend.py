@@ -9,6 +9,7 @@ from palate.operators import ratings as rt
 from palate.operators.weighting import rating_entries
 from palate.plans.registry import query, views
 from palate.plans.similarity import item_pairs
+from palate.session import settle
 
 SETTINGS = als.AlsSettings(rank=8, max_iter=5)
 
@@ -56,7 +57,7 @@ CENTRAL_SQL = """, central AS (
 
 
 def item_sims(t):
-    return neighbors.rating_neighbors(t.ratings(), top_n=10)
+    return settle(neighbors.rating_neighbors(t.ratings(), top_n=10), "item-sims")
 
 
 @query(
@@ -210,7 +211,7 @@ def als_explain(t):
 @query("fallback_chain_als")
 def fallback_chain_als(t):
     model = model_of(t)
-    sims = neighbors.factor_neighbors(model.itemFactors, top_n=10)
+    sims = settle(neighbors.factor_neighbors(model.itemFactors, top_n=10), "item-sims")
     return fallback.recommend_with_fallback(
         users_and_strangers(t), k=10, model=model, neighbors=sims, history=t.ratings()
     )

@@ -44,9 +44,10 @@ class SalesTables:
             F.col("vec_id").alias("id"), F.col("embedding").alias("features")
         )
 
-    def events(self) -> DataFrame:
+    @staticmethod
+    def shape_events(raw: DataFrame) -> DataFrame:
         """``eventId, userId, movieId, eventType, value, timestamp``; the item sits in the props."""
-        return self.table("events").select(
+        return raw.select(
             F.col("event_id").alias("eventId"),
             F.col("user_id").alias("userId"),
             F.get_json_object("props", "$.k").cast("bigint").alias("movieId"),
@@ -55,13 +56,20 @@ class SalesTables:
             wall_clock_epoch("ts").alias("timestamp"),
         )
 
-    def purchases(self) -> DataFrame:
+    @staticmethod
+    def shape_purchases(events: DataFrame) -> DataFrame:
         """Purchases as feedback; the amount is folded onto the half-star scale."""
-        bought = self.events().where(F.col("eventType") == "purchase")
+        bought = events.where(F.col("eventType") == "purchase")
         return bought.withColumn("rating", half_stars("value")).select(
             "userId", "movieId", "rating", "timestamp"
         )
 
+    def events(self) -> DataFrame:
+        return self.shape_events(self.table("events"))
+
+    def purchases(self) -> DataFrame:
+        return self.shape_purchases(self.events())
+
 
 def half_stars(amount: str):
     """Any amount to 0.5…5.0: whole units modulo ten, plus one, halved."""
