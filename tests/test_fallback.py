@@ -1,0 +1,142 @@
+"""Who is served by which branch, and what a branch returns."""
+
+import pytest
+
+from palate.operators import als, evaluate, fallback
+from palate.operators.diversity import mmr_rerank
+from palate.operators.ranking import spread_join
+
+
+@pytest.fixture(scope="module")
+def sims(spark):
+    rows = [(1, 3, 0.9, 1), (1, 6, 0.5, 2), (2, 3, 0.4, 1), (3, 1, 0.9, 1), (3, 2, 0.4, 2)]
+    return spark.createDataFrame(rows, "movieId INT, neighborId INT, similarity DOUBLE, rank INT")
+
+
+@pytest.fixture(scope="module")
+def users(spark):
+    return spark.createDataFrame([(1,), (2,), (3,), (4,), (50,)], "userId INT")
+
+
+def lists(df):
+    out = {}
+    for r in df.orderBy("userId", "rank").collect():
+        out.setdefault((r["userId"], r["source"]), []).append(r["movieId"])
+    return out
+
+
+def test_history_is_weighted_by_rating(ratings, sims, spark):
+    best = fallback.neighbors_for_users(ratings, sims, k=2).orderBy("userId", "rank").collect()
+    mine = [(r["movieId"], round(r["score"], 6), r["max_sim"]) for r in best if r["userId"] == 1]
+    assert mine == [(1, 3.6, 0.9), (3, 3.6, 0.9)]
+    unseen = fallback.neighbors_for_users(ratings, sims, k=5, exclude_seen=True)
+    assert {(r["userId"], r["movieId"]) for r in unseen.collect()} == {(1, 2), (2, 6), (3, 3), (4, 3), (4, 6)}
+
+
+def test_chain_order_and_sources(users, ratings, sims):
+    history = ratings.where("userId <> 4")
+    got = lists(fallback.recommend_with_fallback(users, k=2, neighbors=sims, history=history))
+    assert got == {
+        (1, "neighbors_history"): [1, 3],
+        (2, "neighbors_history"): [3, 1],
+        (3, "neighbors_history"): [3],
+        (4, "neighbors_central"): [1, 3],
+        (50, "neighbors_central"): [1, 3],
+    }
+
+
+def test_history_without_neighbors_falls_through_unless_strict(spark, users, ratings, sims):
+    narrow = sims.where("movieId = 1")
+    loose = lists(fallback.recommend_with_fallback(users, k=2, neighbors=narrow, history=ratings))
+    assert loose[(3, "popularity")] == [3, 5]
+    strict = lists(
+        fallback.recommend_with_fallback(users, k=2, neighbors=narrow, history=ratings, strict=True)
+    )
+    assert all(user != 3 for user, _ in strict)
+    assert loose[(50, "neighbors_central")] == strict[(50, "neighbors_central")]
+
+
+def test_seen_items_can_be_left_out(users, ratings, sims):
+    got = lists(
+        fallback.recommend_with_fallback(users, k=3, neighbors=sims, history=ratings, exclude_seen=True)
+    )
+    assert got[(1, "neighbors_history")] == [2]
+    assert got[(50, "neighbors_central")] == [1, 3, 6]
+
+
+def test_popularity_is_the_last_resort(users, ratings):
+    got = lists(fallback.recommend_with_fallback(users, k=2, history=ratings))
+    assert got[(50, "popularity")] == [3, 5]
+    assert len(got) == 5
+    with pytest.raises(ValueError):
+        fallback.recommend_with_fallback(users)
+
+
+def test_model_comes_first(users, ratings, sims):
+    model = als.fit(ratings.where("userId < 3"), als.AlsSettings(rank=2, max_iter=2))
+    got = lists(fallback.recommend_with_fallback(users, 3, model, sims, ratings))
+    assert {k for k in got} == {
+        (1, "als"), (2, "als"), (3, "neighbors_history"), (4, "neighbors_history"), (50, "neighbors_central"),
+    }
+    two = lists(fallback.recommend_two_step(users, ratings, model, 2))
+    assert two[(50, "popularity")] == [1, 3]
+    assert set(two) >= {(1, "als"), (2, "als")}
+    assert len(two) == 5
+
+
+def test_spread_join_keeps_every_row(spark):
+    fact = spark.createDataFrame(
+        [(0 if i % 3 else i, i) for i in range(900)], "key INT, row INT"
+    )
+    dim = spark.createDataFrame([(k, k * 10) for k in range(0, 900, 2)] + [(0, 1)], "key INT, payload INT")
+    for copies in (1, 4):
+        got = spread_join(fact, dim, "key", "row", copies=copies)
+        want = fact.join(dim, "key")
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_mmr_prefers_unlike_items(spark):
+    cands = spark.createDataFrame(
+        [(1, 10, 0.9), (1, 11, 0.89), (1, 12, 0.5), (1, 13, 0.1)], "queryId INT, movieId INT, score DOUBLE"
+    )
+    factors = spark.createDataFrame(
+        [(10, [1.0, 0.0]), (11, [1.0, 0.0]), (12, [0.0, 1.0])], "id INT, features ARRAY<FLOAT>"
+    )
+    picked = [r["movieId"] for r in mmr_rerank(cands, factors, lam=0.6, k=3).orderBy("rank").collect()]
+    assert picked == [10, 12, 11]
+    greedy = [r["movieId"] for r in mmr_rerank(cands, factors, lam=1.0, k=4).orderBy("rank").collect()]
+    assert greedy == [10, 11, 12, 13]
+
+
+def test_ranking_metrics_by_hand(spark):
+    recs = spark.createDataFrame([(1, 10, 1), (1, 11, 2), (1, 12, 3), (2, 10, 1)], "userId INT, movieId INT, rank INT")
+    relevant = spark.createDataFrame([(1, 11), (1, 12), (1, 99), (2, 50), (3, 10)], "userId INT, movieId INT")
+    per_user = {r["userId"]: r for r in evaluate.user_ranking_metrics(recs, relevant, 3).collect()}
+    assert per_user[1]["precision"] == pytest.approx(2 / 3)
+    assert per_user[1]["recall"] == pytest.approx(2 / 3)
+    assert per_user[1]["ap"] == pytest.approx((1 / 2 + 2 / 3) / 3)
+    ideal = 1 + 0.6309297535714575 + 0.5
+    assert per_user[1]["ndcg"] == pytest.approx((0.6309297535714575 + 0.5) / ideal)
+    assert per_user[2]["ap"] == 0 and per_user[3]["recall"] == 0
+    assert evaluate.ranking_metrics(recs, relevant, 3).first()["n_users"] == 3
+
+
+def test_metrics_match_the_library_evaluator(spark):
+    from pyspark.ml.evaluation import RankingEvaluator
+    from pyspark.sql import functions as F
+
+    recs = spark.createDataFrame(
+        [(u, (u * 7 + r * 3) % 23, r) for u in range(40) for r in range(1, 6)], "userId INT, movieId INT, rank INT"
+    )
+    relevant = spark.createDataFrame([(u, (u * 5 + i * 4) % 23) for u in range(40) for i in range(4)], "userId INT, movieId INT")
+    lists_ = (
+        recs.groupBy("userId")
+        .agg(F.sort_array(F.collect_list(F.struct("rank", F.col("movieId").cast("double").alias("m")))).alias("p"))
+        .select("userId", F.transform("p", lambda x: x["m"]).alias("prediction"))
+        .join(relevant.groupBy("userId").agg(F.collect_set(F.col("movieId").cast("double")).alias("label")), "userId")
+    )
+    ours = evaluate.ranking_metrics(recs, relevant, 5).first()
+    names = {"precision": "precisionAtK", "recall": "recallAtK", "ndcg": "ndcgAtK", "map": "meanAveragePrecisionAtK"}
+    for mine, theirs in names.items():
+        value = RankingEvaluator(metricName=theirs, k=5).evaluate(lists_)
+        assert ours[mine] == pytest.approx(value, abs=1e-6), mine
