@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from palate.operators.ratings import KEYS, drop_incomplete, hash_split, random_split
+from palate.operators.tiles import vector_top_k
 from palate.session import checkpoint_root
 
 GRID_RANKS = (16, 32, 64)
@@ -134,22 +135,6 @@ def grid_search(
     return GridOutcome(fitted[best][0], grid[best], score, results)
 
 
-def _flat(recs: DataFrame) -> DataFrame:
-    """``userId, movieId, score, rank`` of the nested lists, equal scores in id order."""
-    ordered = F.array_sort(
-        F.transform(
-            "recommendations",
-            lambda r: F.struct((-r["rating"].cast("double")).alias("neg"), r["movieId"].alias("movieId")),
-        )
-    )
-    return recs.select("userId", F.posexplode(ordered).alias("pos", "rec")).select(
-        "userId",
-        F.col("rec.movieId").alias("movieId"),
-        (-F.col("rec.neg")).alias("score"),
-        (F.col("pos") + 1).alias("rank"),
-    )
-
-
 def with_factors(users: DataFrame, model: ALSModel) -> DataFrame:
     """The users the model knows."""
     known = model.userFactors.select(F.col("id").alias("userId"))
@@ -157,14 +142,47 @@ def with_factors(users: DataFrame, model: ALSModel) -> DataFrame:
 
 
 def recommend_users(model: ALSModel, users: DataFrame, k: int = 10) -> DataFrame:
-    """Top ``k`` items of a batch of users; unknown users get no rows."""
-    wanted = users.select(F.col("userId").cast("int").alias("userId"))
-    return _flat(model.recommendForUserSubset(wanted, k))
+    """Top ``k`` items of a batch of users: ``userId, movieId, score, rank``.
+
+    Unknown users get no rows; equal scores go to the smaller id.  The lists are those of the
+    model's own batch methods, computed as a tiled product: those cross-join factor blocks.
+    """
+    wanted = users.select(F.col("userId").cast("int").alias("id")).distinct()
+    return _top_items(model, model.userFactors.join(wanted, "id", "left_semi"), k)
 
 
 def recommend_everyone(model: ALSModel, k: int = 10) -> DataFrame:
     """Top ``k`` items of every known user, for serving tables."""
-    return _flat(model.recommendForAllUsers(k))
+    return _top_items(model, model.userFactors, k)
+
+
+def _top_items(model: ALSModel, user_factors: DataFrame, k: int) -> DataFrame:
+    queries = user_factors.select(F.col("id").alias("queryId"), "features")
+    best = vector_top_k(queries, model.itemFactors, k, metric="dot")
+    return best.select(
+        F.col("queryId").cast("int").alias("userId"),
+        F.col("id").cast("int").alias("movieId"),
+        "score",
+        "rank",
+    )
+
+
+def nested(recs: DataFrame) -> DataFrame:
+    """``userId, recommendations``: each list as an array of ``movieId, rating`` in rank order."""
+    entry = F.struct("rank", "movieId", F.col("score").cast("float").alias("rating"))
+    lists = recs.groupBy("userId").agg(F.sort_array(F.collect_list(entry)).alias("__list"))
+    plain = F.transform("__list", lambda r: F.struct(r["movieId"].alias("movieId"), r["rating"].alias("rating")))
+    return lists.select("userId", plain.alias("recommendations"))
+
+
+def flat(recs: DataFrame) -> DataFrame:
+    """``userId, movieId, score, rank`` of nested lists such as the model's own methods return."""
+    return recs.select("userId", F.posexplode("recommendations").alias("pos", "rec")).select(
+        "userId",
+        F.col("rec.movieId").alias("movieId"),
+        F.col("rec.rating").cast("double").alias("score"),
+        (F.col("pos") + 1).alias("rank"),
+    )
 
 
 def save_model(model: ALSModel, path: str) -> None:

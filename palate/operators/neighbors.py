@@ -1,5 +1,7 @@
 """Item neighbour tables: ``movieId, neighborId, similarity, rank``."""
 
+from math import ceil
+
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.feature import BucketedRandomProjectionLSH
@@ -110,24 +112,16 @@ def _bucket_tile(top_n: int | None, radius: float):
     return pairs_within
 
 
-def _near_in_buckets(
-    members: DataFrame, radius: float, top_n: int | None, bucket_rows: int
-) -> DataFrame:
-    """``movieId, neighborId, similarity`` of unit vectors (``table, bucket, id, unit``) that share
-    a bucket and lie within ``radius``; each task keeps the best ``top_n`` per item (None: all).
+def _near_in_parts(members: DataFrame, radius: float, top_n: int | None) -> DataFrame:
+    """``movieId, neighborId, similarity`` of unit vectors that share a bucket and lie within
+    ``radius``; each task keeps the best ``top_n`` per item (None: all).
 
-    A bucket of more than ``bucket_rows`` members is cut into parts and each pair of parts is a
-    group of its own, so no group is larger than two parts however full one bucket is.
+    ``members`` is ``table, bucket, parts, id, unit``.  A bucket is cut into its number of parts
+    and each pair of parts is a group of its own, so no group is larger than two parts however
+    full one bucket is.
     """
-    sizes = members.groupBy("table", "bucket").agg(F.count(F.lit(1)).alias("__size"))
-    large = sizes.where(F.col("__size") > bucket_rows).orderBy(F.desc("__size")).limit(BROADCAST_ROWS)
-    parts = F.ceil(F.coalesce("__size", F.lit(1)) / F.lit(bucket_rows)).cast("int")
-    cut = (
-        members.join(F.broadcast(large), ["table", "bucket"], "left")
-        .withColumn("__parts", parts)
-        .withColumn("__own", F.pmod(F.xxhash64("id"), F.col("__parts")).cast("int"))
-        .withColumn("__other", F.explode(F.sequence(F.lit(0), F.col("__parts") - 1)))
-    )
+    cut = members.withColumn("__own", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    cut = cut.withColumn("__other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     own, other = F.col("__own"), F.col("__other")
     tiled = cut.select(
         "table",
@@ -141,8 +135,7 @@ def _near_in_buckets(
     return (
         tiled.groupBy("table", "bucket", "__a", "__b")
         .applyInArrow(
-            _bucket_tile(top_n, radius),
-            "movieId bigint, neighborId bigint, similarity double",
+            _bucket_tile(top_n, radius), "movieId bigint, neighborId bigint, similarity double"
         )
         .groupBy("movieId", "neighborId")
         .agg(rounded(F.max("similarity")).alias("similarity"))
@@ -152,16 +145,18 @@ def _near_in_buckets(
 def radius_pairs(factors: DataFrame, cos_threshold: float, bucket_rows: int = 2048) -> DataFrame:
     """Exactly the ordered pairs whose cosine exceeds ``cos_threshold``: what LSH approximates.
 
-    All vectors share one bucket, which :func:`_near_in_buckets` cuts into parts.
+    All vectors share one bucket, which is cut into parts like any full bucket.
     """
+    parts = ceil(max(1, factors.count()) / bucket_rows)
     unit = with_unit_vector(factors.where(F.col("features").isNotNull()), "features", "unit_vec")
     members = unit.select(
         F.col("id").cast("bigint").alias("id"),
         vector_to_array("unit_vec").alias("unit"),
         F.lit(0).alias("table"),
         F.lit(0).cast("bigint").alias("bucket"),
+        F.lit(parts).alias("parts"),
     )
-    return _near_in_buckets(members, radius_for_cosine(cos_threshold), None, bucket_rows)
+    return _near_in_parts(members, radius_for_cosine(cos_threshold), None)
 
 
 def lsh_neighbors(
@@ -194,7 +189,13 @@ def lsh_neighbors(
         vector_to_array("unit_vec").alias("unit"),
         F.posexplode("hashes").alias("table", "hash"),
     ).withColumn("bucket", vector_to_array("hash")[0].cast("bigint")).drop("hash")
-    found = _near_in_buckets(members, radius_for_cosine(cos_threshold), top_n, bucket_rows)
+    # Only the fullest buckets need parts; any bucket beyond the list below holds less than
+    # 1/BROADCAST_ROWS of all rows.
+    sizes = members.groupBy("table", "bucket").agg(F.count(F.lit(1)).alias("size"))
+    full = sizes.where(F.col("size") > bucket_rows).orderBy(F.desc("size")).limit(BROADCAST_ROWS)
+    parts = F.ceil(F.coalesce("size", F.lit(1)) / F.lit(bucket_rows)).cast("int")
+    members = members.join(F.broadcast(full), ["table", "bucket"], "left").withColumn("parts", parts)
+    found = _near_in_parts(members, radius_for_cosine(cos_threshold), top_n)
     return _ranked(found, top_n)
 
 

@@ -67,6 +67,19 @@ def test_lists_are_ranked_and_complete(spark, fitted):
     assert [r["movieId"] for r in same] == [r["movieId"] for r in rows if r["userId"] == 1]
 
 
+def test_lists_equal_the_library(spark, fitted):
+    model, _ = fitted
+    theirs = als.flat(model.recommendForAllUsers(9))
+    ours = als.recommend_everyone(model, 9)
+    both = ours.alias("a").join(theirs.alias("b"), ["userId", "rank"])
+    assert both.count() == ours.count() == theirs.count()
+    assert both.where(F.abs(F.col("a.score") - F.col("b.score")) > 1e-5).isEmpty()
+    differing = both.where(F.col("a.movieId") != F.col("b.movieId")).count()
+    assert differing <= 0.001 * both.count()  # float ties only
+    again = als.flat(als.nested(ours))
+    assert again.select("userId", "movieId", "rank").exceptAll(ours.select("userId", "movieId", "rank")).isEmpty()
+
+
 def test_nulls_are_cleaned_before_training(spark, planted):
     dirty = planted.limit(2000).unionByName(
         spark.createDataFrame([(None, 1, 3.0), (1, None, 3.0), (1, 2, None)], "userId INT, movieId INT, rating DOUBLE")
