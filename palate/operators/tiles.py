@@ -33,7 +33,7 @@ HASH_CELLS = 16_384
 BLOCK_KEYS = 2048
 SLICE_ROWS = 2_000_000
 
-LEFT, BOTH, RIGHT = 0, 1, 2
+LEFT, BOTH, RIGHT, BARRED = 0, 1, 2, 3
 
 
 # ---------------------------------------------------------------- blocks and tiles
@@ -98,11 +98,12 @@ def _to_bytes(table: pa.Table) -> bytes:
     return sink.getvalue().to_pybytes()
 
 
-def packed(df: DataFrame, keys: list[str], groups: int) -> DataFrame:
-    """One row per group: the keys and the group's other columns as one binary ``piece``."""
+def packed(df: DataFrame, keys: list[str], groups: int, order: str) -> DataFrame:
+    """One row per group: the keys and the group's other columns, in ``order``, as one binary
+    ``piece``."""
 
     def pack(key: tuple, table: pa.Table) -> pa.Table:
-        body = table.drop_columns(keys).combine_chunks()
+        body = table.drop_columns(keys).sort_by(order).combine_chunks()
         columns = {name: [value.as_py()] for name, value in zip(keys, key, strict=True)}
         columns["piece"] = [_to_bytes(body)]
         schema = pa.schema([(k, pa.int32()) for k in keys] + [("piece", pa.binary())])
@@ -113,15 +114,26 @@ def packed(df: DataFrame, keys: list[str], groups: int) -> DataFrame:
     return grouped.applyInArrow(pack, ddl)
 
 
-def _side(table: pa.Table, wanted: int) -> pa.Table | None:
-    """All pieces of a tile that act as its left (or right) operand."""
-    sides = table["side"].to_pylist()
+def _side(table: pa.Table, wanted: int, order: str) -> pa.Table | None:
+    """All pieces of a tile that act as its left (or right) operand, in ``order``."""
     pieces = [
         pa.ipc.open_stream(pa.py_buffer(table["piece"][i].as_py())).read_all()
-        for i, side in enumerate(sides)
-        if side in (wanted, BOTH)
+        for i, side in enumerate(table["side"].to_pylist())
+        if side == wanted or (side == BOTH and wanted in (LEFT, RIGHT))
     ]
-    return pa.concat_tables(pieces).combine_chunks() if pieces else None
+    if len(pieces) > 1:
+        return pa.concat_tables(pieces).sort_by(order).combine_chunks()
+    return pieces[0] if pieces else None
+
+
+def _codes(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct values and each row's position among them."""
+    encoded = column.combine_chunks().dictionary_encode()
+    values = encoded.dictionary.to_numpy(zero_copy_only=False)
+    order = np.argsort(values)
+    place = np.empty(len(values), dtype=np.int64)
+    place[order] = np.arange(len(values))
+    return values[order], place[encoded.indices.to_numpy(zero_copy_only=False)]
 
 
 def _tiles(pieces: DataFrame, keys: list[str], tiles: int, multiply, ddl: str) -> DataFrame:
@@ -137,31 +149,66 @@ def _range(n: int | Column) -> Column:
 # ---------------------------------------------------------------- dense vectors
 
 
-def _best_cells(scores: np.ndarray, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Row and column numbers of the ``keep[r]`` best cells of each row r.
+def _best_cells(
+    scores: np.ndarray, keep: np.ndarray, digits: int = SCORE_DIGITS
+) -> tuple[np.ndarray, np.ndarray]:
+    """Row and column numbers of the ``keep[r]`` best finite cells of each row r.
 
     Columns must be in ascending id order: equal (rounded) scores go to the smaller column.
     """
     n_cols = scores.shape[1]
-    shown = np.round(scores, SCORE_DIGITS)
+    shown = np.round(scores, digits)
     most = int(min(keep.max(initial=0), n_cols))
+    candidates = shown > -np.inf if most else np.zeros(shown.shape, dtype=bool)
     if 0 < most < n_cols:
         edge = np.partition(shown, n_cols - most, axis=1)[:, n_cols - most]
-        rows, cols = np.nonzero(shown >= edge[:, None])
-    else:
-        rows, cols = np.nonzero(shown > (-np.inf if most else np.inf))
-    chosen = _best(rows, cols, shown[rows, cols], keep)
+        candidates &= shown >= edge[:, None]
+    rows, cols = np.nonzero(candidates)
+    chosen = _best(rows, shown[rows, cols], keep, digits)
     return rows[chosen], cols[chosen]
 
 
-def _best(owner: np.ndarray, other: np.ndarray, shown: np.ndarray, keep: np.ndarray) -> np.ndarray:
-    """Positions of the ``keep[o]`` best pairs of every owner o, ties to the smaller other."""
-    order = np.lexsort((other, -shown, owner))
+def _best(
+    owner: np.ndarray, shown: np.ndarray, keep: np.ndarray, digits: int = SCORE_DIGITS
+) -> np.ndarray:
+    """Positions of the ``keep[o]`` best pairs of every owner o.
+
+    Pairs of one owner must come in ascending order of the other item, which then decides ties.
+    """
+    if not owner.size:
+        return np.zeros(0, dtype=np.int64)
+    units = np.rint(shown * 10.0**digits)
+    top, span = units.max(), units.max() - units.min() + 1.0
+    if span * (owner.max() + 1) < 2.0**62:
+        key = owner * np.int64(span) + (top - units).astype(np.int64)
+        order = np.argsort(key, kind="stable")
+    else:
+        order = np.lexsort((-shown, owner))
     in_order = owner[order]
-    place = np.arange(order.size) - np.searchsorted(in_order, in_order)
+    starts = np.flatnonzero(np.diff(in_order, prepend=-1))
+    place = np.arange(order.size) - np.repeat(starts, np.diff(starts, append=order.size))
     return order[place < keep[in_order]]
 
 
+def _best_pairs(
+    owner: np.ndarray,
+    other: np.ndarray,
+    value: np.ndarray,
+    keep: np.ndarray,
+    n_other: int,
+    digits: int = SCORE_DIGITS,
+) -> np.ndarray:
+    """:func:`_best` of unrounded values, by way of a dense table when the pairs nearly fill it."""
+    cells = len(keep) * n_other
+    if owner.size * 4 < cells or cells > 4 * STRIP_CELLS:
+        return _best(owner, np.round(value, digits), keep, digits)
+    table = np.full((len(keep), n_other), -np.inf)
+    table[owner, other] = value
+    at = np.empty((len(keep), n_other), dtype=np.int64)
+    at[owner, other] = np.arange(owner.size)
+    return at[_best_cells(table, keep, digits)]
+
+
 def _matrix(table: pa.Table, column: str) -> np.ndarray:
     lists = table[column].combine_chunks()
     flat = np.asarray(lists.flatten().to_numpy(zero_copy_only=False), dtype=np.float64)
@@ -193,10 +240,9 @@ _SCORES_DDL = "queryId bigint, id bigint, score double"
 
 def _vector_tile(metric: str, tag_weight: float | None):
     def multiply(table: pa.Table) -> pa.Table:
-        left, right = _side(table, LEFT), _side(table, RIGHT)
+        left, right = _side(table, LEFT, "queryId"), _side(table, RIGHT, "id")
         if left is None or right is None:
             return _SCORES.empty_table()
-        left, right = left.sort_by("queryId"), right.sort_by("id")
         lm, rm = _matrix(left, "features"), _matrix(right, "features")
         if metric == "cosine":
             lm, rm = _unit(lm), _unit(rm)
@@ -277,10 +323,10 @@ def vector_top_k(
         "features",
         *tags,
     )
-    lefts = packed(left, ["__lb"], query_blocks).select(
+    lefts = packed(left, ["__lb"], query_blocks, "queryId").select(
         "__lb", _range(item_blocks).alias("__rb"), F.lit(LEFT).alias("side"), "piece"
     )
-    rights = packed(right, ["__rb"], item_blocks).select(
+    rights = packed(right, ["__rb"], item_blocks, "id").select(
         _range(query_blocks).alias("__lb"), "__rb", F.lit(RIGHT).alias("side"), "piece"
     )
     multiply = _vector_tile(metric, tag_weight)
@@ -326,7 +372,7 @@ def _pair_sums(li, lu, lx, rj, ru, rx, n_left, n_right):
             right = np.arange(total) - np.repeat(np.cumsum(w) - w, w) + start[left]
             cell = li[left] * n_right + rj[right]
             value = lx[left] * rx[right]
-            if dense and total * 8 >= cells:
+            if dense and total * 32 >= cells:
                 dot += np.bincount(cell, weights=value, minlength=cells)
                 common += np.bincount(cell, minlength=cells)
             else:
@@ -357,7 +403,7 @@ def _sliced_pieces(entries: DataFrame, key: str, inner: str, plan: Cut, finest:
     """
     rows = entries.withColumn("__own", block_of(key, plan.blocks))
     rows = rows.withColumn("__piece", F.pmod(F.xxhash64(inner), F.lit(finest)).cast("int"))
-    return packed(rows, ["__own", "__piece"], plan.blocks * finest)
+    return packed(rows, ["__own", "__piece"], plan.blocks * finest, inner)
 
 
 def _spread(pieces: DataFrame, own_slices: list[int], other_slices: list[int]) -> DataFrame:
@@ -385,12 +431,11 @@ def _co_rating_tile(k: int, shrink: float | None):
     def multiply(table: pa.Table) -> pa.Table:
         whole = not table["sliced"][0].as_py()
         diagonal = BOTH in table["side"].to_pylist()
-        left, right = _side(table, LEFT), _side(table, RIGHT)
+        left, right = _side(table, LEFT, "userId"), _side(table, RIGHT, "userId")
         if left is None or right is None:
             return _PAIRS.empty_table()
-        right = right.sort_by("userId")
-        left_ids, li = np.unique(left["movieId"].to_numpy(), return_inverse=True)
-        right_ids, rj = np.unique(right["movieId"].to_numpy(), return_inverse=True)
+        left_ids, li = _codes(left["movieId"])
+        right_ids, rj = _codes(right["movieId"])
         lx, rx = left["rating"].to_numpy(), right["rating"].to_numpy()
         lu, ru = left["userId"].to_numpy(), right["userId"].to_numpy()
         i, j, dot, common = _pair_sums(li, lu, lx, rj, ru, rx, len(left_ids), len(right_ids))
@@ -405,9 +450,9 @@ def _co_rating_tile(k: int, shrink: float | None):
             sim = np.divide(dot, lengths, out=np.zeros_like(dot), where=lengths > 0)
             if shrink is not None:
                 sim = sim * common / (common + shrink)
-            shown = np.round(sim, SCORE_DIGITS)
-            forward = _best(i, j, shown, np.full(len(left_ids), k))
-            back = [] if diagonal else _best(j, i, shown, np.full(len(right_ids), k))
+            nl, nr = len(left_ids), len(right_ids)
+            forward = _best_pairs(i, j, sim, np.full(nl, k), nr)
+            back = [] if diagonal else _best_pairs(j, i, sim, np.full(nr, k), nl)
         else:
             forward = np.arange(i.size)
             back = [] if diagonal else forward
@@ -460,25 +505,33 @@ def co_rating_candidates(
     )
 
 
-def _product_tile(table: pa.Table) -> pa.Table:
-    whole = not table["sliced"][0].as_py()
-    left, right = _side(table, LEFT), _side(table, RIGHT)
-    if left is None or right is None:
-        return _SCORES.empty_table()
-    right = right.sort_by("inner")
-    queries, first, qi = np.unique(left["queryId"].to_numpy(), return_index=True, return_inverse=True)
-    ids, ij = np.unique(right["id"].to_numpy(), return_inverse=True)
-    keep = left["keep"].to_numpy()[first]
-    lu, ru = left["inner"].to_numpy(), right["inner"].to_numpy()
-    lx, rx = left["x"].to_numpy(), right["y"].to_numpy()
-    q, i, score, _ = _pair_sums(qi, lu, lx, ij, ru, rx, len(queries), len(ids))
-    if whole:
-        shown = np.round(score, SCORE_DIGITS)
-        some = shown != 0
-        q, i, score, shown = q[some], i[some], score[some], shown[some]
-        best = _best(q, i, shown, keep)
-        q, i, score = q[best], i[best], score[best]
-    return pa.Table.from_arrays([pa.array(queries[q]), pa.array(ids[i]), pa.array(score)], schema=_SCORES)
+def _product_tile(k: int, digits: int):
+    def multiply(table: pa.Table) -> pa.Table:
+        whole = not table["sliced"][0].as_py()
+        left, right = _side(table, LEFT, "inner"), _side(table, RIGHT, "inner")
+        if left is None or right is None:
+            return _SCORES.empty_table()
+        queries, qi = _codes(left["queryId"])
+        ids, ij = _codes(right["id"])
+        lu, ru = left["inner"].to_numpy(), right["inner"].to_numpy()
+        lx, rx = left["x"].to_numpy(), right["y"].to_numpy()
+        q, i, score, _ = _pair_sums(qi, lu, lx, ij, ru, rx, len(queries), len(ids))
+        wanted = np.round(score, digits) != 0 if whole else np.ones(q.size, dtype=bool)
+        barred = _side(table, BARRED, "queryId")
+        if barred is not None:
+            bq, bi = barred["queryId"].to_numpy(), barred["id"].to_numpy()
+            at_q, at_i = np.searchsorted(queries, bq), np.searchsorted(ids, bi)
+            here = (at_q < len(queries)) & (at_i < len(ids))
+            here[here] &= (queries[at_q[here]] == bq[here]) & (ids[at_i[here]] == bi[here])
+            wanted &= ~np.isin(q * len(ids) + i, at_q[here] * len(ids) + at_i[here])
+        q, i, score = q[wanted], i[wanted], score[wanted]
+        if whole:
+            best = _best_pairs(q, i, score, np.full(len(queries), k), len(ids), digits)
+            q, i, score = q[best], i[best], score[best]
+        columns = [pa.array(queries[q]), pa.array(ids[i]), pa.array(score)]
+        return pa.Table.from_arrays(columns, schema=_SCORES)
+
+    return multiply
 
 
 def sparse_top_k(
@@ -489,23 +542,23 @@ def sparse_top_k(
     left_cut: Cut | None = None,
     right_cut: Cut | None = None,
     slice_rows: int = SLICE_ROWS,
+    digits: int = SCORE_DIGITS,
 ) -> DataFrame:
     """Best ``k`` non-zero sums per query: ``queryId, id, score, rank``.
 
     ``left`` is ``queryId, inner, x``, ``right`` is ``inner, id, y`` and the score of a pair is the
-    sum of ``x·y`` over ``inner``.  ``exclude`` (``queryId, id``) bars pairs.  Both sides are read
-    twice, so they should be stored tables.
+    sum of ``x·y`` over ``inner``.  ``exclude`` (``queryId, id``) bars pairs; each barred pair
+    travels to the one tile it concerns.  Both sides are read twice, so they should be stored
+    tables.
     """
     left_cut = left_cut or cut(left, "queryId")
     right_cut = right_cut or cut(right, "id")
-    barred = None if exclude is None else exclude.select("queryId", "id").distinct()
     left_slices, right_slices = left_cut.slices(slice_rows), right_cut.slices(slice_rows)
     finest = max(*left_slices, *right_slices)
-    lefts = _with_keep(left, barred, k).select(
+    lefts = left.select(
         F.col("queryId").cast("bigint").alias("queryId"),
         F.col("inner").cast("bigint").alias("inner"),
         F.col("x").cast("double").alias("x"),
-        "keep",
     )
     rights = right.select(
         F.col("id").cast("bigint").alias("id"),
@@ -515,7 +568,7 @@ def sparse_top_k(
     left_pieces = _sliced_pieces(lefts, "queryId", "inner", left_cut, finest)
     right_pieces = _sliced_pieces(rights, "id", "inner", right_cut, finest)
     own, other = F.col("__own"), F.col("__other")
-    columns = ["__lb", "__rb", "__slice", "sliced", "side", "piece"]
+    keys = ["__lb", "__rb", "__slice"]
     placed = (
         _spread(left_pieces, left_slices, right_slices)
         .select(own.alias("__lb"), other.alias("__rb"), "__slice", "sliced", F.lit(LEFT).alias("side"), "piece")
@@ -524,11 +577,28 @@ def sparse_top_k(
             .select(other.alias("__lb"), own.alias("__rb"), "__slice", "sliced", F.lit(RIGHT).alias("side"), "piece")
         )
     )
+    if exclude is not None:
+        barred = _barred_pieces(exclude, left_cut.blocks, right_cut.blocks)
+        tile = F.greatest(F.lit(left_slices)[F.col("__lb")], F.lit(right_slices)[F.col("__rb")])
+        placed = placed.unionByName(
+            barred.select(
+                "__lb", "__rb", _range(tile).alias("__slice"), (tile > 1).alias("sliced"),
+                F.lit(BARRED).alias("side"), "piece",
+            )
+        )
     tiles = left_cut.blocks * right_cut.blocks * finest
-    found = _tiles(placed.select(*columns), ["__lb", "__rb", "__slice"], tiles, _product_tile, _SCORES_DDL)
+    found = _tiles(placed, keys, tiles, _product_tile(k, digits), _SCORES_DDL)
     if finest > 1:
         found = found.groupBy("queryId", "id").agg(F.sum("score").alias("score"))
-    found = found.withColumn("score", rounded(F.col("score"))).where(F.col("score") != 0)
-    if barred is not None:
-        found = found.join(barred, ["queryId", "id"], "left_anti")
+    found = found.withColumn("score", rounded(F.col("score"), digits)).where(F.col("score") != 0)
     return top_k_per(found, "queryId", [F.desc("score"), F.asc("id")], k)
+
+
+def _barred_pieces(exclude: DataFrame, query_blocks: int, item_blocks: int) -> DataFrame:
+    pairs = exclude.select(
+        block_of("queryId", query_blocks).alias("__lb"),
+        block_of("id", item_blocks).alias("__rb"),
+        F.col("queryId").cast("bigint").alias("queryId"),
+        F.col("id").cast("bigint").alias("id"),
+    ).distinct()
+    return packed(pairs, ["__lb", "__rb"], query_blocks * item_blocks, "queryId")

@@ -63,12 +63,21 @@ def item_sims(t):
 @query(
     "neighbors_weighted_history",
     views("norms") + SIMS_SQL + HISTORY_SQL
-    + " SELECT userId, movieId, score, max_sim, rank FROM history_best WHERE rank <= 10",
+    + " SELECT userId, movieId, score, rank FROM history_best WHERE rank <= 10",
 )
 def neighbors_weighted_history(t):
     return fallback.neighbors_for_users(t.ratings(), item_sims(t), k=10)
 
 
+@query(
+    "history_scores",
+    views("norms") + SIMS_SQL + HISTORY_SQL + " SELECT userId, movieId, score, max_sim FROM by_history",
+)
+def history_scores(t):
+    """Every score a history gives, not only the best."""
+    return fallback.score_by_history(t.ratings(), item_sims(t))
+
+
 @query(
     "neighbors_unseen_history",
     views("norms") + SIMS_SQL + HISTORY_SQL
@@ -80,8 +89,7 @@ def neighbors_weighted_history(t):
     SELECT userId, movieId, score, rank FROM unseen WHERE rank <= 10""",
 )
 def neighbors_unseen_history(t):
-    best = fallback.neighbors_for_users(t.ratings(), item_sims(t), k=10, exclude_seen=True)
-    return best.drop("max_sim")
+    return fallback.neighbors_for_users(t.ratings(), item_sims(t), k=10, exclude_seen=True)
 
 
 @query(

@@ -27,8 +27,10 @@ def lists(df):
 
 def test_history_is_weighted_by_rating(ratings, sims, spark):
     best = fallback.neighbors_for_users(ratings, sims, k=2).orderBy("userId", "rank").collect()
-    mine = [(r["movieId"], round(r["score"], 6), r["max_sim"]) for r in best if r["userId"] == 1]
-    assert mine == [(1, 3.6, 0.9), (3, 3.6, 0.9)]
+    assert [(r["movieId"], r["score"]) for r in best if r["userId"] == 1] == [(1, 3.6), (3, 3.6)]
+    every = {(r["userId"], r["movieId"]): (r["score"], r["max_sim"]) for r in fallback.score_by_history(ratings, sims).collect()}
+    assert every[(1, 3)] == (3.6, 0.9)
+    assert every[(2, 3)] == (5 * 0.9 + 3 * 0.4, 0.9)
     unseen = fallback.neighbors_for_users(ratings, sims, k=5, exclude_seen=True)
     assert {(r["userId"], r["movieId"]) for r in unseen.collect()} == {(1, 2), (2, 6), (3, 3), (4, 3), (4, 6)}
 
