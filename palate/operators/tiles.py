@@ -88,7 +88,7 @@ def tile_tasks(spark: SparkSession, groups: int) -> int:
     Tiles are heavy on CPU and light on bytes; an explicit count keeps adaptive execution from
     folding them into a few tasks.
     """
-    return max(1, min(groups, max(8 * parallelism(spark), shuffle_partitions(spark))))
+    return max(1, min(groups, max(3 * parallelism(spark), shuffle_partitions(spark))))
 
 
 def _to_bytes(table: pa.Table) -> bytes:
@@ -505,18 +505,24 @@ def co_rating_candidates(
     )
 
 
-def _product_tile(k: int, digits: int):
+_PRODUCTS = pa.schema([*_SCORES, ("overlap", pa.int64())])
+_PRODUCTS_DDL = _SCORES_DDL + ", overlap bigint"
+
+
+def _product_tile(k: int | None, digits: int):
+    """Sums of a tile: the best ``k`` per query when the tile is whole, else (or for None) all."""
+
     def multiply(table: pa.Table) -> pa.Table:
-        whole = not table["sliced"][0].as_py()
+        final = k is not None and not table["sliced"][0].as_py()
         left, right = _side(table, LEFT, "inner"), _side(table, RIGHT, "inner")
         if left is None or right is None:
-            return _SCORES.empty_table()
+            return _PRODUCTS.empty_table()
         queries, qi = _codes(left["queryId"])
         ids, ij = _codes(right["id"])
         lu, ru = left["inner"].to_numpy(), right["inner"].to_numpy()
         lx, rx = left["x"].to_numpy(), right["y"].to_numpy()
-        q, i, score, _ = _pair_sums(qi, lu, lx, ij, ru, rx, len(queries), len(ids))
-        wanted = np.round(score, digits) != 0 if whole else np.ones(q.size, dtype=bool)
+        q, i, score, common = _pair_sums(qi, lu, lx, ij, ru, rx, len(queries), len(ids))
+        wanted = np.round(score, digits) != 0 if final else np.ones(q.size, dtype=bool)
         barred = _side(table, BARRED, "queryId")
         if barred is not None:
             bq, bi = barred["queryId"].to_numpy(), barred["id"].to_numpy()
@@ -524,33 +530,18 @@ def _product_tile(k: int, digits: int):
             here = (at_q < len(queries)) & (at_i < len(ids))
             here[here] &= (queries[at_q[here]] == bq[here]) & (ids[at_i[here]] == bi[here])
             wanted &= ~np.isin(q * len(ids) + i, at_q[here] * len(ids) + at_i[here])
-        q, i, score = q[wanted], i[wanted], score[wanted]
-        if whole:
-            best = _best_pairs(q, i, score, np.full(len(queries), k), len(ids), digits)
-            q, i, score = q[best], i[best], score[best]
-        columns = [pa.array(queries[q]), pa.array(ids[i]), pa.array(score)]
-        return pa.Table.from_arrays(columns, schema=_SCORES)
+        chosen = np.flatnonzero(wanted)
+        if final:
+            limit = np.full(len(queries), k)
+            chosen = chosen[_best_pairs(q[chosen], i[chosen], score[chosen], limit, len(ids), digits)]
+        columns = [queries[q[chosen]], ids[i[chosen]], score[chosen], common[chosen].astype(np.int64)]
+        return pa.Table.from_arrays([pa.array(c) for c in columns], schema=_PRODUCTS)
 
     return multiply
 
 
-def sparse_top_k(
-    left: DataFrame,
-    right: DataFrame,
-    k: int,
-    exclude: DataFrame | None = None,
-    left_cut: Cut | None = None,
-    right_cut: Cut | None = None,
-    slice_rows: int = SLICE_ROWS,
-    digits: int = SCORE_DIGITS,
-) -> DataFrame:
-    """Best ``k`` non-zero sums per query: ``queryId, id, score, rank``.
-
-    ``left`` is ``queryId, inner, x``, ``right`` is ``inner, id, y`` and the score of a pair is the
-    sum of ``x·y`` over ``inner``.  ``exclude`` (``queryId, id``) bars pairs; each barred pair
-    travels to the one tile it concerns.  Both sides are read twice, so they should be stored
-    tables.
-    """
+def _sparse_tiles(left, right, k, exclude, left_cut, right_cut, slice_rows, digits) -> DataFrame:
+    """``queryId, id, score, overlap`` of every tile, slices of heavy tiles already added up."""
     left_cut = left_cut or cut(left, "queryId")
     right_cut = right_cut or cut(right, "id")
     left_slices, right_slices = left_cut.slices(slice_rows), right_cut.slices(slice_rows)
@@ -587,11 +578,50 @@ def sparse_top_k(
             )
         )
     tiles = left_cut.blocks * right_cut.blocks * finest
-    found = _tiles(placed, keys, tiles, _product_tile(k, digits), _SCORES_DDL)
+    found = _tiles(placed, keys, tiles, _product_tile(k, digits), _PRODUCTS_DDL)
     if finest > 1:
-        found = found.groupBy("queryId", "id").agg(F.sum("score").alias("score"))
-    found = found.withColumn("score", rounded(F.col("score"), digits)).where(F.col("score") != 0)
-    return top_k_per(found, "queryId", [F.desc("score"), F.asc("id")], k)
+        found = found.groupBy("queryId", "id").agg(
+            F.sum("score").alias("score"), F.sum("overlap").alias("overlap")
+        )
+    return found
+
+
+def sparse_products(
+    left: DataFrame,
+    right: DataFrame,
+    left_cut: Cut | None = None,
+    right_cut: Cut | None = None,
+    slice_rows: int = SLICE_ROWS,
+) -> DataFrame:
+    """``queryId, id, score, overlap`` of every pair that shares an inner key.
+
+    For a few rows on the left; what leaves the tiles is the result itself, not the pairs of
+    rows behind it, however many rows one inner key has.  Arguments as in :func:`sparse_top_k`.
+    """
+    return _sparse_tiles(left, right, None, None, left_cut, right_cut, slice_rows, SCORE_DIGITS)
+
+
+def sparse_top_k(
+    left: DataFrame,
+    right: DataFrame,
+    k: int,
+    exclude: DataFrame | None = None,
+    left_cut: Cut | None = None,
+    right_cut: Cut | None = None,
+    slice_rows: int = SLICE_ROWS,
+    digits: int = SCORE_DIGITS,
+) -> DataFrame:
+    """Best ``k`` non-zero sums per query: ``queryId, id, score, rank``.
+
+    ``left`` is ``queryId, inner, x``, ``right`` is ``inner, id, y`` and the score of a pair is the
+    sum of ``x·y`` over ``inner``.  ``exclude`` (``queryId, id``) bars pairs; each barred pair
+    travels to the one tile it concerns.  Both sides are read twice, so they should be stored
+    tables.
+    """
+    found = _sparse_tiles(left, right, k, exclude, left_cut, right_cut, slice_rows, digits)
+    found = found.select("queryId", "id", rounded(F.col("score"), digits).alias("score"))
+    order = [F.desc("score"), F.asc("id")]
+    return top_k_per(found.where(F.col("score") != 0), "queryId", order, k)
 
 
 def _barred_pieces(exclude: DataFrame, query_blocks: int, item_blocks: int) -> DataFrame:

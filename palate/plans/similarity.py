@@ -293,7 +293,7 @@ def favorites_max_cosine(t):
         SELECT *, CAST(row_number() OVER (PARTITION BY queryId ORDER BY score DESC, movieId)
                        AS INTEGER) AS rank
         FROM scored)
-    SELECT queryId, movieId, title, printf('%.4f', score) AS score_text, rank
+    SELECT queryId, movieId, title, printf('%.6f', score) AS score_text, rank
     FROM best JOIN movies USING (movieId) WHERE rank <= 10""".replace("{cosine}", COSINE_SQL),
 )
 def favorites_by_title(t):
@@ -302,7 +302,7 @@ def favorites_by_title(t):
     rings = t.movies().where(F.col("title").endswith(" ring")).select("title").distinct()
     asked = rings.select(F.length("title").cast("bigint").alias("queryId"), "title")
     best = recommend_for_favorites(asked, t.movies(), t.factors(), k=10)
-    return best.withColumn("score_text", fixed_score("score")).drop("score")
+    return best.withColumn("score_text", fixed_score("score", 6)).drop("score")
 
 
 @query(
