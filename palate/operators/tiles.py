@@ -53,22 +53,52 @@ def block_count(rows: int, block_rows: int, slots: int) -> int:
 
 @dataclass(frozen=True)
 class Cut:
-    """How one side of a sparse product is cut into blocks, and how many rows each one holds."""
+    """How one side of a sparse product is cut into blocks, and how many rows each one holds.
 
-    blocks: int
+    Keys are hashed to ``hashed`` blocks; each ``heavy`` key has a block of its own after those.
+    """
+
+    hashed: int
     rows: tuple[int, ...]
+    heavy: tuple[int, ...] = ()
+
+    @property
+    def blocks(self) -> int:
+        return self.hashed + len(self.heavy)
 
     def slices(self, slice_rows: int) -> list[int]:
-        """User slices per block, powers of two so that coarser slices are unions of finer ones."""
+        """Inner-key slices per block, powers of two so that coarser slices are unions of finer."""
         return [1 << (max(1, ceil(r / slice_rows)) - 1).bit_length() for r in self.rows]
 
+    def place(self, df: DataFrame, key: str, out: str) -> DataFrame:
+        """Adds the block number of ``key``.  There are fewer heavy keys than hashed blocks."""
+        block = block_of(key, self.hashed)
+        if not self.heavy:
+            return df.withColumn(out, block)
+        own = [(k, self.hashed + n) for n, k in enumerate(self.heavy)]
+        table = df.sparkSession.createDataFrame(own, f"{key} bigint, __heavy int")
+        placed = df.join(F.broadcast(table), key, "left")
+        return placed.withColumn(out, F.coalesce("__heavy", block)).drop("__heavy")
+
+
+def cut(
+    entries: DataFrame,
+    key: str,
+    block_keys: int = BLOCK_KEYS,
+    blocks: int | None = None,
+    slice_rows: int = SLICE_ROWS,
+) -> Cut:
+    """Sizes blocks of about ``block_keys`` keys with one pass that counts rows and keys over a
+    fixed number of hash cells.
 
-def cut(entries: DataFrame, key: str, block_keys: int = BLOCK_KEYS, blocks: int | None = None) -> Cut:
-    """One pass that counts rows and keys over a fixed number of hash cells, folded to blocks of
-    about ``block_keys`` keys."""
+    A key with more than half a slice of rows, and more than an average block has, gets its own
+    block: the slices of its tiles then add up one row of the product and not a full tile.  Such
+    keys are looked for in a second pass, only when some cell is that large.
+    """
     cells = HASH_CELLS if blocks is None else blocks
+    cell = block_of(key, cells)
     counted = (
-        entries.groupBy(block_of(key, cells).alias("cell"))
+        entries.groupBy(cell.alias("cell"))
         .agg(F.count(F.lit(1)).alias("rows"), F.approx_count_distinct(key).alias("keys"))
         .collect()
     )
@@ -79,7 +109,20 @@ def cut(entries: DataFrame, key: str, block_keys: int = BLOCK_KEYS, blocks: int
     rows = [0] * blocks
     for r in counted:  # cells is a multiple of blocks, so cell % blocks is the block
         rows[r["cell"] % blocks] += r["rows"]
-    return Cut(blocks, tuple(rows))
+    limit = max(slice_rows / 2, sum(rows) / blocks)
+    suspects = [r["cell"] for r in counted if r["rows"] > limit]
+    if not suspects:
+        return Cut(blocks, tuple(rows))
+    heavy = (
+        entries.where(cell.isin(suspects))
+        .groupBy(F.col(key).cast("bigint").alias("key"), block_of(key, blocks).alias("block"))
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .where(F.col("rows") > limit)
+        .collect()
+    )
+    for r in heavy:
+        rows[r["block"]] -= r["rows"]
+    return Cut(blocks, (*rows, *(r["rows"] for r in heavy)), tuple(r["key"] for r in heavy))
 
 
 def tile_tasks(spark: SparkSession, groups: int) -> int:
@@ -401,7 +444,7 @@ def _sliced_pieces(entries: DataFrame, key: str, inner: str, plan: Cut, finest:
     Every block is packed in the finest slicing any block needs, so a light block that meets a
     heavy one brings exactly the inner keys of the slice and no row travels twice to one tile.
     """
-    rows = entries.withColumn("__own", block_of(key, plan.blocks))
+    rows = plan.place(entries, key, "__own")
     rows = rows.withColumn("__piece", F.pmod(F.xxhash64(inner), F.lit(finest)).cast("int"))
     return packed(rows, ["__own", "__piece"], plan.blocks * finest, inner)
 
@@ -479,7 +522,7 @@ def co_rating_candidates(
     of blocks is multiplied once and answers for both.  Slices of a heavy tile send partial sums,
     at most block keys squared of them, which is about what they received.
     """
-    plan = plan or cut(entries, "movieId")
+    plan = plan or cut(entries, "movieId", slice_rows=slice_rows)
     n, slices = plan.blocks, plan.slices(slice_rows)
     rows = entries.select(
         F.col("userId").cast("bigint").alias("userId"),
@@ -542,8 +585,8 @@ def _product_tile(k: int | None, digits: int):
 
 def _sparse_tiles(left, right, k, exclude, left_cut, right_cut, slice_rows, digits) -> DataFrame:
     """``queryId, id, score, overlap`` of every tile, slices of heavy tiles already added up."""
-    left_cut = left_cut or cut(left, "queryId")
-    right_cut = right_cut or cut(right, "id")
+    left_cut = left_cut or cut(left, "queryId", slice_rows=slice_rows)
+    right_cut = right_cut or cut(right, "id", slice_rows=slice_rows)
     left_slices, right_slices = left_cut.slices(slice_rows), right_cut.slices(slice_rows)
     finest = max(*left_slices, *right_slices)
     lefts = left.select(
@@ -569,7 +612,7 @@ def _sparse_tiles(left, right, k, exclude, left_cut, right_cut, slice_rows, digi
         )
     )
     if exclude is not None:
-        barred = _barred_pieces(exclude, left_cut.blocks, right_cut.blocks)
+        barred = _barred_pieces(exclude, left_cut, right_cut)
         tile = F.greatest(F.lit(left_slices)[F.col("__lb")], F.lit(right_slices)[F.col("__rb")])
         placed = placed.unionByName(
             barred.select(
@@ -624,11 +667,10 @@ def sparse_top_k(
     return top_k_per(found.where(F.col("score") != 0), "queryId", order, k)
 
 
-def _barred_pieces(exclude: DataFrame, query_blocks: int, item_blocks: int) -> DataFrame:
+def _barred_pieces(exclude: DataFrame, left_cut: Cut, right_cut: Cut) -> DataFrame:
     pairs = exclude.select(
-        block_of("queryId", query_blocks).alias("__lb"),
-        block_of("id", item_blocks).alias("__rb"),
-        F.col("queryId").cast("bigint").alias("queryId"),
-        F.col("id").cast("bigint").alias("id"),
+        F.col("queryId").cast("bigint").alias("queryId"), F.col("id").cast("bigint").alias("id")
     ).distinct()
-    return packed(pairs, ["__lb", "__rb"], query_blocks * item_blocks, "queryId")
+    placed = right_cut.place(left_cut.place(pairs, "queryId", "__lb"), "id", "__rb")
+    keys = ["__lb", "__rb"]
+    return packed(placed.select(*keys, "queryId", "id"), keys, left_cut.blocks * right_cut.blocks, "queryId")

@@ -282,7 +282,7 @@ def favorites_max_cosine(t):
     "favorites_by_title",
     views("factors", "movies")
     + """, favs AS (
-        SELECT CAST(length(title) AS BIGINT) AS queryId, title, movieId FROM movies WHERE title LIKE '% ring'),
+        SELECT min(movieId) OVER (PARTITION BY title) AS queryId, title, movieId FROM movies),
     scored AS (
         SELECT f.queryId, b.id AS movieId, round(max({cosine}), 6) AS score
         FROM favs f JOIN factors a ON a.id = f.movieId CROSS JOIN factors b
@@ -297,10 +297,10 @@ def favorites_max_cosine(t):
     FROM best JOIN movies USING (movieId) WHERE rank <= 10""".replace("{cosine}", COSINE_SQL),
 )
 def favorites_by_title(t):
+    """Every title as a favourite, asking for movies close to any that bear it."""
     from palate.functions.columns import fixed_score
 
-    rings = t.movies().where(F.col("title").endswith(" ring")).select("title").distinct()
-    asked = rings.select(F.length("title").cast("bigint").alias("queryId"), "title")
+    asked = t.movies().groupBy("title").agg(F.min("movieId").alias("queryId"))
     best = recommend_for_favorites(asked, t.movies(), t.factors(), k=10)
     return best.withColumn("score_text", fixed_score("score", 6)).drop("score")
 

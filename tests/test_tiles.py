@@ -57,7 +57,9 @@ def assert_same(got, want):
 def test_co_ratings_equal_brute_force(spark, blocks, slice_rows, shrink):
     m = skewed_ratings()
     entries = as_entries(spark, m)
-    plan = tiles.cut(entries, "movieId", blocks=blocks)
+    plan = tiles.cut(entries, "movieId", blocks=blocks, slice_rows=slice_rows)
+    assert bool(plan.heavy) == (slice_rows < 100 and blocks == 16)  # the item everybody rated
+    assert sum(plan.rows) == np.count_nonzero(m)
     found = tiles.co_rating_candidates(entries, 5, shrink, plan, slice_rows)
     norms = item_norms(entries)
     joined = found.join(norms.select("movieId", "norm"), "movieId").join(
@@ -115,8 +117,8 @@ def test_sparse_product_with_hot_inner_key(spark, blocks, slice_rows):
     barred = {(q, i) for q in range(30) for i in range(50) if rng.random() < 0.4}
     exclude = spark.createDataFrame(sorted(barred), "queryId BIGINT, id BIGINT")
     got = tiles.sparse_top_k(
-        left, right, 6, exclude, tiles.cut(left, "queryId", blocks=blocks),
-        tiles.cut(right, "id", blocks=blocks), slice_rows,
+        left, right, 6, exclude, tiles.cut(left, "queryId", blocks=blocks, slice_rows=slice_rows),
+        tiles.cut(right, "id", blocks=blocks, slice_rows=slice_rows), slice_rows,
     )
     score = np.round(w @ s, 6)
     want = {}
