@@ -1,5 +1,6 @@
 """Where intermediate tables go, and small facts read from the caller's session."""
 
+import re
 import tempfile
 import uuid
 
@@ -9,14 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a temporary folder; on a cluster an unset
-    folder is an error, because a machine-local path dies with its machine.
+    A single-process master (``local[n]``), as in tests, may leave it unset: a folder is then made
+    for it.  On any cluster an unset folder is an error, because a machine-local path dies with
+    its machine.
     """
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if root:
         return root
-    if not sc.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     root = tempfile.mkdtemp(prefix="palate-ckpt-")
     sc.setCheckpointDir(root)

@@ -9,10 +9,11 @@ from conftest import DATA
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
+from palate.plans import registry
 
 FOLDER = str(DATA / f"sf{os.environ.get('PALATE_SF', '0.001')}")
 
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+QUERIES, SQL = registry.QUERIES, registry.ORACLES
 
 
 @pytest.fixture(scope="module")
