@@ -45,8 +45,8 @@ class Fence:
 FENCES = (
     Fence("word_length", "floor(100 * word_chars / greatest(n_words, 1))", 100, low=True),
     Fence("symbols", "floor(10000 * n_symbols / greatest(n_words, 1))", 300),
-    Fence("dup_lines", "floor(10000 * n_dup_lines / greatest(n_lines, 1))", 800),
-    Fence("repeats", "floor(10000 * n_repeat_words / greatest(n_words, 1))", 400),
+    Fence("dup_lines", "floor(10000 * n_dup_lines / greatest(n_lines, 1))", 1200),
+    Fence("repeats", "floor(10000 * n_repeat_words / greatest(n_words, 1))", 600),
 )
 
 

@@ -1,6 +1,13 @@
 """The registered corpus queries and the SQL of those that SQL can express."""
 
+from palate.llm.mixing import OP4_SQL, op4_mixing
 from palate.llm.quality_rules import OP6_SQL, op6_quality_rules
 
-QUERIES = {"op6_quality_rules": op6_quality_rules}
-ORACLES = {"op6_quality_rules": OP6_SQL}
+QUERIES = {
+    "op4_mixing": op4_mixing,
+    "op6_quality_rules": op6_quality_rules,
+}
+ORACLES = {
+    "op4_mixing": OP4_SQL,
+    "op6_quality_rules": OP6_SQL,
+}
