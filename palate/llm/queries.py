@@ -1,9 +1,11 @@
 """The registered corpus queries and the SQL of those that SQL can express."""
 
+from palate.llm.bpe import op2_bpe
 from palate.llm.mixing import OP4_SQL, op4_mixing
 from palate.llm.quality_rules import OP6_SQL, op6_quality_rules
 
 QUERIES = {
+    "op2_bpe": op2_bpe,
     "op4_mixing": op4_mixing,
     "op6_quality_rules": op6_quality_rules,
 }
