@@ -29,11 +29,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palate.llm.common import ROW, text_of, with_row_id
+from palate.llm.common import ROW, map_text, text_of, with_row_id
 from palate.session import shuffle_partitions
 
 PIECE = 1 << 15
@@ -236,15 +237,16 @@ def halves(n: int, longest: int) -> list[int]:
 
 
 def _whole(path: str, leaf: int, window: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def start():
         codec = Codec(path, leaf, window)
-        for batch in batches:
-            for at in range(0, len(batch), ROWS_AT_ONCE):
-                part = batch.iloc[at : at + ROWS_AT_ONCE]
-                ids = codec.encode(part["__text"].tolist())
-                yield part.drop(columns="__text").assign(ids=ids, decoded=[codec.decode(x) for x in ids])
 
-    return run
+        def work(texts: list[str]) -> list[pa.Array]:
+            ids = codec.encode(texts)
+            return [pa.array(ids, pa.binary()), pa.array([codec.decode(x) for x in ids], pa.string())]
+
+        return work
+
+    return start
 
 
 def _cut(piece: int):
@@ -300,9 +302,7 @@ def encode_decode(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",
     """
     here = text_of(text).alias("__text")
     long = F.length(text_of(text)) > piece
-    kept = [docs.schema[c] for c in keep]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
-    short = docs.where(~long).select(*keep, here).mapInPandas(_whole(path, leaf, window), f"{schema}, {_OUT}")
+    short = map_text(docs.where(~long), list(keep), _OUT, _whole(path, leaf, window), text, ROWS_AT_ONCE)
     rows = with_row_id(docs).where(long)
     place = f"{ROW[0]} long, {ROW[1]} long"
     cut = rows.select(*ROW, here).mapInPandas(_cut(piece), f"{place}, no int, __text string")

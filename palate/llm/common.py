@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,6 +48,27 @@ def with_row_id(df: DataFrame) -> DataFrame:
         return settle(df, "rows").select("*", *place)
 
 
+def map_text(docs: DataFrame, keep: list[str], made: str, start: Callable[[], Callable[[list[str]], list[pa.Array]]],
+             text: str = "text", at_once: int = 1000) -> DataFrame:
+    """``keep`` as it is, and the columns ``made`` (DDL) that a function of the texts gives.
+
+    ``start`` is called once per task and returns that function, which gets ``at_once`` texts at a
+    time (null: empty) and returns one array per new column.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work = start()
+        for batch in batches:
+            for at in range(0, batch.num_rows, at_once):
+                part = batch.slice(at, at_once)
+                new = work(part.column(part.num_columns - 1).to_pylist())
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], *new], [*keep, *names])
+
+    names = [x.split()[0] for x in made.split(",")]
+    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema]
+    return docs.select(*keep, text_of(text).alias("__text")).mapInArrow(run, ", ".join([*kept, made]))
+
+
 def ranked(df: DataFrame, group: list[str], order: list[Column], start: int = 0, name: str = "slot",
            rows_per_task: int = 1000) -> DataFrame:
     """Gapless numbers within each group, a group of any size being spread over many tasks.

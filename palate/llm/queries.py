@@ -2,6 +2,7 @@
 
 from palate.llm.bpe import op2_bpe
 from palate.llm.mixing import OP4_SQL, op4_mixing
+from palate.llm.quality_classifier import op10_quality_classifier
 from palate.llm.quality_rules import OP6_SQL, op6_quality_rules
 from palate.llm.simhash import op7_simhash
 
@@ -10,6 +11,7 @@ QUERIES = {
     "op4_mixing": op4_mixing,
     "op6_quality_rules": op6_quality_rules,
     "op7_simhash": op7_simhash,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 ORACLES = {
     "op4_mixing": OP4_SQL,

@@ -26,11 +26,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palate.llm.common import ROW, same, text_of, with_row_id
+from palate.llm.common import ROW, map_text, same, with_row_id
 from palate.llm.components import components
 from palate.session import settle, shuffle_partitions
 
@@ -62,13 +63,10 @@ def fingerprint(text: str, width: int = 4, seed: int = 42) -> int:
 def fingerprints(docs: DataFrame, keep: list[str], text: str = "text", width: int = 4) -> DataFrame:
     """``keep`` and ``fp`` (signed) of each document."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            fps = [fingerprint(t, width) for t in batch["__text"]]
-            yield batch.drop(columns="__text").assign(fp=np.array(fps, np.int64))
+    def start():
+        return lambda texts: [pa.array([fingerprint(t, width) for t in texts], pa.int64())]
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(keep).schema)
-    return docs.select(*keep, text_of(text).alias("__text")).mapInPandas(run, f"{schema}, fp long")
+    return map_text(docs, keep, "fp long", start, text)
 
 
 def _remainders(words: np.ndarray) -> np.ndarray:
