@@ -284,8 +284,11 @@ def _pieces(path: str, leaf: int, window: int):
 
 
 def _stitch(path: str, leaf: int, window: int):
+    loaded: list[Codec] = []  # one for all documents of a task
+
     def run(key: tuple, pieces: pd.DataFrame) -> pd.DataFrame:
-        codec = Codec(path, leaf, window)
+        loaded or loaded.append(Codec(path, leaf, window))
+        codec = loaded[0]
         pieces = pieces.sort_values("no")
         chained = codec.chain([Piece(_unpack(h), b, _unpack(t)) for h, b, t in zip(pieces["head"], pieces["body"], pieces["tail"], strict=True)])
         ids = chained.ids()
