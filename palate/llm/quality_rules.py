@@ -77,11 +77,14 @@ def measure(docs: DataFrame) -> DataFrame:
     # Words covered: five by the first window, and by each later one what lies past the window before it.
     steps = F.transform("__twins", lambda p, j: F.when(j == 0, F.lit(5)).otherwise(F.least(F.lit(5), p - F.get("__twins", j - 1))))
     covered = F.aggregate(steps, F.lit(0).cast("long"), lambda a, x: a + x)
+    # Adds 0.  A random term keeps the optimizer from moving later filters below this projection,
+    # where they would make the arrays anew for each of their elements.
+    covered = F.coalesce(covered, F.lit(0)) + F.rand(0).cast("long")
     out = out.select(
         *[c for c in out.columns if c not in ("__sorted", "__twins", text)],
         F.length(F.translate(text, WHITE, "")).cast("long").alias("word_chars"),
         (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
-        F.coalesce(covered, F.lit(0).cast("long")).alias("n_repeat_words"),
+        covered.alias("n_repeat_words"),
     )
     return out.withColumn("base_failed", F.expr("n_words < 10 OR 100 * n_repeat_words > 20 * n_words"))
 
@@ -141,8 +144,8 @@ def judge(docs: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The documents that pass.  Texts are measured twice rather than stored or shuffled."""
-    narrow = docs.select(*GROUP, "text")
-    bounds = settle(thresholds(sketches(measure(narrow))), "thresholds")
+    measured = settle(measure(docs.select(*GROUP, "text")).select(*GROUP, *MEASURES, "base_failed"), "measures")
+    bounds = settle(thresholds(sketches(measured)), "thresholds")
     named = [c for c in docs.columns if c in MEASURES or c == "base_failed"]
     if named:  # a clash: the caller's columns go aside and come back
         docs = docs.withColumnsRenamed({c: f"__own_{c}" for c in named})

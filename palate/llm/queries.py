@@ -1,5 +1,6 @@
 """The registered corpus queries and the SQL of those that SQL can express."""
 
+import corpus_pipeline
 from palate.llm.bpe import op2_bpe
 from palate.llm.mixing import OP4_SQL, op4_mixing
 from palate.llm.quality_classifier import op10_quality_classifier
@@ -7,6 +8,7 @@ from palate.llm.quality_rules import OP6_SQL, op6_quality_rules
 from palate.llm.simhash import op7_simhash
 
 QUERIES = {
+    "pipeline": corpus_pipeline.run,
     "op2_bpe": op2_bpe,
     "op4_mixing": op4_mixing,
     "op6_quality_rules": op6_quality_rules,
