@@ -5,7 +5,9 @@ from palate.llm.bpe import op2_bpe
 from palate.llm.mixing import OP4_SQL, op4_mixing
 from palate.llm.quality_classifier import op10_quality_classifier
 from palate.llm.quality_rules import OP6_SQL, op6_quality_rules
+from palate.llm.sharding import op9_sharding
 from palate.llm.simhash import op7_simhash
+from palate.llm.warc import OP8_SQL, op8_warc
 
 QUERIES = {
     "pipeline": corpus_pipeline.run,
@@ -13,9 +15,12 @@ QUERIES = {
     "op4_mixing": op4_mixing,
     "op6_quality_rules": op6_quality_rules,
     "op7_simhash": op7_simhash,
+    "op8_warc": op8_warc,
+    "op9_sharding": op9_sharding,
     "op10_quality_classifier": op10_quality_classifier,
 }
 ORACLES = {
     "op4_mixing": OP4_SQL,
     "op6_quality_rules": OP6_SQL,
+    "op8_warc": OP8_SQL,
 }
