@@ -7,12 +7,14 @@ from palate.llm.quality_classifier import op10_quality_classifier
 from palate.llm.quality_rules import OP6_SQL, op6_quality_rules
 from palate.llm.sharding import op9_sharding
 from palate.llm.simhash import op7_simhash
+from palate.llm.url_filters import OP5_SQL, op5_url_filters
 from palate.llm.warc import OP8_SQL, op8_warc
 
 QUERIES = {
     "pipeline": corpus_pipeline.run,
     "op2_bpe": op2_bpe,
     "op4_mixing": op4_mixing,
+    "op5_url_filters": op5_url_filters,
     "op6_quality_rules": op6_quality_rules,
     "op7_simhash": op7_simhash,
     "op8_warc": op8_warc,
@@ -21,6 +23,7 @@ QUERIES = {
 }
 ORACLES = {
     "op4_mixing": OP4_SQL,
+    "op5_url_filters": OP5_SQL,
     "op6_quality_rules": OP6_SQL,
     "op8_warc": OP8_SQL,
 }
