@@ -3,6 +3,7 @@
 import corpus_pipeline
 from palate.llm.bpe import op2_bpe
 from palate.llm.mixing import OP4_SQL, op4_mixing
+from palate.llm.neighbors import op3_neighbors
 from palate.llm.quality_classifier import op10_quality_classifier
 from palate.llm.quality_rules import OP6_SQL, op6_quality_rules
 from palate.llm.sharding import op9_sharding
@@ -13,6 +14,7 @@ from palate.llm.warc import OP8_SQL, op8_warc
 QUERIES = {
     "pipeline": corpus_pipeline.run,
     "op2_bpe": op2_bpe,
+    "op3_neighbors": op3_neighbors,
     "op4_mixing": op4_mixing,
     "op5_url_filters": op5_url_filters,
     "op6_quality_rules": op6_quality_rules,
