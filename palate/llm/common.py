@@ -53,7 +53,8 @@ def map_text(docs: DataFrame, keep: list[str], made: str, start: Callable[[], Ca
     """``keep`` as it is, and the columns ``made`` (DDL) that a function of the texts gives.
 
     ``start`` is called once per task and returns that function, which gets ``at_once`` texts at a
-    time (null: empty) and returns one array per new column.
+    time (null: empty) and returns one array per new column.  Its attribute ``done``, if it has one,
+    is called when the task has no more texts.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -63,6 +64,7 @@ def map_text(docs: DataFrame, keep: list[str], made: str, start: Callable[[], Ca
                 part = batch.slice(at, at_once)
                 new = work(part.column(part.num_columns - 1).to_pylist())
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], *new], [*keep, *names])
+        getattr(work, "done", int)()
 
     names = [x.split()[0] for x in made.split(",")]
     kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema]

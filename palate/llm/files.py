@@ -41,6 +41,11 @@ class Roll:
         self.at += len(record)
         return f"{self.uri}/{self.name}", at
 
+    def flush(self) -> None:
+        """All that was appended is written; called before its rows are handed on."""
+        if self.out is not None:
+            self.out.flush()
+
     def close(self) -> None:
         if self.out is not None:
             self.out.close()

@@ -8,11 +8,13 @@ from palate.llm.quality_classifier import op10_quality_classifier
 from palate.llm.quality_rules import OP6_SQL, op6_quality_rules
 from palate.llm.sharding import op9_sharding
 from palate.llm.simhash import op7_simhash
+from palate.llm.token_counts import op1_token_counts
 from palate.llm.url_filters import OP5_SQL, op5_url_filters
 from palate.llm.warc import OP8_SQL, op8_warc
 
 QUERIES = {
     "pipeline": corpus_pipeline.run,
+    "op1_token_counts": op1_token_counts,
     "op2_bpe": op2_bpe,
     "op3_neighbors": op3_neighbors,
     "op4_mixing": op4_mixing,

@@ -115,6 +115,7 @@ def write_archives(pages: DataFrame, folder: str, least: int = 0) -> DataFrame:
                 number = lambda x: None if x is None else int(x)
                 raw = gzip.compress(record(number(page), url, payload, digest, number(first), revisit), LEVEL, mtime=0)
                 out.append((*roll.append(raw), len(raw), url, digest, "revisit" if revisit else "response"))
+            roll.flush()
             yield pd.DataFrame(out, columns=["file", "offset", "length", "url", "digest", "record_type"])
         roll.close()
 
