@@ -157,8 +157,9 @@ def fit(classes: DataFrame, n: int, k: int, sample: int = SAMPLE) -> dict[str, n
     parts = 1 << max(2, round(np.log2(max(1, min(MOST, n / PER_PARTITION)))))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(batches))
-        if len(rows):
+        got = [b for b in batches if len(b)]
+        if got:
+            rows = pd.concat(got)
             yield pd.DataFrame({"model": [_pack(fit_sample(np.stack(rows["v"].to_numpy()), parts, k))]})
 
     chosen = classes.select("v", F.xxhash64("cid").alias("h")).orderBy("h").limit(sample).select("v")

@@ -9,7 +9,7 @@ under ten words, or over a fifth of the words in repeated five-word windows.
 
 Defined cases: a null or empty text has no words and fails; null languages and sources are groups
 of their own; repeated rows are measured and judged each; an empty table gives an empty result;
-other columns pass through unless they bear the name of a measure, which replaces them.
+other columns pass through ``keep_good``, whatever their names.
 """
 
 from __future__ import annotations
@@ -146,9 +146,9 @@ def keep_good(docs: DataFrame) -> DataFrame:
     """The documents that pass.  Texts are measured twice rather than stored or shuffled."""
     measured = settle(measure(docs.select(*GROUP, "text")).select(*GROUP, *MEASURES, "base_failed"), "measures")
     bounds = settle(thresholds(sketches(measured)), "thresholds")
-    named = [c for c in docs.columns if c in MEASURES or c == "base_failed"]
-    if named:  # a clash: the caller's columns go aside and come back
-        docs = docs.withColumnsRenamed({c: f"__own_{c}" for c in named})
+    ours = {*MEASURES, "base_failed", "kept", *bounds.columns} - {*GROUP}
+    named = [c for c in docs.columns if c in ours]  # the caller's columns of these names go aside and come back
+    docs = docs.withColumnsRenamed({c: f"__own_{c}" for c in named})
     out = fenced(measure(docs), bounds).where("kept").drop(*MEASURES, "base_failed", "kept")
     return out.withColumnsRenamed({f"__own_{c}": c for c in named})
 

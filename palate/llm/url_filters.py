@@ -108,8 +108,9 @@ def build(rules: DataFrame, folder: str) -> list[dict]:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import uuid
 
-        rows = pd.concat(list(batches))  # a shard, of bounded size
-        if len(rows):
+        got = [b for b in batches if len(b)]
+        if got:
+            rows = pd.concat(got)  # a shard, of bounded size
             files, inner = place(folder)
             files.create_dir(inner, recursive=True)
             name = f"rules-{uuid.uuid4().hex}"

@@ -1,0 +1,60 @@
+import random
+import unicodedata
+
+import numpy as np
+import pytest
+from tokenizers import Tokenizer
+
+from palate.llm import bpe
+
+
+@pytest.fixture(scope="module")
+def library():
+    t = Tokenizer.from_file(bpe.vocabulary())
+    t.no_truncation()
+    t.no_padding()
+    return t
+
+
+BITS = ["a", "b", "the", "tion", "'s", "'re", "'", "!", "!!", "é", "ß", "日本", "語", "1", "23", "İ", "Σ", "😀", "👍🏽", "<|endoftext|>", "<|end",
+        "oftext|>", "́", "̣", "ing", "er", "x" * 30, "\x1c", "\x85", " ", " ", " ", "\n", " ", "\xa0", "_", "-", "http://", "ǆ", "ﬁ"]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_pieces_and_leaves_equal_the_library(library, seed):
+    r = random.Random(seed)
+    codec = bpe.Codec(bpe.vocabulary(), leaf=60, window=20)
+    for k in range(300):
+        text = "".join(r.choice(BITS) for _ in range(r.randint(0, 120)))
+        text = "".join(text.split()) if k % 2 else text
+        want = library.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(codec.encode([text])[0], "<u4").tolist() == want
+        if text:
+            at = bpe.halves(len(text), r.randint(3, 60)) if unicodedata.is_normalized("NFC", text) else [0, len(text)]
+            joined = codec.chain([codec.piece(text[a:b]) for a, b in zip(at, at[1:], strict=False)])
+            assert np.frombuffer(joined.ids(), "<u4").tolist() == want
+        assert codec.decode(np.array(want, "<u4").tobytes()) == library.decode(want, skip_special_tokens=False)
+
+
+def test_joins_in_long_unsplit_text(library):
+    r = random.Random(3)
+    text = "".join(r.choice(["ab", "the", "ing", "zu", "é", "日", "q"]) for _ in range(20_000))
+    codec = bpe.Codec(bpe.vocabulary(), leaf=500)
+    assert codec.fragment(text).ids.tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_documents(odd, library):
+    got = bpe.encode_decode(odd, bpe.vocabulary(), keep=("doc_id", "n_chars"), piece=3000, leaf=1000).collect()
+    want = sorted(
+        ((r.doc_id, library.encode(r.text or "", add_special_tokens=False).ids) for r in odd.collect()), key=str
+    )
+    have = sorted(((r.doc_id, np.frombuffer(bytes(r.ids), "<u4").tolist()) for r in got), key=str)
+    assert have == want
+    for r in got:
+        ids = np.frombuffer(bytes(r.ids), "<u4").tolist()
+        assert r.decoded == library.decode(ids, skip_special_tokens=False)
+    assert {r.n_chars for r in got} == {r.n_chars for r in odd.collect()}
+
+
+def test_empty(none):
+    assert bpe.digests(bpe.encode_decode(none, bpe.vocabulary())).count() == 0

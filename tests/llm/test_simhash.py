@@ -1,0 +1,113 @@
+import random
+
+import numpy as np
+import pandas as pd
+import pytest
+import xxhash
+
+from palate.llm import simhash
+from palate.llm.components import components
+
+
+def brute(text, width=4):
+    words = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "").encode().split()
+    words = [w.decode() for w in words]
+    s = [" ".join(words[i : i + width]) for i in range(len(words) - width + 1)] or ([" ".join(words)] if words else [])
+    h = [xxhash.xxh64_intdigest(x.encode(), seed=42) for x in s]
+    value = sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+    return value - (1 << 64) if value >> 63 else value
+
+
+def brute_components(pairs, nodes):
+    root = {n: n for n in nodes}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in pairs:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    return {n: find(n) for n in nodes}
+
+
+def test_fingerprints(odd):
+    got = simhash.fingerprints(odd, ["doc_id", "text"]).collect()
+    assert len(got) == odd.count()
+    assert all(r.fp == brute(r.text) for r in got)
+
+
+def keys(fps):
+    frame = pd.concat(list(simhash._bucket_keys(iter([pd.DataFrame({"fp": np.array(fps, np.int64)})]))))
+    return frame.groupby("fp")["key"].agg(set)
+
+
+def test_fingerprints_within_four_bits_share_a_bucket():
+    r = np.random.default_rng(2)
+    for _ in range(200):
+        x = int(r.integers(-(2**63), 2**63 - 1))
+        y = np.array([x]).view(np.uint64)
+        for b in r.choice(64, r.integers(0, 5), replace=False):
+            y ^= np.uint64(1) << np.uint64(b)
+        y = int(y.view(np.int64)[0])
+        k = keys(sorted({x, y}))
+        assert k[x] & k[y]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_links_join_what_brute_force_joins(spark, seed):
+    r = random.Random(seed)
+    base = [r.getrandbits(64) for _ in range(60)]
+    fps = set(base)
+    for _ in range(500):  # chains and one dense crowd
+        x = r.choice([*base, base[0], base[0]])
+        for _ in range(r.randint(1, 7)):
+            x ^= 1 << r.randrange(64)
+        fps.add(x)
+    signed = [x - (1 << 64) if x >> 63 else x for x in fps]
+    df = spark.createDataFrame([(x,) for x in signed], "fp long")
+    pairs = [(a, b) for i, a in enumerate(signed) for b in signed[:i] if ((a ^ b) & (2**64 - 1)).bit_count() <= 4]
+    links = simhash.fingerprint_links(df)
+    found = {(min(r), max(r)) for r in links.collect()}
+    assert found <= {(min(p), max(p)) for p in pairs}
+    assert brute_components(found, signed) == brute_components(pairs, signed)
+    roots = {r.node: r.root for r in components(links).collect()}
+    want = brute_components(pairs, signed)
+    assert roots == {n: want[n] for p in pairs for n in p}
+
+
+def test_forest_is_linear_in_a_crowd():
+    center = np.uint64(0x123456789ABCDEF0)
+    crowd = np.array([center ^ (np.uint64(1) << np.uint64(i)) ^ (np.uint64(1) << np.uint64(j)) for i in range(64) for j in range(i)], np.uint64)
+    assert len(simhash.forest(crowd.view(np.int64))) == len(crowd) - 1
+
+
+def test_components_with_loops_and_none(spark):
+    df = spark.createDataFrame([(1, 1), (2, 3), (3, 2), (5, 4), (4, 3)], "u long, v long")
+    assert {(r.node, r.root) for r in components(df).collect()} == {(2, 2), (3, 2), (4, 2), (5, 2)}
+    assert components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_one_of_each_group_stays(odd):
+    kept = simhash.drop_near_duplicates(odd)
+    assert kept.columns == odd.columns
+    rows = kept.collect()
+    ids = sorted((r.doc_id for r in rows), key=str)
+    want = {}
+    for r in odd.collect():  # these texts are equal or far apart
+        want.setdefault(brute(r.text), []).append(r.doc_id)
+    least = [min((i for i in v if i is not None), default=None) for v in want.values()]
+    assert ids == sorted(least, key=str)
+
+
+def test_null_ids_name_no_component(spark):
+    df = spark.createDataFrame([(None, 0xFFFF), (None, 0xFFFF0000), (3, 0xFFFF << 40), (None, 0xFFFF << 40)], "doc_id long, fp long")
+    got = {r.fp: (r.n, r.component_id) for r in simhash.near_duplicates(df).collect()}
+    assert got == {0xFFFF: (1, None), 0xFFFF0000: (1, None), 0xFFFF << 40: (2, 3)}
+
+
+def test_empty(none, spark, tmp_path):
+    assert simhash.drop_near_duplicates(none).count() == 0
+    none.write.parquet(f"{tmp_path}/documents.parquet")
+    assert simhash.op7_simhash(spark, str(tmp_path)).count() == 0
