@@ -115,13 +115,9 @@ def user_sessions(t):
 
 
 def event_stream(t):
-    """The event log as a file stream."""
+    """The event log as a file stream; the table may be one file or a folder of parts."""
     schema = t.table("events").schema
-    raw = (
-        t.spark.readStream.schema(schema)
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(t.folder)
-    )
+    raw = t.spark.readStream.schema(schema).parquet(f"{t.folder}/events.parquet*")
     return fb.with_event_time(t.shape_events(raw))
 
 
@@ -129,37 +125,26 @@ def purchase_stream(t):
     return t.shape_purchases(event_stream(t)).transform(fb.with_event_time)
 
 
-#: What a stream has emitted once its watermark stands at the newest event minus the delay.
-CLOSED = " WHERE {end} <= (SELECT max(\"timestamp\") - 600 FROM {source})"
+WINDOW_KEYS = ["window_start", "window_end", "movieId"]
 
 
-@query(
-    "stream_popularity",
-    views("purchases") + windows_sql(86400, 86400)
-    + " SELECT * FROM popular" + CLOSED.format(end="window_end", source="purchases"),
-)
+@query("stream_popularity", views("purchases") + windows_sql(86400, 86400) + " SELECT * FROM popular")
 def stream_popularity(t):
     windows = fb.popularity_windows(purchase_stream(t), "1 day", delay="10 minutes")
-    return fb.run_to_table(windows, "stream-popularity")
+    return fb.run_to_current(windows, "stream-popularity", WINDOW_KEYS)
 
 
-@query(
-    "stream_sliding",
-    views("purchases") + windows_sql(86400, 21600)
-    + " SELECT * FROM popular" + CLOSED.format(end="window_end", source="purchases"),
-)
+@query("stream_sliding", views("purchases") + windows_sql(86400, 21600) + " SELECT * FROM popular")
 def stream_sliding(t):
     windows = fb.popularity_windows(purchase_stream(t), "1 day", "6 hours", delay="10 minutes")
-    return fb.run_to_table(windows, "stream-sliding")
+    return fb.run_to_current(windows, "stream-sliding", WINDOW_KEYS)
 
 
-@query(
-    "stream_sessions",
-    views("evts") + SESSIONS_SQL
-    + " SELECT * FROM sessions" + CLOSED.format(end="session_end", source="evts"),
-)
+@query("stream_sessions", views("evts") + SESSIONS_SQL + " SELECT * FROM sessions")
 def stream_sessions(t):
-    return fb.run_to_table(fb.user_sessions(event_stream(t), delay="10 minutes"), "stream-sessions")
+    """Slots are kept up to date by the stream; sessions, the open ones too, are read from them."""
+    slots = fb.activity_slots(event_stream(t), delay="10 minutes")
+    return fb.sessions_of_slots(fb.run_to_current(slots, "stream-sessions", ["userId", "slot"]))
 
 
 @query("stream_latest", views("purchases") + LATEST_SQL)

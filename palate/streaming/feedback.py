@@ -4,6 +4,8 @@ An aggregate is one function for static and streaming frames alike; only the wat
 sink differ.  Event time is the column ``event_time`` (TIMESTAMP).
 """
 
+import json
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -45,17 +47,24 @@ def coerce_feedback(raw: DataFrame) -> DataFrame:
     return typed.withColumn("problem", problem)
 
 
-def _batch_writer(targets: dict[str, Callable[[DataFrame], DataFrame]]):
-    """``foreachBatch`` body that writes parts of a batch to folders named by the batch id.
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark keeps in a checkpoint: the same after a restart, another for a new checkpoint."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
 
-    A batch that is run again after a failure overwrites its own folder, so nothing doubles.
+
+def _batch_writer(targets: dict[str, Callable[[DataFrame], DataFrame]], checkpoint: str):
+    """``foreachBatch`` body that writes parts of a batch to folders named by stream and batch.
+
+    A batch that is run again after a failure overwrites its own folder, so nothing doubles; a
+    stream with a new checkpoint counts its batches from 0 again, in folders of its own.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        run = stream_id(batch.sparkSession, checkpoint)
         batch.persist()
         try:
             for path, part in targets.items():
-                part(batch).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+                part(batch).write.mode("overwrite").parquet(f"{path}/run={run}/batch={batch_id}")
         finally:
             batch.unpersist()
 
@@ -85,7 +94,7 @@ def ingest_feedback(raw: DataFrame, accepted: str, quarantined: str, checkpoint:
         accepted: lambda batch: batch.where(usable).drop("problem"),
         quarantined: lambda batch: batch.where(~usable),
     }
-    return run_available(checked, _batch_writer(targets), checkpoint)
+    return run_available(checked, _batch_writer(targets, checkpoint), checkpoint)
 
 
 def append_stream(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
@@ -125,18 +134,21 @@ def maintain_latest(feedback: DataFrame, root: str, checkpoint: str) -> Streamin
     A batch costs what it brings, not what was stored before; :func:`read_latest` merges deltas
     and :func:`compact_latest` folds them into one.
     """
-    return run_available(feedback, _batch_writer({root: latest_ratings}), checkpoint)
+    return run_available(feedback, _batch_writer({root: latest_ratings}, checkpoint), checkpoint)
 
 
 def read_latest(spark: SparkSession, root: str) -> DataFrame:
-    return latest_ratings(spark.read.parquet(root).drop("batch"))
+    return latest_ratings(spark.read.parquet(root).drop("run", "batch"))
 
 
 def compact_latest(spark: SparkSession, root: str, out: str) -> None:
-    """Write the merged deltas to a new folder, which readers then use in place of ``root``."""
+    """Write the merged deltas to a new folder, which readers and streams then use in place of ``root``.
+
+    The base has a name that no stream takes.
+    """
     if path_exists(spark, out):
         raise ValueError(f"{out} exists; compaction writes a new folder")
-    read_latest(spark, root).write.parquet(f"{out}/batch=0")
+    read_latest(spark, root).write.parquet(f"{out}/run=base-{uuid.uuid4().hex}/batch=0")
 
 
 # ---------------------------------------------------------------- windows and sessions
@@ -190,10 +202,22 @@ def user_sessions(
             _seconds(F.col("session.end")).alias("session_end"),
             "n_events",
         )
+    return sessions_of_slots(activity_slots(activity, gap_seconds), gap_seconds)
+
+
+def activity_slots(activity: DataFrame, gap_seconds: int = SESSION_GAP_SECONDS, delay: str = DELAY) -> DataFrame:
+    """``userId, slot, first, last, n``: activity folded to slots of one gap, static or streaming."""
     at = _seconds(F.col("event_time"))
-    slots = activity.groupBy("userId", F.floor(at / gap_seconds).alias("slot")).agg(
+    slot = F.window("event_time", f"{gap_seconds} seconds")
+    folded = _watermarked(activity, delay).groupBy(slot.alias("window"), "userId").agg(
         F.min(at).alias("first"), F.max(at).alias("last"), F.count(F.lit(1)).alias("n")
     )
+    number = F.floor(_seconds(F.col("window.start")) / gap_seconds)
+    return folded.select("userId", number.alias("slot"), "first", "last", "n")
+
+
+def sessions_of_slots(slots: DataFrame, gap_seconds: int = SESSION_GAP_SECONDS) -> DataFrame:
+    """Sessions, open ones too, from :func:`activity_slots`."""
     by_user = Window.partitionBy("userId").orderBy("slot")
     starts = F.col("first") - F.lag("last").over(by_user) > gap_seconds
     flagged = slots.withColumn("starts", F.coalesce(starts, F.lit(True)).cast("int"))
@@ -218,3 +242,28 @@ def run_to_table(stream: DataFrame, purpose: str) -> DataFrame:
     out, checkpoint = work_path(spark, purpose), work_path(spark, f"{purpose}-checkpoint")
     append_stream(stream, out, checkpoint)
     return spark.read.schema(stream.schema).parquet(out)
+
+
+def keep_updates(stream: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
+    """Store each batch's changed rows of an aggregate; :func:`read_updates` gives the current table."""
+
+    def changed(batch: DataFrame) -> DataFrame:
+        return batch
+
+    return run_available(stream, _batch_writer({root: changed}, checkpoint), checkpoint, "update")
+
+
+def read_updates(spark: SparkSession, root: str, keys: list[str]) -> DataFrame:
+    """The newest row of each key, windows that are still open included."""
+    rows = spark.read.parquet(root).drop("run")
+    values = [c for c in rows.columns if c not in (*keys, "batch")]
+    newest = F.max_by(F.struct(*values), F.col("batch")).alias("newest")
+    return rows.groupBy(*keys).agg(newest).select(*keys, *[F.col(f"newest.{c}").alias(c) for c in values])
+
+
+def run_to_current(stream: DataFrame, purpose: str, keys: list[str]) -> DataFrame:
+    """Run an aggregate over everything available and return its current table."""
+    spark = stream.sparkSession
+    out, checkpoint = work_path(spark, purpose), work_path(spark, f"{purpose}-checkpoint")
+    keep_updates(stream, out, checkpoint)
+    return read_updates(spark, out, keys).select(stream.columns)

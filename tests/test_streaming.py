@@ -50,14 +50,39 @@ def test_latest_is_maintained_over_runs(spark, dirs):
         fb.compact_latest(spark, root, dirs("compact"))
 
 
-def test_a_repeated_batch_does_not_double(spark, dirs):
-    write = fb._batch_writer({dirs("out"): lambda b: b})
+def test_a_repeated_batch_does_not_double(spark, dirs, monkeypatch):
+    monkeypatch.setattr(fb, "stream_id", lambda spark, checkpoint: "one")
+    write = fb._batch_writer({dirs("out"): lambda b: b}, dirs("ckpt"))
     batch = spark.createDataFrame([(1, 1, 3.0, T0)], SCHEMA)
     write(batch, 0)
     write(batch, 0)
     assert spark.read.parquet(dirs("out")).count() == 1
 
 
+def test_a_new_checkpoint_overwrites_no_delta(spark, dirs):
+    first, second = [(1, 1, 3.0, T0), (2, 1, 2.0, T0)], [(3, 9, 1.0, T0)]
+    put(spark, dirs("in"), first)
+    fb.maintain_latest(stream(spark, dirs("in")).drop("event_time"), dirs("latest"), dirs("ckpt"))
+    fb.compact_latest(spark, dirs("latest"), dirs("compact"))
+    put(spark, dirs("more"), second)
+    for root in ("latest", "compact"):
+        later = stream(spark, dirs("more")).drop("event_time")
+        fb.maintain_latest(later, dirs(root), dirs(f"ckpt-{root}"))
+        assert rows(fb.read_latest(spark, dirs(root))) == sorted(first + second)
+
+
+STREAMS = ["stream_popularity", "stream_sliding", "stream_sessions", "stream_latest", "stream_dedup", "stream_ingest"]
+
+
+@pytest.mark.parametrize("name", STREAMS)
+def test_a_table_may_be_a_folder_of_parts(spark, dirs, name):
+    from palate.plans.registry import QUERIES
+
+    source = "/root/testdata/sf0.001/events.parquet"
+    spark.read.parquet(source).repartition(3).write.parquet(f"{dirs('tables')}/events.parquet")
+    assert rows(QUERIES[name](spark, dirs("tables"))) == rows(QUERIES[name](spark, "/root/testdata/sf0.001"))
+
+
 def test_replays_are_dropped(spark, dirs):
     inbox = dirs("in")
     put(spark, inbox, [(1, 1, 3.0, T0), (1, 1, 3.0, T0), (1, 1, 2.5, T0 + 5)])
