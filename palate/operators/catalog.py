@@ -57,7 +57,7 @@ def missing_title_check(rows: DataFrame, limit: float = 0.5) -> DataFrame:
     )
 
 
-def first_titles(movies: DataFrame, n: int = 5000) -> DataFrame:
+def first_titles(movies: DataFrame, n: int) -> DataFrame:
     """The first ``n`` catalogue entries by id."""
     return movies.select("movieId", "title").orderBy("movieId").limit(n)
 

@@ -10,13 +10,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from palate.functions.vectors import radius_for_cosine, with_unit_vector
-from palate.operators.ranking import BROADCAST_ROWS, SCORE_DIGITS, rounded, top_k_per
+from palate.operators.ranking import SCORE_DIGITS, rounded, top_k_per
 from palate.operators.ratings import item_norms
 from palate.operators.tiles import Cut, co_rating_candidates, vector_top_k
 from palate.operators.weighting import rating_entries
+from palate.session import settle
 
-#: Item count up to which exact factor neighbours are the automatic choice.
-EXACT_ITEMS = 20_000
 TOP_N = 30
 BUCKET_LENGTH = 1.2
 HASH_TABLES = 3
@@ -189,12 +188,11 @@ def lsh_neighbors(
         vector_to_array("unit_vec").alias("unit"),
         F.posexplode("hashes").alias("table", "hash"),
     ).withColumn("bucket", vector_to_array("hash")[0].cast("bigint")).drop("hash")
-    # Only the fullest buckets need parts; any bucket beyond the list below holds less than
-    # 1/BROADCAST_ROWS of all rows.
+    # Every bucket with more rows than one part holds; stored, so the join is planned by its size.
     sizes = members.groupBy("table", "bucket").agg(F.count(F.lit(1)).alias("size"))
-    full = sizes.where(F.col("size") > bucket_rows).orderBy(F.desc("size")).limit(BROADCAST_ROWS)
+    full = settle(sizes.where(F.col("size") > bucket_rows), "full-buckets")
     parts = F.ceil(F.coalesce("size", F.lit(1)) / F.lit(bucket_rows)).cast("int")
-    members = members.join(F.broadcast(full), ["table", "bucket"], "left").withColumn("parts", parts)
+    members = members.join(full, ["table", "bucket"], "left").withColumn("parts", parts)
     found = _near_in_parts(members, radius_for_cosine(cos_threshold), top_n)
     return _ranked(found, top_n)
 
@@ -202,10 +200,11 @@ def lsh_neighbors(
 def precompute_neighbors(
     factors: DataFrame, top_n: int = TOP_N, method: str = "auto", **options
 ) -> DataFrame:
-    """``method``: ``exact``, ``lsh``, or ``auto`` (exact up to ``EXACT_ITEMS`` items)."""
+    """``method``: ``exact``, ``lsh``, or ``auto``, which is exact at every size.
+
+    The exact lists are made by many tasks, so there is no size at which they must be given up.
+    """
     if method not in ("auto", "exact", "lsh"):
         raise ValueError("method must be 'auto', 'exact' or 'lsh'")
-    if method == "auto":
-        method = "exact" if factors.limit(EXACT_ITEMS + 1).count() <= EXACT_ITEMS else "lsh"
-    build = factor_neighbors if method == "exact" else lsh_neighbors
+    build = lsh_neighbors if method == "lsh" else factor_neighbors
     return build(factors, top_n, **options)

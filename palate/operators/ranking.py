@@ -5,6 +5,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from palate.session import settle
+
 SCORE_DIGITS = 6
 
 #: Rows up to which a list is broadcast without asking the optimizer.
@@ -65,29 +67,24 @@ def spread_join(
     key: str,
     spread_by: str,
     how: str = "inner",
-    copies: int = 16,
-    hot_share: float = 0.01,
+    rows_per_task: int = 1_000_000,
 ) -> DataFrame:
-    """Join on ``key`` when a few keys of ``fact`` may own most of its rows.
+    """Join on ``key`` when some keys of ``fact`` may own very many of its rows.
 
-    Keys holding more than ``hot_share`` of the rows (fewer than ``1/hot_share`` of them) are
-    spread over ``copies`` tasks by the hash of ``spread_by``; only their ``dim`` rows are copied.
+    A key of ``n`` rows is spread over ``ceil(n / rows_per_task)`` tasks by the hash of
+    ``spread_by``, and only the ``dim`` rows of such keys are copied, once per task.  The keys are
+    counted once and stored, so the planner sees their true size: it broadcasts them if they are
+    few, and otherwise joins by exchanges that adaptive execution can split.
     """
-    bound = int(1 / hot_share) + 1
-    counts = fact.groupBy(key).agg(F.count(F.lit(1)).alias("__rows"))
-    total = counts.agg(F.sum("__rows").alias("__total")).scalar()
-    hot = (
-        counts.where(F.col("__rows") > total * F.lit(hot_share))
-        .orderBy(F.desc("__rows"))
-        .limit(bound)
-        .select(key, F.lit(True).alias("__hot"))
+    counts = fact.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / F.lit(rows_per_task)).cast("int").alias("__copies"))
+    hot = settle(counts.where(F.col("__copies") > 1), "hot-keys")
+    copies = F.coalesce("__copies", F.lit(1))
+    salted_fact = fact.join(hot, key, "left").withColumn(
+        "__salt", F.pmod(F.xxhash64(spread_by), copies).cast("int")
     )
-    salt = F.when(F.col("__hot"), F.pmod(F.xxhash64(spread_by), F.lit(copies))).otherwise(F.lit(0))
-    salts = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(copies - 1))).otherwise(F.array(F.lit(0)))
-    salted_fact = (
-        fact.join(F.broadcast(hot), key, "left").withColumn("__salt", salt.cast("int")).drop("__hot")
+    salted_dim = dim.join(hot, key, "left").withColumn(
+        "__salt", F.explode(F.sequence(F.lit(0), copies - 1))
     )
-    salted_dim = (
-        dim.join(F.broadcast(hot), key, "left").withColumn("__salt", F.explode(salts)).drop("__hot")
+    return (
+        salted_fact.drop("__copies").join(salted_dim.drop("__copies"), [key, "__salt"], how).drop("__salt")
     )
-    return salted_fact.join(salted_dim, [key, "__salt"], how).drop("__salt")

@@ -28,7 +28,7 @@ from palate.session import parallelism, shuffle_partitions
 
 #: Cells of a product worked on at once inside a tile.
 STRIP_CELLS = 4_000_000
-#: Hash cells counted to size blocks; also the largest number of blocks.
+#: Hash cells counted to size blocks in one pass; more keys than these serve are counted again.
 HASH_CELLS = 16_384
 BLOCK_KEYS = 2048
 SLICE_ROWS = 2_000_000
@@ -105,7 +105,9 @@ def cut(
     if blocks is None:
         n = sum(r["keys"] for r in counted)
         wanted = block_count(n, block_keys, parallelism(entries.sparkSession))
-        blocks = min(cells, 1 << (wanted - 1).bit_length())
+        blocks = 1 << (wanted - 1).bit_length()
+        if blocks > cells:  # more keys than the cells were meant for: count again by blocks
+            return cut(entries, key, block_keys, blocks, slice_rows)
     rows = [0] * blocks
     for r in counted:  # cells is a multiple of blocks, so cell % blocks is the block
         rows[r["cell"] % blocks] += r["rows"]

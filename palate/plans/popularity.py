@@ -181,10 +181,10 @@ def genre_explode(t):
 
 @query(
     "known_users",
-    views("ratings") + "SELECT DISTINCT userId FROM ratings ORDER BY userId LIMIT 5000",
+    views("ratings") + "SELECT DISTINCT userId FROM ratings ORDER BY userId",
 )
 def known_users(t):
-    return rt.known_users(t.ratings(), limit=5000)
+    return rt.known_users(t.ratings())
 
 
 @query("first_titles", views("movies") + "SELECT movieId, title FROM movies ORDER BY movieId LIMIT 5000")

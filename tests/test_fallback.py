@@ -91,8 +91,8 @@ def test_spread_join_keeps_every_row(spark):
         [(0 if i % 3 else i, i) for i in range(900)], "key INT, row INT"
     )
     dim = spark.createDataFrame([(k, k * 10) for k in range(0, 900, 2)] + [(0, 1)], "key INT, payload INT")
-    for copies in (1, 4):
-        got = spread_join(fact, dim, "key", "row", copies=copies)
+    for rows_per_task in (50, 10_000):  # key 0 owns two thirds of the rows
+        got = spread_join(fact, dim, "key", "row", rows_per_task=rows_per_task)
         want = fact.join(dim, "key")
         assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
 
