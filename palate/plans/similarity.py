@@ -109,8 +109,7 @@ def coldstart_bm25(t):
     + SEEDS_SQL.replace("seeds AS (", "all_seeds AS (", 1).replace(
         "\n    seed_entries",
         """
-    seeds AS (SELECT queryId, min(movieId) AS movieId FROM all_seeds
-              WHERE movieId >= 0 GROUP BY queryId),
+    seeds AS (SELECT queryId, movieId FROM all_seeds WHERE movieId >= 0),
     seed_entries""",
         1,
     )
@@ -132,12 +131,12 @@ def coldstart_bm25(t):
     SELECT queryId, movieId, score, rank FROM best WHERE rank <= 1500""",
 )
 def coldstart_excluding(t):
-    """One liked item each, viewed items barred, lists long enough to need zeros."""
-    one = seeds(t).where(F.col("movieId") >= 0).groupBy("queryId").agg(F.min("movieId").alias("movieId"))
+    """Everybody's purchases, viewed items barred, lists long enough to need zeros."""
+    bought = seeds(t).where(F.col("movieId") >= 0)
     viewed = t.events().where(F.col("eventType") == "view")
     viewed = viewed.select(F.col("userId").alias("queryId"), "movieId")
     return coldstart.recommend_for_seeds(
-        t.ratings(), one, k=1500, exclude=viewed, include_zero=True
+        t.ratings(), bought, k=1500, exclude=viewed, include_zero=True
     )
 
 
