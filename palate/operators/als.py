@@ -54,8 +54,11 @@ class AlsSettings:
 
 
 def training_input(ratings: DataFrame) -> DataFrame:
-    """Complete rows with int ids; ids beyond int32 are an error, not a silent wrap."""
-    ids = [F.col(c).cast("int").alias(c) for c in KEYS]
+    """Complete rows with int ids; ids beyond int32 are an error in every SQL mode, never a silent wrap."""
+    ids = [
+        F.coalesce(F.col(c).try_cast("int"), F.raise_error(F.lit(f"{c} is beyond 32 bits")).cast("int")).alias(c)
+        for c in KEYS
+    ]
     return drop_incomplete(ratings).select(*ids, F.col("rating").cast("float").alias("rating"))
 
 

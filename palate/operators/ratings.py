@@ -51,9 +51,9 @@ def reviews_as_ratings(reviews: DataFrame) -> DataFrame:
 
 
 def hash_bucket() -> Column:
-    """Stable bucket 0…99 of a (user, item) pair, independent of file layout."""
-    user, item = (F.col(c).cast("bigint") for c in KEYS)
-    return F.pmod(user * 7919 + item * 104729, F.lit(100).cast("bigint"))
+    """Stable bucket 0…99 of a (user, item) pair, independent of file layout, from its MD5 digest."""
+    digest = F.md5(F.concat_ws(":", *[F.col(c).cast("string") for c in KEYS]))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % 100
 
 
 def hash_split(ratings: DataFrame, train_percent: int = 80) -> tuple[DataFrame, DataFrame]:

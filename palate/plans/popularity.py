@@ -340,7 +340,7 @@ def rating_scale_check(t):
     "hash_split_counts",
     views("ratings")
     + """, sides AS (
-        SELECT CASE WHEN (userId * 7919 + movieId * 104729) % 100 < 80 THEN 'train' ELSE 'val' END AS side,
+        SELECT CASE WHEN CAST('0x' || substr(md5(userId || ':' || movieId), 1, 8) AS BIGINT) % 100 < 80 THEN 'train' ELSE 'val' END AS side,
                rating
         FROM ratings)
     SELECT side, count(*) AS n, round(avg(rating), 6) AS mean FROM sides GROUP BY side""",

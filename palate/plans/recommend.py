@@ -1,7 +1,5 @@
 """Known users: ALS, neighbour lists from histories, fallback chains."""
 
-from functools import cache
-
 from pyspark.sql import functions as F
 
 from palate.operators import als, evaluate, explain, fallback, neighbors
@@ -9,22 +7,27 @@ from palate.operators import ratings as rt
 from palate.operators.weighting import rating_entries
 from palate.plans.registry import query, views
 from palate.plans.similarity import item_pairs
-from palate.session import settle
-
-SETTINGS = als.AlsSettings(rank=8, max_iter=5)
-
-
-@cache
-def _model(spark, folder):
-    """One fit per session and folder, shared by the queries that only read the model."""
-    from palate.sources.sales import SalesTables
+from palate.session import checkpoint_root, settle
+from palate.sources import readers, writers
 
-    train, _ = rt.hash_split(SalesTables(spark, folder).ratings())
-    return als.fit(train, SETTINGS)
+SETTINGS = als.AlsSettings()
 
 
 def model_of(t):
-    return _model(t.spark, t.folder)
+    """The model of these ratings: read where it is stored, else fitted and stored.
+
+    The path holds a count and a sum over the rows that the model was fitted to, so other data have
+    another model.
+    """
+    train, _ = rt.hash_split(t.ratings())
+    row_sum = F.sum(F.xxhash64("userId", "movieId", "rating").cast("decimal(38,0)"))
+    mark = train.agg(F.count("*").alias("n"), F.coalesce(row_sum, F.lit(0)).alias("rows")).first()
+    path = f"{checkpoint_root(t.spark)}/palate/als-{SETTINGS.rank}-{SETTINGS.max_iter}-{mark['n']}-{mark['rows']}"
+    model = readers.load_als_or_none(t.spark, path)
+    if model is None:
+        model = als.fit(train, SETTINGS)
+        writers.write_model(model, path)
+    return model
 
 
 def users_and_strangers(t):

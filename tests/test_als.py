@@ -146,3 +146,27 @@ def test_explanations_are_the_nearest_favorites(spark):
     assert [r["favoriteId"] for r in rows] == [2, 3]
     assert rows[0]["similarity"] == pytest.approx(0.993884, abs=1e-6)
     assert explain.explain_by_factors(recs, history, factors, m=1).where(F.col("favoriteId") == 2).count() == 1
+
+
+def test_lists_equal_the_models_own_method(spark):
+    ratings = spark.createDataFrame(
+        [(u, i, float((u * 7 + i * 3) % 9) / 2 + 0.5) for u in range(30) for i in range(25) if (u + i) % 3],
+        "userId INT, movieId INT, rating DOUBLE",
+    )
+    model = als.fit(ratings, als.AlsSettings(rank=4, max_iter=3))
+    mine = {(r.userId, r["rank"]): r.score for r in als.recommend_everyone(model, k=10).collect()}
+    own = {(r.userId, r["rank"]): r.score for r in als.flat(model.recommendForAllUsers(10)).collect()}
+    assert mine.keys() == own.keys()
+    assert all(abs(mine[k] - own[k]) < 1e-4 for k in mine)
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_ids_beyond_int32_are_an_error(spark, ansi):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        rows = spark.createDataFrame([(2**31, 1, 3.0)], "userId LONG, movieId LONG, rating DOUBLE")
+        with pytest.raises(Exception, match="beyond 32 bits"):
+            als.training_input(rows).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
