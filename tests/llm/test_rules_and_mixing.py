@@ -2,7 +2,6 @@ import re
 from collections import Counter, defaultdict
 
 import pytest
-from conftest import write_tables  # noqa: F401
 
 from palate.llm import mixing, quality_rules
 
