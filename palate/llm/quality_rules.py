@@ -4,8 +4,12 @@ A text is measured by built-in functions only.  Each measure's distribution with
 source is kept as a mergeable quantile sketch: counts of log-linear buckets (six significant bits,
 so a value is known to 3 %), which add up in any order and so give the same answer in every run.
 The quartiles read from a sketch give fences, and a document outside the fences of its own
-language and source is rejected.  Fixed cut-offs remain only for texts that no source should hold:
-under ten words, or over a fifth of the words in repeated five-word windows.
+language and source is rejected.  The sketches are also merged per language and over all documents,
+and the tightest of these fences counts, so that a source with much junk does not open its own; but
+a wider level binds only groups whose median it admits, as another kind of text (code, long-worded
+languages) lies outside it as a whole.  A group or language with under ``ENOUGH`` accepted documents
+has no fences of its own and takes the wider ones.  Fixed cut-offs remain only for texts that no
+source should hold: under ten words, or over a fifth of the words in repeated five-word windows.
 
 Defined cases: a null or empty text has no words and fails; null languages and sources are groups
 of their own; repeated rows are measured and judged each; an empty table gives an empty result;
@@ -26,6 +30,8 @@ from palate.session import settle
 SYMBOLS = "#*$%&|<>"
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words"]
 GROUP = ["lang", "source"]
+#: Accepted documents from which a group or a language has fences of its own.
+ENOUGH = 20
 
 
 @dataclass(frozen=True)
@@ -101,26 +107,58 @@ def sketches(measured: DataFrame) -> DataFrame:
     )
 
 
-def thresholds(sketch: DataFrame) -> DataFrame:
-    """One row per group with ``low_<fence>`` and ``high_<fence>`` read from its sketches."""
-    group = W.partitionBy(*GROUP, "fence")
-    counted = sketch.select(
-        *GROUP, "fence", "bucket",
+def quartiles(sketch: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys``, the quartiles ``a<i>``, ``m<i>``, ``b<i>`` of each fence's value and the documents ``n``."""
+    merged = sketch.groupBy(*keys, "fence", "bucket").agg(F.sum("n").alias("n"))
+    group = W.partitionBy(*keys, "fence")
+    counted = merged.select(
+        *keys, "fence", "bucket",
         F.sum("n").over(group.orderBy("bucket")).alias("upto"),
         F.sum("n").over(group).alias("total"),
     )
     at = lambda i, p: F.min(F.when((F.col("fence") == i) & (F.col("upto") * 4 >= F.col("total") * p), F.col("bucket")))
-    quartiles = counted.groupBy(*GROUP).agg(
-        *[at(i, 1).alias(f"__a{i}") for i in range(len(FENCES))],
-        *[at(i, 3).alias(f"__b{i}") for i in range(len(FENCES))],
+    return counted.groupBy(*keys).agg(
+        *[at(i, p).alias(f"{q}{i}") for i in range(len(FENCES)) for p, q in ((1, "a"), (2, "m"), (3, "b"))],
+        F.max("total").alias("n"),
     )
+
+
+def thresholds(sketch: DataFrame, wider: bool = True) -> DataFrame:
+    """One row per group with ``low_<fence>`` and ``high_<fence>`` read from its sketches.
+
+    Without ``wider`` the group's own fences are all there is, however few or bad its documents.
+    """
+    named = lambda df, level: df.withColumnsRenamed({c: f"{level}_{c}" for c in df.columns if c not in GROUP})
+    table = named(quartiles(sketch, GROUP), "own")
+    if wider:
+        table = same(table, named(quartiles(sketch, GROUP[:1]), "lang"), GROUP[:1])
+        table = table.crossJoin(F.broadcast(named(quartiles(sketch, []), "all")))  # one row
     bounds = []
     for i, f in enumerate(FENCES):
-        spread = F.greatest(F.col(f"__b{i}") - F.col(f"__a{i}"), F.lit(f.floor)) * f.reach
-        bounds.append((F.col(f"__b{i}") + spread).alias(f"high_{f.name}"))
+        col = lambda level, q, i=i: F.col(f"{level}_{q}{i}")
+        spread = lambda level: F.greatest(col(level, "b") - col(level, "a"), F.lit(f.floor)) * f.reach  # noqa: B023, E731
+        high = lambda level: col(level, "b") + spread(level)  # noqa: B023, E731
+        low = lambda level: col(level, "a") - spread(level)  # noqa: B023, E731
+        if not wider:
+            highs, lows = high("own"), low("own")
+        else:
+            few = {level: F.col(f"{level}_n") < ENOUGH for level in ("own", "lang")}
+
+            def admits(level, inner):
+                inside = col(inner, "m") <= high(level)  # noqa: B023
+                return few[inner] | (inside & (col(inner, "m") >= low(level)) if f.low else inside)  # noqa: B023
+
+            binds = {
+                "own": ~few["own"],
+                "lang": ~few["lang"] & admits("lang", "own"),
+                "all": admits("all", "lang") & admits("all", "own"),
+            }
+            highs = F.least(*[F.when(on, high(level)) for level, on in binds.items()])
+            lows = F.greatest(*[F.when(on, low(level)) for level, on in binds.items()])
+        bounds.append(highs.alias(f"high_{f.name}"))
         if f.low:
-            bounds.append((F.col(f"__a{i}") - spread).alias(f"low_{f.name}"))
-    return quartiles.select(*GROUP, *bounds)
+            bounds.append(lows.alias(f"low_{f.name}"))
+    return table.select(*GROUP, *bounds)
 
 
 def fenced(measured: DataFrame, bounds: DataFrame) -> DataFrame:
@@ -132,13 +170,13 @@ def fenced(measured: DataFrame, bounds: DataFrame) -> DataFrame:
     return same(measured, bounds, GROUP, "left").select(*measured.columns, kept)
 
 
-def judge(docs: DataFrame) -> DataFrame:
+def judge(docs: DataFrame, wider: bool = True) -> DataFrame:
     """``doc_id``, the measures, ``base_failed`` and ``kept`` for each document.
 
     The measures are stored once; a sketch needs one pass over them and the verdict another.
     """
     measured = settle(measure(docs.select("doc_id", "lang", "source", "text")).select("doc_id", *GROUP, *MEASURES, "base_failed"), "measures")
-    bounds = settle(thresholds(sketches(measured)), "thresholds")
+    bounds = settle(thresholds(sketches(measured), wider), "thresholds")
     return fenced(measured, bounds).drop(*GROUP)
 
 
@@ -154,7 +192,8 @@ def keep_good(docs: DataFrame) -> DataFrame:
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judge(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    """``OP6_SQL`` knows each group's own fences only; the pipeline's stage also uses the wider ones."""
+    return judge(spark.read.parquet(f"{sf_dir}/documents.parquet"), wider=False)
 
 
 def _sql() -> str:

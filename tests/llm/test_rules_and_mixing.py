@@ -54,6 +54,35 @@ def test_fences_follow_their_group(spark):
     assert 999 not in kept and 1000 in kept and kept >= {r[0] for r in rows}
 
 
+def plain(i, source, lang="en", mark="", length=5):
+    words = [("w" * length + str(i * 31 + k))[-length:] for k in range(30)]
+    return (i, lang, source, " ".join(w + mark for w in words))
+
+
+DOCS = "doc_id long, lang string, source string, text string"
+
+
+def test_wider_fences_close_small_and_spoiled_groups(spark):
+    good = [plain(i, s) for s, at in (("a", 0), ("b", 100), (None, 200)) for i in range(at, at + 60)]
+    spoiled = [plain(i, "spoiled", mark="##" * (i % 5 < 2)) for i in range(300, 350)]  # 40 % junk
+    small = [plain(400, "small"), plain(401, "small"), plain(402, "small", mark="##")]
+    only = [plain(410, "small", None, mark="##")]  # no language, one document
+    df = spark.createDataFrame([*good, *spoiled, *small, *only], DOCS)
+    kept = {r.doc_id for r in quality_rules.judge(df).where("kept").collect()}
+    assert kept == {r[0] for r in [*good, *spoiled, *small, *only] if "##" not in r[3]}
+    assert {r.doc_id for r in quality_rules.keep_good(df).collect()} == kept
+
+
+def test_wider_fences_spare_other_kinds_of_text(spark):
+    """A source full of symbols and a language of long words stay, whatever the rest looks like."""
+    rest = [plain(i, s) for s, at in (("a", 0), ("b", 200)) for i in range(at, at + 120)]
+    code = [plain(i, "code", mark="<>") for i in range(400, 430)]
+    long = [plain(i, s, "xx", length=40) for s, at in (("a", 500), ("b", 530)) for i in range(at, at + 25)]
+    few = [plain(i, "c", "xx", length=40) for i in range(600, 603)]
+    df = spark.createDataFrame([*rest, *code, *long, *few], DOCS)
+    assert quality_rules.judge(df).where("kept").count() == df.count()
+
+
 def test_keep_good_returns_the_columns_and_agrees_with_judge(odd):
     kept = quality_rules.keep_good(odd)
     assert kept.columns == odd.columns
