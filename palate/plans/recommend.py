@@ -197,8 +197,7 @@ def als_neighbors(t):
 @query("als_grid")
 def als_grid(t):
     train, val = rt.hash_split(t.ratings())
-    base = als.AlsSettings(max_iter=3)
-    return als.grid_search(train, val, ranks=(4, 8), regs=(0.05, 0.1), base=base).results
+    return als.grid_search(train, val).results
 
 
 @query("als_implicit")
@@ -206,7 +205,7 @@ def als_implicit(t):
     """Views and clicks as confidence, not ratings."""
     seen = t.events().where(F.col("eventType").isin("view", "click"))
     counts = seen.groupBy("userId", "movieId").agg(F.count(F.lit(1)).alias("rating"))
-    model = als.fit(counts, als.AlsSettings(rank=8, max_iter=5, implicit=True, alpha=1.0))
+    model = als.fit(counts, als.AlsSettings(implicit=True))
     return als.recommend_everyone(model, k=5)
 
 

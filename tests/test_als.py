@@ -170,3 +170,26 @@ def test_ids_beyond_int32_are_an_error(spark, ansi):
             als.training_input(rows).collect()
     finally:
         spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_registered_queries_fit_the_whole_job(spark, monkeypatch):
+    from conftest import DATA
+
+    from palate.plans import registry
+
+    class Fitted(Exception):
+        pass
+
+    def stop(ratings, settings=als.AlsSettings()):
+        raise Fitted(settings)
+
+    run = lambda name: registry.QUERIES[name](spark, str(DATA / "sf0.001"))
+    seen = []
+    monkeypatch.setattr(als, "fit_and_score", lambda train, val, s: (seen.append((s.rank, s.reg, s.max_iter)), 1.0))
+    assert run("als_grid").count() == 9
+    assert seen == [(k, g, als.GRID_ITERATIONS) for k in als.GRID_RANKS for g in als.GRID_REGS]
+    monkeypatch.setattr(als, "fit", stop)
+    for name in ("als_implicit", "als_saved_model", "als_lists_ordered"):
+        with pytest.raises(Fitted) as met:
+            run(name)
+        assert met.value.args[0] == als.AlsSettings(implicit=name == "als_implicit")
