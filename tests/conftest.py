@@ -1,4 +1,3 @@
-import os
 import sys
 from pathlib import Path
 
@@ -8,8 +7,7 @@ from pyspark.sql import SparkSession
 ROOT = Path(__file__).resolve().parents[1]
 sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
 
-DATA = Path(os.environ.get("PALATE_TESTDATA", "/root/testdata"))
-
+from fixtures import FEEDBACK, MOVIES, RATINGS  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -27,26 +25,6 @@ def spark(tmp_path_factory):
     session.stop()
 
 
-RATINGS = [
-    (1, 1, 4.0), (1, 3, 4.0), (1, 6, 4.0), (2, 1, 5.0), (2, 2, 3.0), (2, 3, 4.0),
-    (3, 2, 4.0), (3, 5, 5.0), (3, 6, 3.0), (4, 1, 2.0), (4, 4, 4.0), (4, 5, 3.0),
-]
-
-MOVIES = [
-    (1, "Toy Story (1995)", "Adventure|Animation|Children|Comedy|Fantasy"),
-    (2, "Jumanji (1995)", "Adventure|Children|Fantasy"),
-    (3, "Grumpier Old Men (1995)", "Comedy|Romance"),
-    (4, "Waiting to Exhale (1995)", "Comedy|Drama|Romance"),
-    (5, "Father of the Bride Part II (1995)", "Comedy"),
-    (6, "Heat (1995)", "Action|Crime|Thriller"),
-]
-
-FEEDBACK = [
-    (1, 171495, 3.0, 1758027399), (1, 171495, 2.5, 1758028240), (1, 171495, 2.5, 1758028245),
-    (15, 171495, 4.0, 1758029381), (4, 171495, 4.5, 1758092298), (1, 171495, 1.0, 1758182624),
-]
-
-
 @pytest.fixture(scope="session")
 def ratings(spark):
     return spark.createDataFrame(RATINGS, "userId INT, movieId INT, rating DOUBLE")

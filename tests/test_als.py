@@ -173,7 +173,7 @@ def test_ids_beyond_int32_are_an_error(spark, ansi):
 
 
 def test_registered_queries_fit_the_whole_job(spark, monkeypatch):
-    from conftest import DATA
+    from fixtures import DATA
 
     from palate.plans import registry
 

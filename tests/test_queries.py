@@ -5,7 +5,7 @@ import re
 
 import oracle
 import pytest
-from conftest import DATA
+from fixtures import DATA
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract

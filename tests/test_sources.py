@@ -1,7 +1,7 @@
 """Readers and sinks: round trips, dirty input, appends."""
 
 import pytest
-from conftest import FEEDBACK, MOVIES, RATINGS
+from fixtures import FEEDBACK, MOVIES, RATINGS
 from pyspark.sql import functions as F
 
 from palate import schemas
