@@ -1,7 +1,7 @@
 import zlib
 
 import numpy as np
-from conftest import prose, write_tables
+from corpus_fixtures import prose, write_tables
 from pyspark.sql import functions as F
 
 from palate.llm import quality_classifier as qc

@@ -7,7 +7,7 @@ import random
 
 import numpy as np
 import pytest
-from conftest import write_tables
+from corpus_fixtures import write_tables
 
 from palate.llm import token_counts, url_filters, warc
 from palate.llm.files import coalesced

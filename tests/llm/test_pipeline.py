@@ -3,7 +3,7 @@
 from collections import Counter
 
 import corpus_pipeline
-from conftest import write_tables
+from corpus_fixtures import write_tables
 
 from palate.llm import bpe, quality_rules, simhash
 

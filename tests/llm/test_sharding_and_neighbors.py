@@ -3,7 +3,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
-from conftest import prose
+from corpus_fixtures import prose
 from pyspark.sql import functions as F
 
 from palate.llm import neighbors, sharding
