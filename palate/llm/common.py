@@ -15,6 +15,12 @@ from palate.session import settle
 WHITE = " \t\n\x0b\f\r"
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: Bytes of UTF-8 text for splitting into words of digits, a to z and all beyond ASCII: A to Z in lower
+#: case, any other ASCII a space.
+LETTERS = bytes(
+    b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b > 127 else 32 for b in range(256)
+)
+
 #: Names of the columns that identify a row of a stored table.
 ROW = ["__file", "__row"]
 
