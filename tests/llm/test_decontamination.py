@@ -1,0 +1,118 @@
+import random
+import re
+
+import numpy as np
+import pytest
+from corpus_fixtures import prose
+
+from palate.llm import decontamination as de
+
+BITS = ["a", "B", "c", "Dé", "日本", "x" * 40, "7"]
+GAPS = [" ", "  ", "\n", "-", ", ", "\x00", "'"]
+
+
+def words_of(text):
+    lower = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    return re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", lower)
+
+
+def brute(docs, items, width=10):
+    found = {}
+    for item, text in items:
+        w = words_of(text)
+        for i in range(max(1, len(w) - width + 1) if w else 0):
+            found.setdefault(tuple(w[i : i + width]), set()).add(item)
+    rows = []
+    for doc, text in docs:
+        w = words_of(text)
+        hit, mine = set(), set()
+        for m in {len(x) for x in found}:
+            for i in range(len(w) - m + 1):
+                owners = found.get(tuple(w[i : i + m]))
+                if owners:
+                    hit.update(range(i, i + m))
+                    mine |= {str(x) for x in owners if x is not None}
+        rows.append((doc, len(w), sorted(hit), sorted(mine)))
+    return sorted(rows, key=str)
+
+
+def got(df):
+    rows = df.collect()
+    return sorted(((r.doc_id, r.n_words, [k for s in r.spans for k in range(s.start, s.stop)], r["items"]) for r in rows), key=str)
+
+
+def text_of(r, n, bits=BITS):
+    return "".join(r.choice(bits) + r.choice(GAPS) for _ in range(n))
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 10])
+@pytest.mark.parametrize("segment", [3, 256])
+def test_search_equals_every_comparison(monkeypatch, size, segment):
+    monkeypatch.setattr(de, "SEGMENT", segment)
+    monkeypatch.setattr(de, "COMPARED", 5)
+    r = np.random.default_rng(size)
+    ids = r.integers(-1, 3, 800).astype(np.int32)
+    places = r.integers(0, 700, 12)
+    rows = np.unique(np.array([x for x in (ids[p : p + size] for p in places) if (x >= 0).all()] or [[0] * size], np.int32), axis=0)
+    patterns = de.Patterns(rows)
+    want = {(e, k) for e in range(size - 1, 800) for k, row in enumerate(rows) if (ids[e - size + 1 : e + 1] == row).all()}
+    ends, which = patterns.search(ids)
+    assert len(ends) == len(want) and set(zip(ends.tolist(), which.tolist(), strict=True)) == want
+    assert patterns.shift.max() == size - min(2, size) + 1
+
+
+def test_pieces_keep_words_whole():
+    r = random.Random(2)
+    text = (text_of(r, 300) + "y" * 90 + text_of(r, 50)).encode()
+    for size in (5, 17, 64, 10_000):
+        assert [w for p in de.pieces(text, size) for w in p] == [w.encode() for w in words_of(text.decode())]
+
+
+@pytest.mark.parametrize("block", [7, 1000])
+def test_documents_equal_brute_force(spark, monkeypatch, block):
+    r = random.Random(4)
+    items = [(i, text_of(r, r.randint(0, 30))) for i in range(30)]
+    items += [(90, items[0][1]), (91, "Only two"), (92, "!"), (93, None), (None, prose(8, 12)), (94, "solo"), (0, items[5][1])]
+    docs = []
+    for i in range(150):
+        inner = r.choice(items)[1] or ""
+        docs.append((i, text_of(r, r.randint(0, 40)) + " " + inner + " " + prose(i, 30)))
+    docs += [(900, "only-TWO"), (901, "only three two"), (902, "solo"), (903, prose(8, 12))]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    want = brute(docs, items)
+    assert sum(bool(x[2]) for x in want) > 50
+    assert got(de.occurrences(df, bench, block=block)) == want
+
+
+def test_a_window_that_every_item_shares(spark):
+    shared = prose(1, 10)
+    items = [(i, f"{shared} tail{i}") for i in range(300)]
+    docs = [(1, f"x {shared} y"), (2, shared), (3, "nothing")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    assert got(de.occurrences(df, bench, block=20)) == brute(docs, items)
+
+
+def test_long_items_and_texts(spark, monkeypatch):
+    monkeypatch.setattr(de, "PIECE", 300)
+    long = prose(3, 3000)
+    items = [(1, long), (2, prose(4, 9))]
+    docs = [(1, "start " + long[200:9000]), (2, prose(5, 2000) + " " + prose(4, 9))]
+    out = de.occurrences(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert got(out) == brute(docs, items)
+
+
+def test_odd_rows(spark, odd):
+    docs = [(r.doc_id, r.text) for r in odd.collect()]
+    items = [(r.doc_id, r.text) for r in odd.collect() if r.doc_id != 7]
+    bench = odd.where("doc_id IS NULL OR doc_id != 7").withColumnRenamed("doc_id", "item_id").withColumnRenamed("lang", "window")
+    clashing = odd.withColumnsRenamed({"kept": "spans", "size": "items", "fp": "n_words"})
+    assert got(de.occurrences(clashing, bench)) == brute(docs, items)
+
+
+def test_empty(spark, none, odd):
+    bench = spark.createDataFrame([], "item_id long, text string")
+    assert de.digests(de.occurrences(none, bench)).collect() == []
+    rows = de.digests(de.occurrences(odd, bench)).collect()
+    assert len(rows) == odd.count() and not any(r.contaminated or r.n_hit or r.n_items for r in rows)

@@ -19,7 +19,7 @@ def test_query_equals_sql(spark, name):
 
 
 def test_every_operator_has_one_query():
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES if n != "pipeline") == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES if n != "pipeline") == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", ["op4_mixing", "op6_quality_rules"])
