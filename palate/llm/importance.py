@@ -293,7 +293,8 @@ def resample(docs: DataFrame, target: DataFrame, percent: int = PERCENT, least:
     """``doc_id, n_words, n_features, weight, score, rank`` of each document, towards the texts of ``target``."""
     gains = bucket_gains(bucket_counts(docs), bucket_counts(target))
     rows = with_row_id(docs.select("doc_id", "text"))
-    return draw(weights(rows, ["doc_id", *ROW], gains), percent, least, seed).drop(*ROW)
+    # Stored, because range partitions are chosen from a pass of their own over the rows.
+    return draw(settle(weights(rows, ["doc_id", *ROW], gains), "weights"), percent, least, seed).drop(*ROW)
 
 
 def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
