@@ -28,7 +28,7 @@ import re
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import accumulate
+from itertools import accumulate, count
 
 import numpy as np
 import pyarrow as pa
@@ -77,6 +77,7 @@ class Pair:
         self.bytes_a = [bytes(map(letters.__getitem__, s)) if all(c in letters for c in s) else s.encode() for s in spelled]
         self.bytes_b = [self.bytes_of_piece(i) for i in range(self.b.vocab_size())]
         self.names_a, self.names_b = ([str(i) for i in range(len(x))] for x in (self.bytes_a, self.bytes_b))
+        self.sizes_a, self.sizes_b = (list(map(len, x)) for x in (self.bytes_a, self.bytes_b))
         self.cuts = self.may_cut(path_a)
         self.groups = groups
         self.known: dict[str, int] = {}
@@ -103,20 +104,23 @@ class Pair:
         self.good = array("b")
         self.pairs, self.first = array("q"), array("q", [0])
 
-    def align(self, ids_a: list[int], ids_b: list[int], text: bytes) -> tuple[str, list[tuple[int, int]]] | None:
-        """The groups as text and the linked pairs of ids; None where the tokens do not spell the text."""
-        parts_a = [self.bytes_a[i] for i in ids_a]
-        parts_b = [self.bytes_b[i] for i in ids_b]
-        if b"".join(parts_a) != text or b"".join(parts_b) != text:
+    def align(self, ids_a: list[int], ids_b: list[int], text: bytes) -> tuple[str, list[int]] | None:
+        """The groups as text and the linked pairs; None where the tokens do not spell the text."""
+        spell_a, spell_b = self.bytes_a.__getitem__, self.bytes_b.__getitem__
+        if b"".join(map(spell_a, ids_a)) != text or b"".join(map(spell_b, ids_b)) != text:
             return None
-        end_a = {end: k for k, end in enumerate(accumulate(map(len, parts_a)), 1)}
-        end_b = {end: k for k, end in enumerate(accumulate(map(len, parts_b)), 1)}
+        end_a = dict(zip(accumulate(map(self.sizes_a.__getitem__, ids_a)), count(1)))  # noqa: B905
+        end_b = dict(zip(accumulate(map(self.sizes_b.__getitem__, ids_b)), count(1)))  # noqa: B905
+        name_a, name_b, size_b = self.names_a.__getitem__, self.names_b.__getitem__, len(self.bytes_b)
         shown, links = [], []
         i = j = 0
         for end in sorted(end_a.keys() & end_b.keys()):
             p, q = end_a[end], end_b[end]
-            shown.append(",".join([self.names_a[x] for x in ids_a[i:p]]) + "|" + ",".join([self.names_b[x] for x in ids_b[j:q]]))
-            links.append((ids_a[p - 1], ids_b[q - 1]))
+            if p == i + 1 and q == j + 1:
+                shown.append(f"{ids_a[i]}|{ids_b[j]}")
+            else:
+                shown.append(f"{','.join(map(name_a, ids_a[i:p]))}|{','.join(map(name_b, ids_b[j:q]))}")
+            links.append(ids_a[p - 1] * size_b + ids_b[q - 1])
             i, j = p, q
         return ";".join(shown), links
 
@@ -134,7 +138,7 @@ class Pair:
             self.text.append(shown)
             self.good.append(found is not None)
             self.facts.extend((len(ids_a), len(ids_b), len(links), len(links)))
-            self.pairs.extend(x * len(self.bytes_b) + y for x, y in links)
+            self.pairs.fromlist(links)
             self.first.append(len(self.pairs))
 
     def documents(self, texts: list[str]) -> tuple[np.ndarray, list[str], list[np.ndarray], list[np.ndarray]]:
