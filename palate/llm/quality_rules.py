@@ -123,41 +123,32 @@ def quartiles(sketch: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def thresholds(sketch: DataFrame, wider: bool = True) -> DataFrame:
-    """One row per group with ``low_<fence>`` and ``high_<fence>`` read from its sketches.
-
-    Without ``wider`` the group's own fences are all there is, however few or bad its documents.
-    """
+def thresholds(sketch: DataFrame) -> DataFrame:
+    """One row per group with ``low_<fence>`` and ``high_<fence>`` read from its sketches and the wider ones."""
     named = lambda df, level: df.withColumnsRenamed({c: f"{level}_{c}" for c in df.columns if c not in GROUP})
     table = named(quartiles(sketch, GROUP), "own")
-    if wider:
-        table = same(table, named(quartiles(sketch, GROUP[:1]), "lang"), GROUP[:1])
-        table = table.crossJoin(F.broadcast(named(quartiles(sketch, []), "all")))  # one row
+    table = same(table, named(quartiles(sketch, GROUP[:1]), "lang"), GROUP[:1])
+    table = table.crossJoin(F.broadcast(named(quartiles(sketch, []), "all")))  # one row
     bounds = []
     for i, f in enumerate(FENCES):
         col = lambda level, q, i=i: F.col(f"{level}_{q}{i}")
         spread = lambda level: F.greatest(col(level, "b") - col(level, "a"), F.lit(f.floor)) * f.reach  # noqa: B023, E731
         high = lambda level: col(level, "b") + spread(level)  # noqa: B023, E731
         low = lambda level: col(level, "a") - spread(level)  # noqa: B023, E731
-        if not wider:
-            highs, lows = high("own"), low("own")
-        else:
-            few = {level: F.col(f"{level}_n") < ENOUGH for level in ("own", "lang")}
-
-            def admits(level, inner):
-                inside = col(inner, "m") <= high(level)  # noqa: B023
-                return few[inner] | (inside & (col(inner, "m") >= low(level)) if f.low else inside)  # noqa: B023
-
-            binds = {
-                "own": ~few["own"],
-                "lang": ~few["lang"] & admits("lang", "own"),
-                "all": admits("all", "lang") & admits("all", "own"),
-            }
-            highs = F.least(*[F.when(on, high(level)) for level, on in binds.items()])
-            lows = F.greatest(*[F.when(on, low(level)) for level, on in binds.items()])
-        bounds.append(highs.alias(f"high_{f.name}"))
+        few = {level: F.col(f"{level}_n") < ENOUGH for level in ("own", "lang")}
+
+        def admits(level, inner):
+            inside = col(inner, "m") <= high(level)  # noqa: B023
+            return few[inner] | (inside & (col(inner, "m") >= low(level)) if f.low else inside)  # noqa: B023
+
+        binds = {
+            "own": ~few["own"],
+            "lang": ~few["lang"] & admits("lang", "own"),
+            "all": admits("all", "lang") & admits("all", "own"),
+        }
+        bounds.append(F.least(*[F.when(on, high(level)) for level, on in binds.items()]).alias(f"high_{f.name}"))
         if f.low:
-            bounds.append(lows.alias(f"low_{f.name}"))
+            bounds.append(F.greatest(*[F.when(on, low(level)) for level, on in binds.items()]).alias(f"low_{f.name}"))
     return table.select(*GROUP, *bounds)
 
 
@@ -170,30 +161,33 @@ def fenced(measured: DataFrame, bounds: DataFrame) -> DataFrame:
     return same(measured, bounds, GROUP, "left").select(*measured.columns, kept)
 
 
-def judge(docs: DataFrame, wider: bool = True) -> DataFrame:
+def judge(docs: DataFrame) -> DataFrame:
     """``doc_id``, the measures, ``base_failed`` and ``kept`` for each document.
 
     The measures are stored once; a sketch needs one pass over them and the verdict another.
     """
     measured = settle(measure(docs.select("doc_id", "lang", "source", "text")).select("doc_id", *GROUP, *MEASURES, "base_failed"), "measures")
-    bounds = settle(thresholds(sketches(measured), wider), "thresholds")
+    bounds = settle(thresholds(sketches(measured)), "thresholds")
     return fenced(measured, bounds).drop(*GROUP)
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The documents that pass.  Texts are measured twice rather than stored or shuffled."""
-    measured = settle(measure(docs.select(*GROUP, "text")).select(*GROUP, *MEASURES, "base_failed"), "measures")
-    bounds = settle(thresholds(sketches(measured)), "thresholds")
-    ours = {*MEASURES, "base_failed", "kept", *bounds.columns} - {*GROUP}
+    """The documents that pass.
+
+    They are stored once with their measures: a text is measured once, the sketches read the measures'
+    columns alone, and no text is shuffled to meet its verdict.
+    """
+    bounds_of = [f"{side}_{f.name}" for f in FENCES for side in ("high", "low")]
+    ours = {*MEASURES, "base_failed", "kept", *bounds_of}
     named = [c for c in docs.columns if c in ours]  # the caller's columns of these names go aside and come back
-    docs = docs.withColumnsRenamed({c: f"__own_{c}" for c in named})
-    out = fenced(measure(docs), bounds).where("kept").drop(*MEASURES, "base_failed", "kept")
-    return out.withColumnsRenamed({f"__own_{c}": c for c in named})
+    measured = settle(measure(docs.withColumnsRenamed({c: f"__own_{c}" for c in named})), "measures")
+    bounds = settle(thresholds(sketches(measured)), "thresholds")
+    out = fenced(measured, bounds).where("kept").drop(*MEASURES, "base_failed", "kept")
+    return out.withColumnsRenamed({f"__own_{c}": c for c in named}).select(docs.columns)
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``OP6_SQL`` knows each group's own fences only; the pipeline's stage also uses the wider ones."""
-    return judge(spark.read.parquet(f"{sf_dir}/documents.parquet"), wider=False)
+    return judge(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
 def _sql() -> str:
@@ -202,15 +196,41 @@ def _sql() -> str:
         return inner.replace(" / ", " // ")
 
     values = ", ".join(f"({i}, CAST({cell(f)} AS BIGINT))" for i, f in enumerate(FENCES))
-    quart = ", ".join(
-        f"min(bucket) FILTER (WHERE fence = {i} AND upto * 4 >= total * {p}) AS {q}{i}"
-        for i in range(len(FENCES)) for q, p in (("a", 1), ("b", 3))
-    )
-    inside = " AND ".join(
-        f"{cell(f)} <= b{i} + {f.reach} * greatest(b{i} - a{i}, {f.floor})"
-        + f" AND {cell(f)} >= a{i} - {f.reach} * greatest(b{i} - a{i}, {f.floor})" * f.low
-        for i, f in enumerate(FENCES)
-    )
+    def quart(level: str) -> str:
+        each = [
+            f"min(bucket) FILTER (WHERE fence = {i} AND upto * 4 >= total * {p}) AS {level}_{q}{i}"
+            for i in range(len(FENCES)) for p, q in ((1, "a"), (2, "m"), (3, "b"))
+        ]
+        return ", ".join([*each, f"max(total) AS {level}_n"])
+
+    def counted(keys: str) -> str:
+        by = f"PARTITION BY {keys}fence"
+        return (
+            f"(SELECT {keys}fence, bucket, sum(n) OVER ({by} ORDER BY bucket) AS upto, sum(n) OVER ({by}) AS total"
+            f" FROM (SELECT {keys}fence, bucket, sum(n) AS n FROM s GROUP BY ALL))"
+        )
+
+    few = {level: f"{level}_n < {ENOUGH}" for level in ("own", "lang")}
+    bounds = []
+    for i, f in enumerate(FENCES):
+        spread = {v: f"{f.reach} * greatest({v}_b{i} - {v}_a{i}, {f.floor})" for v in ("own", "lang", "all")}
+        high = {v: f"{v}_b{i} + {x}" for v, x in spread.items()}
+        low = {v: f"{v}_a{i} - {x}" for v, x in spread.items()}
+
+        def admits(level: str, inner: str) -> str:
+            inside = f"{inner}_m{i} <= {high[level]}" + f" AND {inner}_m{i} >= {low[level]}" * f.low  # noqa: B023
+            return f"({few[inner]} OR ({inside}))"
+
+        binds = {
+            "own": f"NOT {few['own']}",
+            "lang": f"NOT {few['lang']} AND {admits('lang', 'own')}",
+            "all": f"{admits('all', 'lang')} AND {admits('all', 'own')}",
+        }
+        cases = lambda of: ", ".join(f"CASE WHEN {on} THEN {of[v]} END" for v, on in binds.items())  # noqa: B023, E731
+        bounds.append(f"list_min([{cases(high)}]) AS high{i}")
+        if f.low:
+            bounds.append(f"list_max([{cases(low)}]) AS low{i}")
+    inside = " AND ".join(f"{cell(f)} <= high{i}" + f" AND {cell(f)} >= low{i}" * f.low for i, f in enumerate(FENCES))
     return rf"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS t FROM documents),
 m AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words,
@@ -232,9 +252,10 @@ y AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_fail
 v AS (SELECT lang, source, f.fence, f.v - f.v % (1::BIGINT << greatest(length(bin(f.v)) - 6, 0)) AS bucket
       FROM y, LATERAL (VALUES {values}) AS f(fence, v) WHERE NOT base_failed),
 s AS (SELECT lang, source, fence, bucket, count(*) AS n FROM v GROUP BY ALL),
-c AS (SELECT *, sum(n) OVER (PARTITION BY lang, source, fence ORDER BY bucket) AS upto,
-             sum(n) OVER (PARTITION BY lang, source, fence) AS total FROM s),
-q AS (SELECT lang, source, {quart} FROM c GROUP BY lang, source)
+own AS (SELECT lang, source, {quart("own")} FROM {counted("lang, source, ")} GROUP BY lang, source),
+lan AS (SELECT lang AS of_lang, {quart("lang")} FROM {counted("lang, ")} GROUP BY lang),
+everything AS (SELECT {quart("all")} FROM {counted("")}),
+q AS (SELECT lang, source, {", ".join(bounds)} FROM own JOIN lan ON lang IS NOT DISTINCT FROM of_lang CROSS JOIN everything)
 SELECT doc_id, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, base_failed,
        coalesce(NOT base_failed AND {inside}, false) AS kept
 FROM y LEFT JOIN q ON y.lang IS NOT DISTINCT FROM q.lang AND y.source IS NOT DISTINCT FROM q.source"""

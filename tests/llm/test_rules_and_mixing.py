@@ -1,7 +1,10 @@
 import re
 from collections import Counter, defaultdict
 
+import duckdb
+import oracle
 import pytest
+from corpus_fixtures import write_tables
 
 from palate.llm import mixing, quality_rules
 
@@ -73,6 +76,20 @@ def test_wider_fences_close_small_and_spoiled_groups(spark):
     assert {r.doc_id for r in quality_rules.keep_good(df).collect()} == kept
 
 
+def test_the_registered_query_knows_the_wider_fences(spark, tmp_path):
+    """Through the query and its SQL: a group with 40 % junk, and one of three documents."""
+    good = [plain(i, s) for s, at in (("a", 0), ("b", 100)) for i in range(at, at + 60)]
+    spoiled = [plain(i, "spoiled", mark="##" * (i % 5 < 2)) for i in range(300, 350)]
+    small = [plain(400, "small"), plain(401, "small"), plain(402, "small", mark="##")]
+    folder = write_tables(spark, tmp_path, documents=spark.createDataFrame([*good, *spoiled, *small], DOCS))
+    got = quality_rules.op6_quality_rules(spark, folder)
+    assert {r.doc_id for r in got.where("kept").collect()} == {r[0] for r in [*good, *spoiled, *small] if "##" not in r[3]}
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{folder}/documents.parquet/*.parquet')")
+    rows, problems = oracle.compare(got, duck, quality_rules.OP6_SQL)
+    assert rows and not problems
+
+
 def test_wider_fences_spare_other_kinds_of_text(spark):
     """A source full of symbols and a language of long words stay, whatever the rest looks like."""
     rest = [plain(i, s) for s, at in (("a", 0), ("b", 200)) for i in range(at, at + 120)]
