@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from palate.llm.common import ROW, with_row_id
 from palate.llm.files import Roll, coalesced, read_at
-from palate.session import settle, work_path
+from palate.session import settle, shuffle_partitions, work_path
 
 #: Bytes of an archive before a new one is begun; bytes of one read; bytes skipped rather than read apart.
 ARCHIVE = 128 << 20
@@ -135,7 +135,11 @@ def read_archives(index: DataFrame, payloads: bool = True) -> DataFrame:
                     frame[c] = frame[c].astype("Int64")
                 yield frame if payloads else frame.assign(payload=None)
 
-    reads = coalesced(index, [], GAP, READ)
+    # Dealt by the bytes to read, not by the size of the index, which says nothing about them.
+    spark = index.sparkSession
+    size = index.agg(F.sum("length")).first()[0] or 0
+    tasks = max(shuffle_partitions(spark), -(-size // READ))
+    reads = coalesced(index, [], GAP, READ).repartition(tasks, "file", "start")
     return reads.mapInPandas(run, _RECORDS)
 
 

@@ -8,6 +8,7 @@ import random
 import numpy as np
 import pytest
 from corpus_fixtures import write_tables
+from pyspark.sql.functions import spark_partition_id
 
 from palate.llm import token_counts, url_filters, warc
 from palate.llm.files import coalesced
@@ -110,6 +111,18 @@ def test_reads_are_merged(spark):
     assert got == {("f", 0, 20, 3), ("f", 90, 95, 1), ("g", 3, 4, 1)}
 
 
+def test_archives_are_read_by_as_many_tasks_as_their_bytes_need(spark, tmp_path, monkeypatch):
+    r = random.Random(1)
+    pages = [(i, f"u{i}", "".join(r.choice("abcdefghij") for _ in range(400))) for i in range(2000)]
+    index = warc.write_archives(spark.createDataFrame(pages, "page_id long, url string, html string"), str(tmp_path / "w"))
+    monkeypatch.setattr(warc, "READ", 16 << 10)
+    size = index.agg({"length": "sum"}).first()[0]
+    out = warc.read_archives(index, payloads=False)
+    used = out.select("page_id", spark_partition_id().alias("task")).collect()
+    assert len(used) == 2000 and size > 20 * warc.READ
+    assert len({x.task for x in used}) >= 0.5 * size / warc.READ  # dealt by hash, so some tasks get two reads
+
+
 def test_no_pages(spark, tmp_path):
     folder = write_tables(spark, tmp_path, pages=spark.createDataFrame([], PAGES))
     assert warc.op8_warc(spark, folder).count() == 0
