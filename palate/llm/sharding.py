@@ -4,7 +4,8 @@ Documents of equal text form a group and go to one shard.  Packing looks at a bo
 a group that holds over a ``LOTS``-th of anything is a lot of its own, and there are at most ``LOTS``
 of those per dimension; all other groups are dealt to ``LOTS`` common lots by hash.  A group of more
 than a shard's fair share in any dimension would tip the balance wherever it went, so it is split by
-the hash of the id into parts that are lots.  Lots are placed from the largest down, each where the dot
+the hash of the id into parts that are lots; rows of an id that very many rows share (or of none)
+by the hash of their place in storage, too.  Lots are placed from the largest down, each where the dot
 product of its vector with the shard's residual capacity is highest; a shard that the lot would
 overfill in bytes is taken only if every shard is.
 
@@ -19,7 +20,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palate.llm.common import WORD, ranked, text_of
+from palate.llm.common import ROW, WORD, ranked, same, text_of, with_row_id
 from palate.session import settle
 
 SHARDS = 16
@@ -45,7 +46,7 @@ def place(lots: np.ndarray, shards: int) -> np.ndarray:
 
 
 def pack(sized: DataFrame, shards: int = SHARDS, lots: int = LOTS) -> DataFrame:
-    """``sized`` (``doc_id, group, bytes, tokens`` and others; a stored table) with ``shard``."""
+    """``sized`` (``salt, group, bytes, tokens`` and others; a stored table) with ``shard``."""
     dims = ["bytes", "tokens", "rows"]
     sums = [F.sum("bytes").alias("bytes"), F.sum("tokens").alias("tokens"), F.count("*").alias("rows")]
     whole = sized.agg(*sums).first()
@@ -58,7 +59,7 @@ def pack(sized: DataFrame, shards: int = SHARDS, lots: int = LOTS) -> DataFrame:
     )
     heavy = settle(heavy, "heavy")  # 3 * lots rows at most, by the share that each holds
     dealt = sized.join(F.broadcast(heavy), "group", "left")
-    part = F.pmod(F.xxhash64("doc_id"), F.col("parts"))
+    part = F.pmod(F.col("salt"), F.col("parts"))
     lot = F.when(F.col("parts").isNull(), F.format_string("c%d", F.pmod(F.xxhash64("group"), F.lit(lots))))
     dealt = dealt.withColumn("lot", F.coalesce(lot, F.concat(F.lit("g"), "group", F.lit("-"), part.cast("string")))).drop("parts")
     vectors = dealt.groupBy("lot").agg(*sums).orderBy("lot").toPandas()  # bounded by ``lots`` alone
@@ -70,12 +71,22 @@ def pack(sized: DataFrame, shards: int = SHARDS, lots: int = LOTS) -> DataFrame:
     return dealt.join(F.broadcast(placed), "lot").drop("lot")
 
 
+def salted(rows: DataFrame, lots: int = LOTS) -> DataFrame:
+    """Add ``salt``: a hash of the id, and of the row's place where an id is that of over a ``lots``-th of all rows."""
+    n = rows.count()
+    crowded = rows.groupBy("doc_id").agg(F.count("*").alias("__n")).where(F.col("__n") > max(n / lots, 1)).drop("__n")
+    crowded = settle(crowded, "crowded-ids")  # ``lots`` rows at most, by the share that each holds
+    marked = same(rows, F.broadcast(crowded.withColumn("__crowded", F.lit(True))), ["doc_id"], "left")
+    salt = F.when(F.col("__crowded"), F.xxhash64("doc_id", *ROW)).otherwise(F.xxhash64("doc_id"))
+    return marked.withColumn("salt", salt).drop("__crowded")
+
+
 def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """``docs`` without their text, with the columns of ``RESULT``."""
-    carried = [c for c in docs.columns if c not in (*RESULT, "text", "group", "bytes", "tokens")]
+    carried = [c for c in docs.columns if c not in (*RESULT, "text", "group", "bytes", "tokens", "salt")]
     sized = settle(
-        docs.select(
-            *carried,
+        with_row_id(docs).select(
+            *carried, *ROW,
             F.coalesce(F.md5("text"), F.lit("null")).alias("group"),
             (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("bytes"),
             F.regexp_count(text_of(), F.lit(WORD)).cast("long").alias("tokens"),
@@ -83,8 +94,8 @@ def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
         ),
         "sized",
     )
-    packed = settle(pack(sized, shards), "packed")
-    numbered = ranked(packed, ["shard"], [F.col("doc_id"), F.col("group")], name="slot")
+    packed = settle(pack(salted(sized), shards), "packed")
+    numbered = ranked(packed, ["shard"], [F.col("salt"), F.col("doc_id"), F.col("group"), *map(F.col, ROW)], name="slot")
     return numbered.select(
         *carried, F.col("bytes").alias("size"), "text_crc32", F.lit("bytes").alias("law"), "shard",
         F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
