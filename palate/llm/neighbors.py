@@ -35,6 +35,7 @@ APART = 8
 #: Vectors per partition, about, until ``MOST`` partitions; graph neighbours; share of neighbours to reach.
 PER_PARTITION = 512
 MOST = 256
+FEW = 8
 GRAPH = 10
 RECALL = 0.98
 #: Vectors and queries of one group.
@@ -154,7 +155,8 @@ def classes_of(rows: DataFrame, k: int, is_query: Column) -> DataFrame:
 
 def fit(classes: DataFrame, n: int, k: int, sample: int = SAMPLE) -> dict[str, np.ndarray]:
     """The index, learned by one task from the ``sample`` classes of least hash."""
-    parts = 1 << max(2, round(np.log2(max(1, min(MOST, n / PER_PARTITION)))))
+    # A small table is one partition: too few vectors could be held out to measure the routing.
+    parts = 1 if n < FEW * PER_PARTITION else 1 << max(2, round(np.log2(min(MOST, n / PER_PARTITION))))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         got = [b for b in batches if len(b)]
@@ -205,16 +207,8 @@ def _ranked(k: int):
     return run
 
 
-def search(vectors: DataFrame, is_query: Column, k: int = 5, sample: int = SAMPLE) -> DataFrame:
-    """``query_id, rank, vec_id, score``: the ``k`` nearest of each row that ``is_query`` (of ``vec_id``) picks."""
-    rows = usable(vectors)
-    classes = settle(classes_of(rows, k, is_query), "classes")
-    n = classes.count()
-    model = fit(classes, n, k, sample)
-    parts, probes = len(model["b"]), int(model["probes"])
-    put = settle(classes.select("cid", "v", "asks").mapInPandas(_routed(model, probes), "cid long, v array<double>, asks boolean, parts array<int>"), "routed")
-    points = put.select("cid", "v", F.col("parts")[0].alias("part"))
-    asked = put.where("asks").select("cid", "v", F.explode("parts").alias("part"))
+def _nearest_in(points: DataFrame, asked: DataFrame, parts: int, k: int) -> DataFrame:
+    """``query, cid, score``: the nearest classes of each asked query within the partitions it is asked of."""
     counts = lambda df: {r["part"]: r["n"] for r in df.groupBy("part").agg(F.count("*").alias("n")).collect()}  # noqa: E731  one per partition
     have, want = counts(points), counts(asked)
     blocks = lambda found, size: F.element_at(F.array(*[F.lit(max(1, -(-found.get(p, 0) // size))) for p in range(parts)]), F.col("part") + 1)
@@ -226,7 +220,27 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, sample: int = SAMPL
     left = spread(points, have, BLOCK, want, QUERIES, False).withColumnsRenamed({"mine": "pb", "theirs": "qb"})
     right = spread(asked, want, QUERIES, have, BLOCK, True).withColumnsRenamed({"mine": "qb", "theirs": "pb"})
     both = left.unionByName(right)
-    near = both.groupBy("part", "pb", "qb").applyInPandas(_ranked(k + 1), "query long, cid long, score double")
+    return both.groupBy("part", "pb", "qb").applyInPandas(_ranked(k + 1), "query long, cid long, score double")
+
+
+def search(vectors: DataFrame, is_query: Column, k: int = 5, sample: int = SAMPLE) -> DataFrame:
+    """``query_id, rank, vec_id, score``: the ``k`` nearest of each row that ``is_query`` (of ``vec_id``) picks."""
+    rows = usable(vectors)
+    classes = settle(classes_of(rows, k, is_query), "classes")
+    n = classes.count()
+    model = fit(classes, n, k, sample)
+    parts, probes = len(model["b"]), int(model["probes"])
+    put = settle(classes.select("cid", "v", "asks").mapInPandas(_routed(model, probes), "cid long, v array<double>, asks boolean, parts array<int>"), "routed")
+    points = put.select("cid", "v", F.col("parts")[0].alias("part"))
+    near = _nearest_in(points, put.where("asks").select("cid", "v", F.explode("parts").alias("part")), parts, k)
+    near = settle(near, "nearest")
+    # Queries whose partitions hold too little are sent to all of them.
+    sizes = near.join(classes.select("cid", F.size("ids").alias("n")), "cid").groupBy("query").agg(F.sum("n").alias("n"))
+    enough = sizes.where(F.col("n") >= min(k + 1, rows.select("vec_id").distinct().count())).select(F.col("query").alias("cid"))
+    short = settle(put.where("asks").select("cid", "v").join(enough, "cid", "left_anti"), "short")
+    if parts > 1 and short.count():
+        everywhere = short.select("cid", "v", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"))
+        near = near.unionByName(_nearest_in(points, everywhere, parts, k)).distinct()
     line = W.partitionBy("query").orderBy(F.desc("score"), "cid")
     best = near.withColumn("i", F.row_number().over(line)).where(F.col("i") <= k + 1).drop("i")
     ids = classes.select("cid", "ids")

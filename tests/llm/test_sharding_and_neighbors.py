@@ -3,6 +3,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pytest
 from corpus_fixtures import prose
 from pyspark.sql import functions as F
 
@@ -45,6 +46,32 @@ def test_a_hot_text_of_most_bytes_is_spread(spark):
     assert max(sizes) - min(sizes) <= 0.06 * np.mean(sizes)
 
 
+@pytest.mark.parametrize("doc_id", [None, 7])
+def test_a_hot_text_whose_rows_share_an_id_is_spread(spark, doc_id):
+    """Half of all rows, and most bytes, are one text of one id, or of none."""
+    hot = prose(0, 400)
+    docs = [(doc_id if i % 2 else i, hot if i % 2 else prose(i, 20)) for i in range(4000)]
+    sizes = check_shards(sharding.shard(spark.createDataFrame(docs, "doc_id long, text string")).collect(), docs)
+    assert max(sizes) - min(sizes) <= 0.06 * np.mean(sizes)
+
+
+def test_packing_equals_a_plain_greedy_one():
+    """By the definition, one lot at a time: the largest first, to the best dot product among the shards it fits."""
+    r = random.Random(3)
+    lots = [[900 * r.random(), 90 * r.random(), 9 * r.random()] for _ in range(300)]  # no two alike, so no ties
+    total = [sum(x) for x in zip(*lots, strict=True)]
+    left = [[t / 8 for t in total] for _ in range(8)]
+    want = {}
+    for i in sorted(range(300), key=lambda i: (-lots[i][0], -sum(lots[i][d] / total[d] for d in range(3)), i)):
+        fits = [s for s in range(8) if left[s][0] >= lots[i][0]]
+        worth = lambda s: sum(left[s][d] * lots[i][d] / total[d] ** 2 for d in range(3))  # noqa: B023, E731
+        best = max(fits, key=worth) if fits else max(range(8), key=lambda s: left[s][0])
+        want[i] = best
+        for d in range(3):
+            left[best][d] -= lots[i][d]
+    assert sharding.place(np.array(lots, float), 8).tolist() == [want[i] for i in range(300)]
+
+
 def test_odd_rows(spark, odd, none):
     rows = sharding.shard(odd)
     assert set(rows.columns) >= {"doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard", "kept", "n_chars"}
@@ -90,6 +117,27 @@ def test_few_candidates_and_none(spark):
     assert neighbors.search(spark.createDataFrame([], SCHEMA), q).count() == 0
 
 
+@pytest.mark.parametrize("n", [20, 100, 600])
+def test_small_tables_at_the_defaults_equal_brute_force(spark, n):
+    rng = np.random.default_rng(n)
+    rows = [(i, [float(np.float32(x)) for x in rng.standard_normal(12)], 1) for i in range(n)]
+    got = found(neighbors.search(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 50 == 0))
+    assert got == brute([r[:2] for r in rows])
+
+
+def test_queries_whose_partitions_hold_too_little_get_the_others(spark, monkeypatch):
+    def lonely(x, parts, k):
+        """A classifier that sends one vector to a partition of its own, and all queries to one partition."""
+        w = np.zeros((x.shape[1], 2))
+        w[0] = [1.0, -1.0]
+        return {"w": w, "b": np.zeros(2), "probes": np.array(1)}
+
+    monkeypatch.setattr(neighbors, "fit_sample", lonely)
+    rows = [(i, [-1.0 if i == 50 else 1.0, float(i), 2.0], 1) for i in range(120)]
+    got = found(neighbors.search(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 50 == 0))
+    assert got == brute([r[:2] for r in rows])
+
+
 def test_recall_with_a_common_vector(spark):
     rng = np.random.default_rng(3)
     centers = rng.standard_normal((40, 16))
