@@ -83,7 +83,8 @@ class Shards:
             keys, ends, text, block = self.shard(int(i))
             mine = np.flatnonzero(home == i)
             at = np.searchsorted(keys, digests[mine])
-            for j, p in zip(mine, at, strict=True):
+            hit = np.flatnonzero(keys[np.minimum(at, len(keys) - 1)] == digests[mine])
+            for j, p in zip(mine[hit], at[hit], strict=True):  # few: strings are only looked at for equal digests
                 while p < len(keys) and keys[p] == digests[j]:  # equal digests of different strings stand together
                     stored = text[ends[p - 1] if p else 0 : ends[p]].tobytes()
                     if stored == candidates[j].encode("utf-8", "surrogatepass"):
