@@ -10,8 +10,9 @@ tokens are, and each adjacent pair of the result stood together in an encoding,
 the encoding of the whole.  If no window agrees, it ends up covering the run.  Within a piece, a
 run longer than ``leaf`` characters is halved in the same way.
 
-The vocabulary must be one whose tokens never cross white space and that drops white space.  Equal
-runs are encoded once per task while they stay in a bounded table.
+This holds for a vocabulary whose tokens never cross white space, that drops white space and splits
+runs as ``_WORDS`` does.  A vocabulary is asked by a probe text; one of other rules encodes and decodes
+whole texts by the library.  Equal runs are encoded once per task while they stay in a bounded table.
 
 Defined cases: a null or empty text has no tokens and decodes to an empty text; texts that are not
 in Unicode normal form C are never cut (normalizing may move characters over a join); repeated rows
@@ -55,6 +56,8 @@ _SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _BYTES = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _SHOWN)}
 _ODD = re.compile("[\x1c-\x1f]")
 _OUT = "ids binary, decoded string"
+#: Tells vocabularies of other rules apart: case, digits, contractions, accents, several kinds of space.
+PROBE = "The Cat's  hats,|don't 1234 rUN-ning\n\n(we'll) see|Ünïcode Straße été|日本語 text!!! ... ???|a  b\tc|x_y@z.com #1"
 
 
 def runs_of(text: str) -> list[str]:
@@ -96,10 +99,24 @@ class Codec:
         self.model = self.tokenizer.model
         self.leaf, self.window = leaf, window
         self.names = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
-        #: Pre-tokens of plain runs; a vocabulary split by other rules has none.
+        #: Pre-tokens of plain runs.
         self.words: dict[str, bytes] = {}
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.splits = True
+        self.splits = self.follows_the_rules()
+
+    def follows_the_rules(self) -> bool:
+        """Whether run-wise encoding and decoding equal the library's on the probe text and its parts."""
+        for text in (PROBE, PROBE.swapcase(), *PROBE.split("|")):
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+            raw = np.array(ids, dtype="<u4").tobytes()
+            try:
+                if self.encode([text])[0] != raw or self.decode(raw) != self.tokenizer.decode(ids, skip_special_tokens=False):
+                    return False
+            except KeyError:  # a character the vocabulary spells in another way
+                return False
+        return True
 
     # -- whole runs ------------------------------------------------------------------------------
 
@@ -142,11 +159,15 @@ class Codec:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit numbers."""
+        if not self.splits:
+            return [np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() for t in texts]
         split = [runs_of(t) for t in texts]
         self.learn(split)
         return [b"".join(map(self.known.__getitem__, runs)) for runs in split]
 
     def decode(self, ids: bytes) -> str:
+        if not self.splits:
+            return self.tokenizer.decode(np.frombuffer(ids, dtype="<u4").tolist(), skip_special_tokens=False)
         return " ".join(map(self.names.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
 
     # -- parts of runs ---------------------------------------------------------------------------
@@ -305,6 +326,8 @@ def encode_decode(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",
     """
     here = text_of(text).alias("__text")
     long = F.length(text_of(text)) > piece
+    if not Codec(path, leaf, window).splits:
+        return map_text(docs, list(keep), _OUT, _whole(path, leaf, window), text, ROWS_AT_ONCE)
     short = map_text(docs.where(~long), list(keep), _OUT, _whole(path, leaf, window), text, ROWS_AT_ONCE)
     rows = with_row_id(docs).where(long)
     place = f"{ROW[0]} long, {ROW[1]} long"

@@ -58,3 +58,34 @@ def test_documents(odd, library):
 
 def test_empty(none):
     assert bpe.digests(bpe.encode_decode(none, bpe.vocabulary())).count() == 0
+
+
+def small_vocabulary(path, lower: bool, byte_level: bool) -> str:
+    """A vocabulary of other rules: cased, or with words that keep their space."""
+    import json
+
+    letters = [chr(c) for c in range(33, 127)] + ["\u0120"]
+    merges = [("t", "h"), ("th", "e"), ("a", "t")] + [("\u0120", "th")] * byte_level
+    vocab = {x: i for i, x in enumerate([*letters, *["".join(m) for m in merges], "<unk>"])}
+    rules = {
+        "version": "1.0", "truncation": None, "padding": None, "added_tokens": [], "post_processor": None,
+        "normalizer": {"type": "Lowercase"} if lower else None,
+        "pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True} if byte_level else {"type": "Whitespace"},
+        "decoder": {"type": "ByteLevel", "add_prefix_space": True, "trim_offsets": True, "use_regex": True} if byte_level else None,
+        "model": {"type": "BPE", "vocab": vocab, "merges": [" ".join(m) for m in merges], "unk_token": "<unk>", "dropout": None,
+                  "continuing_subword_prefix": None, "end_of_word_suffix": None, "fuse_unk": False, "byte_fallback": False},
+    }
+    path.write_text(json.dumps(rules))
+    return str(path)
+
+
+@pytest.mark.parametrize("kind", [(False, False), (True, False), (False, True)])
+def test_vocabularies_of_other_rules(spark, tmp_path, kind):
+    path = small_vocabulary(tmp_path / "v.json", *kind)
+    other = Tokenizer.from_file(path)
+    assert not bpe.Codec(path).splits and bpe.Codec(bpe.vocabulary()).splits
+    texts = ["The cat at the HAT", "the the " * 200, "", "xTHEat"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (np.frombuffer(bytes(r.ids), "<u4").tolist(), r.decoded) for r in bpe.encode_decode(df, path, piece=50, leaf=20).collect()}
+    want = {i: other.encode(t, add_special_tokens=False).ids for i, t in enumerate(texts)}
+    assert got == {i: (x, other.decode(x, skip_special_tokens=False)) for i, x in want.items()}
