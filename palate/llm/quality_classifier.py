@@ -209,6 +209,26 @@ def keep_likely(docs: DataFrame, model: Model, cut: float = CUT) -> DataFrame:
     return docs.mapInArrow(run, docs.schema)
 
 
+def keep_likely_by(docs: DataFrame, labels: DataFrame, cut: float = CUT) -> DataFrame:
+    """Train on the labelled documents and keep those that score ``cut`` or more.
+
+    Documents are stored once with their statistics, which both training and scoring read; no text is
+    looked at twice, or shuffled.
+    """
+
+    def start():
+        return lambda texts: [pa.array([[float(v) for v in statistics(t)] for t in texts], pa.list_(pa.float64()))]
+
+    described = settle(map_text(docs, docs.columns, "__x array<double>", start), "statistics")
+    model = fit(described.select("doc_id", F.col("__x").alias("x")), labels)
+
+    @F.pandas_udf("double")
+    def scores(x: pd.Series) -> pd.Series:
+        return pd.Series(model.score(np.stack(x.to_numpy())) if len(x) else [], dtype=float)
+
+    return described.where(scores("__x") >= cut).select(docs.columns)
+
+
 def train(docs: DataFrame, labels: DataFrame) -> Model:
     return fit(settle(featurize(docs), "statistics"), labels)
 
