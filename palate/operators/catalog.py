@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from palate.functions.columns import genre_array, title_year
-from palate.operators.ranking import lookup_for, top_k_per
+from palate.operators.ranking import lookup_for, numbered, top_k_per
 
 UNKNOWN_TITLE = "(unknown title)"
 
@@ -89,3 +89,36 @@ def recent_ratings(
     return with_titles(latest, movies).select(
         "userId", "movieId", "title", "rating", "timestamp", "recency"
     )
+
+
+def complete_lists(best: DataFrame, queries: DataFrame, catalogue: DataFrame, barred: DataFrame, k: int) -> DataFrame:
+    """Pad lists shorter than ``k`` with the smallest ids not listed, at score 0.
+
+    ``best`` is ``queryId, movieId, score`` (a stored table; other columns are dropped), ``queries``
+    the ``queryId`` that get a list, ``catalogue`` distinct ``movieId``, ``barred`` distinct
+    ``queryId, movieId``; the result is ``queryId, movieId, score, rank``.
+
+    A list of ``h`` items with ``b`` barred ones finds its padding among the first ``k + b``
+    catalogue entries that are not in the list, hence among the first ``k + b + h``: each short
+    list unfolds that many places of the numbered catalogue and looks their ids up.
+    """
+    have = best.groupBy("queryId").agg(F.count(F.lit(1)).alias("__have"))
+    bars = barred.groupBy("queryId").agg(F.count(F.lit(1)).alias("__barred"))
+    reach = F.coalesce("__have", F.lit(0)) + F.coalesce("__barred", F.lit(0)) + F.lit(k)
+    short = (
+        queries.select("queryId").distinct().join(have, "queryId", "left")
+        .where(F.coalesce("__have", F.lit(0)) < k)
+        .join(bars, "queryId", "left")
+        .select("queryId", reach.cast("int").alias("__reach"))
+    )
+    places = numbered(catalogue.select("movieId"), [F.asc("movieId")], "__at")
+    padding = (
+        short.select("queryId", F.explode(F.sequence(F.lit(1), F.col("__reach"))).alias("__at"))
+        .join(places, "__at")
+        .select("queryId", "movieId")
+        .join(barred, ["queryId", "movieId"], "left_anti")
+        .join(best, ["queryId", "movieId"], "left_anti")
+        .withColumn("score", F.lit(0.0))
+    )
+    both = best.select("queryId", "movieId", "score").unionByName(padding)
+    return top_k_per(both, "queryId", [F.desc("score"), F.asc("movieId")], k)

@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from palate.functions.vectors import radius_for_cosine, with_unit_vector
-from palate.operators.ranking import SCORE_DIGITS, rounded, top_k_per
-from palate.operators.ratings import item_norms
-from palate.operators.tiles import Cut, co_rating_candidates, vector_top_k
+from palate.operators.ranking import SCORE_DIGITS, rounded, top_k_of_many, top_k_per
+from palate.operators.products import cosine, self_product
+from palate.operators.ratings import with_norms
+from palate.operators.tiles import vector_top_k
 from palate.operators.weighting import rating_entries
 from palate.session import settle
 
@@ -36,28 +37,23 @@ def rating_neighbors(
     dup_policy: str = "sum",
     shrink: float | None = None,
     weighting: str = "none",
-    plan: Cut | None = None,
 ) -> DataFrame:
     """Best ``top_n`` neighbours of every item by cosine of rating vectors."""
-    entries = rating_entries(ratings, dup_policy, weighting)
-    return entry_neighbors(entries, top_n, shrink, plan)
+    return entry_neighbors(rating_entries(ratings, dup_policy, weighting), top_n, shrink)
 
 
-def entry_neighbors(
-    entries: DataFrame, top_n: int, shrink: float | None = None, plan: Cut | None = None
-) -> DataFrame:
-    """:func:`rating_neighbors` over entries that are already unique and weighted."""
-    pairs = co_rating_candidates(entries, top_n, shrink, plan)
-    norms = item_norms(entries).select("movieId", "norm")
-    other = norms.select(F.col("movieId").alias("neighborId"), F.col("norm").alias("__other_norm"))
-    lengths = F.col("norm") * F.col("__other_norm")
-    similarity = F.when(lengths == 0, F.lit(0.0)).otherwise(F.col("dot") / lengths)
-    if shrink is not None:
-        similarity = similarity * F.col("overlap") / (F.col("overlap") + F.lit(float(shrink)))
-    scored = pairs.join(norms, "movieId").join(other, "neighborId")
-    return _ranked(
-        scored.select("movieId", "neighborId", rounded(similarity).alias("similarity")), top_n
-    )
+def entry_neighbors(entries: DataFrame, top_n: int, shrink: float | None = None) -> DataFrame:
+    """:func:`rating_neighbors` over entries that are already unique and weighted.
+
+    Each unordered pair of co-rated items is summed once and answers for both.
+    """
+    pairs = self_product(settle(with_norms(entries), "normed-entries"))
+    scored = pairs.select("movieId", "neighborId", cosine("dot", shrink).alias("similarity"))
+    there = F.struct("movieId", "neighborId", "similarity")
+    back = F.struct(F.col("neighborId").alias("movieId"), F.col("movieId").alias("neighborId"), "similarity")
+    both = scored.select(F.inline(F.array(there, back)))
+    best = top_k_of_many(both, "movieId", "similarity", "neighborId", top_n)
+    return best.select("movieId", "neighborId", "similarity", "rank")
 
 
 def factor_neighbors(factors: DataFrame, top_n: int = TOP_N, **blocks) -> DataFrame:

@@ -5,10 +5,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from palate.session import settle
+from palate.session import settle, shuffle_partitions
 
 SCORE_DIGITS = 6
 
+#: Longest list that is cut by shards before it is sorted.
+SHARDED_K = 200
+
 #: Rows up to which a list is broadcast without asking the optimizer.
 BROADCAST_ROWS = 100_000
 
@@ -38,6 +41,47 @@ def top_k_per(
     return numbered.where(F.col(rank) <= k)
 
 
+def top_k_of_many(
+    df: DataFrame, key: str, score: str, tie: str, k: int, digits: int = SCORE_DIGITS, rank: str = "rank"
+) -> DataFrame:
+    """Top-k per key by rounded ``score`` descending and ``tie`` ascending where keys own far more than k rows.
+
+    Rounding and sorting all rows to keep few of them is what costs.  So the rows are stored, and the
+    best score in each of some shards of a key's rows is found by hashing alone: the k-th best of
+    these is a bound that at least k rows reach.  Only rows that can reach it once rounded are rounded
+    and sorted.  Keys with rows in fewer than k shards keep them all.
+    """
+    order = [F.desc(score), F.asc(tie)]
+    if k > SHARDED_K:
+        return top_k_per(df.withColumn(score, rounded(F.col(score), digits)), key, order, k, rank)
+    stored = settle(df, "scored")
+    shard = F.pmod(F.xxhash64(tie), F.lit(3 * k))
+    best = stored.groupBy(key, shard.alias("__shard")).agg(F.max(score).alias("__best"))
+    falling = F.sort_array(F.collect_list("__best"), asc=False)  # 3 * k values at most
+    bound = F.get(falling, F.lit(k - 1)) - F.lit(10.0**-digits)
+    bounds = settle(best.groupBy(key).agg(bound.alias("__bound")), "bounds")
+    reached = stored.join(bounds, key).where(F.col("__bound").isNull() | (F.col(score) >= F.col("__bound")))
+    return top_k_per(reached.drop("__bound").withColumn(score, rounded(F.col(score), digits)), key, order, k, rank)
+
+
+def numbered(df: DataFrame, order: Sequence[Column], name: str = "n") -> DataFrame:
+    """Gapless numbers from 1 on in a total order of all rows, made by many tasks; a stored table.
+
+    Range partitions are sorted each for itself, and a partition's numbers follow those of the
+    partitions before it.  The window sees one row per partition.
+    """
+    line = df.repartitionByRange(shuffle_partitions(df.sparkSession), *order).sortWithinPartitions(*order)
+    place = F.monotonically_increasing_id()  # the partition's number above the low 33 bits, the row's in them
+    stored = settle(
+        line.withColumn("__part", F.shiftright(place, 33)).withColumn("__row", place.bitwiseAND((1 << 33) - 1)), "ordered"
+    )
+    sizes = stored.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = sizes.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__base"))
+    placed = stored.join(F.broadcast(bases), "__part")  # one row per partition
+    return placed.withColumn(name, F.col("__base") + F.col("__row") + 1).drop("__part", "__row", "__base")
+
+
 def as_list_column(df: DataFrame, size_bound: int) -> Column:
     """A small ranked table as one constant array column (scalar subquery, no join).
 

@@ -96,6 +96,12 @@ def item_norms(entries: DataFrame, value: str = "rating") -> DataFrame:
     )
 
 
+def with_norms(entries: DataFrame) -> DataFrame:
+    """``userId, movieId, rating, norm``: each entry with the length of its item's rating vector."""
+    norms = item_norms(entries).select("movieId", "norm")
+    return entries.join(norms, "movieId").select("userId", "movieId", F.col("rating").cast("double").alias("rating"), "norm")
+
+
 def known_users(ratings: DataFrame, limit: int | None = None) -> DataFrame:
     """Distinct users in id order."""
     users = ratings.select("userId").na.drop().distinct().orderBy("userId")

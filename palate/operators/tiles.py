@@ -1,21 +1,11 @@
-"""Top-k of large products without ever forming the product.
+"""Top-k of large dense products without ever forming the product.
 
 Both operands are cut into blocks and each block is packed into one binary value; a pair of
-blocks (a *tile*) is one Spark group.  Inside a tile NumPy multiplies and keeps only each row's
-best entries, so what leaves a task is ``rows x k`` and never the pairs.  Spark decides where
-tiles run, moves the blocks and merges the candidates.
-
-* :func:`vector_top_k` multiplies dense vectors (factors).
-* :func:`sparse_top_k` multiplies two sparse matrices given as long tables.
-* :func:`co_rating_candidates` multiplies the sparse rating matrix with itself.
-
-Skew: a block has a bounded number of keys, and one that still has many rows (a very popular
-item) is packed in several slices by the hash of the inner key (the user); slices of a tile
-run apart and their partial sums meet in an ordinary aggregate.  A very busy user has at most
-one row per item and is therefore spread over all blocks.
+blocks (a *tile*) is one Spark group.  Inside a tile NumPy multiplies vectors (factors) and keeps
+only each row's best entries, so what leaves a task is ``rows x k`` and never the pairs.  Spark
+decides where tiles run, moves the blocks and merges the candidates.
 """
 
-from dataclasses import dataclass
 from math import ceil, isqrt
 
 import numpy as np
@@ -28,12 +18,8 @@ from palate.session import parallelism, shuffle_partitions
 
 #: Cells of a product worked on at once inside a tile.
 STRIP_CELLS = 4_000_000
-#: Hash cells counted to size blocks in one pass; more keys than these serve are counted again.
-HASH_CELLS = 16_384
-BLOCK_KEYS = 2048
-SLICE_ROWS = 2_000_000
 
-LEFT, BOTH, RIGHT, BARRED = 0, 1, 2, 3
+LEFT, RIGHT = 0, 1
 
 
 # ---------------------------------------------------------------- blocks and tiles
@@ -51,82 +37,6 @@ def block_count(rows: int, block_rows: int, slots: int) -> int:
     return max(1, by_size, for_slots)
 
 
-@dataclass(frozen=True)
-class Cut:
-    """How one side of a sparse product is cut into blocks, and how many rows each one holds.
-
-    Keys are hashed to ``hashed`` blocks; each ``heavy`` key has a block of its own after those.
-    """
-
-    hashed: int
-    rows: tuple[int, ...]
-    heavy: tuple[int, ...] = ()
-
-    @property
-    def blocks(self) -> int:
-        return self.hashed + len(self.heavy)
-
-    def slices(self, slice_rows: int) -> list[int]:
-        """Inner-key slices per block, powers of two so that coarser slices are unions of finer."""
-        return [1 << (max(1, ceil(r / slice_rows)) - 1).bit_length() for r in self.rows]
-
-    def place(self, df: DataFrame, key: str, out: str) -> DataFrame:
-        """Adds the block number of ``key``.  There are fewer heavy keys than hashed blocks."""
-        block = block_of(key, self.hashed)
-        if not self.heavy:
-            return df.withColumn(out, block)
-        own = [(k, self.hashed + n) for n, k in enumerate(self.heavy)]
-        table = df.sparkSession.createDataFrame(own, f"{key} bigint, __heavy int")
-        placed = df.join(F.broadcast(table), key, "left")
-        return placed.withColumn(out, F.coalesce("__heavy", block)).drop("__heavy")
-
-
-def cut(
-    entries: DataFrame,
-    key: str,
-    block_keys: int = BLOCK_KEYS,
-    blocks: int | None = None,
-    slice_rows: int = SLICE_ROWS,
-) -> Cut:
-    """Sizes blocks of about ``block_keys`` keys with one pass that counts rows and keys over a
-    fixed number of hash cells.
-
-    A key with more than half a slice of rows, and more than an average block has, gets its own
-    block: the slices of its tiles then add up one row of the product and not a full tile.  Such
-    keys are looked for in a second pass, only when some cell is that large.
-    """
-    cells = HASH_CELLS if blocks is None else blocks
-    cell = block_of(key, cells)
-    counted = (
-        entries.groupBy(cell.alias("cell"))
-        .agg(F.count(F.lit(1)).alias("rows"), F.approx_count_distinct(key).alias("keys"))
-        .collect()
-    )
-    if blocks is None:
-        n = sum(r["keys"] for r in counted)
-        wanted = block_count(n, block_keys, parallelism(entries.sparkSession))
-        blocks = 1 << (wanted - 1).bit_length()
-        if blocks > cells:  # more keys than the cells were meant for: count again by blocks
-            return cut(entries, key, block_keys, blocks, slice_rows)
-    rows = [0] * blocks
-    for r in counted:  # cells is a multiple of blocks, so cell % blocks is the block
-        rows[r["cell"] % blocks] += r["rows"]
-    limit = max(slice_rows / 2, sum(rows) / blocks)
-    suspects = [r["cell"] for r in counted if r["rows"] > limit]
-    if not suspects:
-        return Cut(blocks, tuple(rows))
-    heavy = (
-        entries.where(cell.isin(suspects))
-        .groupBy(F.col(key).cast("bigint").alias("key"), block_of(key, blocks).alias("block"))
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .where(F.col("rows") > limit)
-        .collect()
-    )
-    for r in heavy:
-        rows[r["block"]] -= r["rows"]
-    return Cut(blocks, (*rows, *(r["rows"] for r in heavy)), tuple(r["key"] for r in heavy))
-
-
 def tile_tasks(spark: SparkSession, groups: int) -> int:
     """Tasks for a number of groups: several per slot, to even out groups of different weight.
 
@@ -164,23 +74,13 @@ def _side(table: pa.Table, wanted: int, order: str) -> pa.Table | None:
     pieces = [
         pa.ipc.open_stream(pa.py_buffer(table["piece"][i].as_py())).read_all()
         for i, side in enumerate(table["side"].to_pylist())
-        if side == wanted or (side == BOTH and wanted in (LEFT, RIGHT))
+        if side == wanted
     ]
     if len(pieces) > 1:
         return pa.concat_tables(pieces).sort_by(order).combine_chunks()
     return pieces[0] if pieces else None
 
 
-def _codes(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct values and each row's position among them."""
-    encoded = column.combine_chunks().dictionary_encode()
-    values = encoded.dictionary.to_numpy(zero_copy_only=False)
-    order = np.argsort(values)
-    place = np.empty(len(values), dtype=np.int64)
-    place[order] = np.arange(len(values))
-    return values[order], place[encoded.indices.to_numpy(zero_copy_only=False)]
-
-
 def _tiles(pieces: DataFrame, keys: list[str], tiles: int, multiply, ddl: str) -> DataFrame:
     grouped = pieces.repartition(tile_tasks(pieces.sparkSession, tiles), *keys).groupBy(*keys)
     return grouped.applyInArrow(multiply, ddl)
@@ -235,25 +135,6 @@ def _best(
     return order[place < keep[in_order]]
 
 
-def _best_pairs(
-    owner: np.ndarray,
-    other: np.ndarray,
-    value: np.ndarray,
-    keep: np.ndarray,
-    n_other: int,
-    digits: int = SCORE_DIGITS,
-) -> np.ndarray:
-    """:func:`_best` of unrounded values, by way of a dense table when the pairs nearly fill it."""
-    cells = len(keep) * n_other
-    if owner.size * 4 < cells or cells > 4 * STRIP_CELLS:
-        return _best(owner, np.round(value, digits), keep, digits)
-    table = np.full((len(keep), n_other), -np.inf)
-    table[owner, other] = value
-    at = np.empty((len(keep), n_other), dtype=np.int64)
-    at[owner, other] = np.arange(owner.size)
-    return at[_best_cells(table, keep, digits)]
-
-
 def _matrix(table: pa.Table, column: str) -> np.ndarray:
     lists = table[column].combine_chunks()
     flat = np.asarray(lists.flatten().to_numpy(zero_copy_only=False), dtype=np.float64)
@@ -381,298 +262,3 @@ def vector_top_k(
     if barred is not None:
         found = found.join(barred, ["queryId", "id"], "left_anti")
     return top_k_per(found, "queryId", [F.desc("score"), F.asc("id")], k)
-
-
-# ---------------------------------------------------------------- sparse products
-
-
-def _fold(parts):
-    keys, where = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-    sums = np.bincount(where, weights=np.concatenate([p[1] for p in parts]))
-    counts = np.bincount(where, weights=np.concatenate([p[2] for p in parts]))
-    return keys, sums, counts
-
-
-def _pair_sums(li, lu, lx, rj, ru, rx, n_left, n_right):
-    """Sum of products and number of common inner keys per (left, right) index, as sparse arrays.
-
-    The right side is sorted by inner key.  Pairs are expanded in bounded strips and folded at
-    once, into a dense table when that is small enough.
-    """
-    start = np.searchsorted(ru, lu, side="left")
-    width = np.searchsorted(ru, lu, side="right") - start
-    cells = n_left * n_right
-    dense = cells <= 4 * STRIP_CELLS
-    dot, common = (np.zeros(cells), np.zeros(cells)) if dense else (None, None)
-    folded = []
-    ends = np.cumsum(width)
-    at = 0
-    while at < len(li):
-        done = ends[at - 1] if at else 0
-        to = max(at + 1, int(np.searchsorted(ends, done + STRIP_CELLS, side="right")))
-        w = width[at:to]
-        total = int(w.sum())
-        if total:
-            left = np.repeat(np.arange(at, to), w)
-            right = np.arange(total) - np.repeat(np.cumsum(w) - w, w) + start[left]
-            cell = li[left] * n_right + rj[right]
-            value = lx[left] * rx[right]
-            if dense and total * 32 >= cells:
-                dot += np.bincount(cell, weights=value, minlength=cells)
-                common += np.bincount(cell, minlength=cells)
-            else:
-                part = _fold([(cell, value, np.ones(total))])
-                if dense:
-                    dot[part[0]] += part[1]
-                    common[part[0]] += part[2]
-                else:
-                    folded.append(part)
-                    if sum(len(f[0]) for f in folded) > 4 * STRIP_CELLS:
-                        folded = [_fold(folded)]
-        at = to
-    if dense:
-        keys = np.flatnonzero(common)
-        return keys // n_right, keys % n_right, dot[keys], common[keys]
-    if not folded:
-        none = np.zeros(0, dtype=np.int64)
-        return none, none, np.zeros(0), np.zeros(0)
-    keys, sums, counts = _fold(folded)
-    return keys // n_right, keys % n_right, sums, counts
-
-
-def _sliced_pieces(entries: DataFrame, key: str, inner: str, plan: Cut, finest: int) -> DataFrame:
-    """Packed pieces ``__own, __piece, piece`` of a long table.
-
-    Every block is packed in the finest slicing any block needs, so a light block that meets a
-    heavy one brings exactly the inner keys of the slice and no row travels twice to one tile.
-    """
-    rows = plan.place(entries, key, "__own")
-    rows = rows.withColumn("__piece", F.pmod(F.xxhash64(inner), F.lit(finest)).cast("int"))
-    return packed(rows, ["__own", "__piece"], plan.blocks * finest, inner)
-
-
-def _spread(pieces: DataFrame, own_slices: list[int], other_slices: list[int]) -> DataFrame:
-    """Every piece once per block of the other side, with its ``__slice`` of that tile.
-
-    A tile has as many slices as its heavier block; slice counts are powers of two, so a coarse
-    slice is a union of fine pieces.
-    """
-    paired = pieces.withColumn("__other", _range(len(other_slices)))
-    if max(*own_slices, *other_slices) == 1:
-        return paired.withColumn("__slice", F.lit(0)).withColumn("sliced", F.lit(False))
-    tile = F.greatest(F.lit(own_slices)[F.col("__own")], F.lit(other_slices)[F.col("__other")])
-    return paired.withColumn("sliced", tile > 1).withColumn(
-        "__slice", F.pmod(F.col("__piece"), tile).cast("int")
-    )
-
-
-_PAIRS = pa.schema(
-    [("movieId", pa.int64()), ("neighborId", pa.int64()), ("dot", pa.float64()), ("overlap", pa.int64())]
-)
-_PAIRS_DDL = "movieId bigint, neighborId bigint, dot double, overlap bigint"
-
-
-def _co_rating_tile(k: int, shrink: float | None):
-    def multiply(table: pa.Table) -> pa.Table:
-        whole = not table["sliced"][0].as_py()
-        diagonal = BOTH in table["side"].to_pylist()
-        left, right = _side(table, LEFT, "userId"), _side(table, RIGHT, "userId")
-        if left is None or right is None:
-            return _PAIRS.empty_table()
-        left_ids, li = _codes(left["movieId"])
-        right_ids, rj = _codes(right["movieId"])
-        lx, rx = left["rating"].to_numpy(), right["rating"].to_numpy()
-        lu, ru = left["userId"].to_numpy(), right["userId"].to_numpy()
-        i, j, dot, common = _pair_sums(li, lu, lx, rj, ru, rx, len(left_ids), len(right_ids))
-        if diagonal:
-            apart = i != j
-            i, j, dot, common = i[apart], j[apart], dot[apart], common[apart]
-        if whole:
-            # All users are here, so lengths are final and weak pairs can be dropped now.
-            ln = np.sqrt(np.bincount(li, weights=lx * lx, minlength=len(left_ids)))
-            rn = np.sqrt(np.bincount(rj, weights=rx * rx, minlength=len(right_ids)))
-            lengths = ln[i] * rn[j]
-            sim = np.divide(dot, lengths, out=np.zeros_like(dot), where=lengths > 0)
-            if shrink is not None:
-                sim = sim * common / (common + shrink)
-            nl, nr = len(left_ids), len(right_ids)
-            forward = _best_pairs(i, j, sim, np.full(nl, k), nr)
-            back = [] if diagonal else _best_pairs(j, i, sim, np.full(nr, k), nl)
-        else:
-            forward = np.arange(i.size)
-            back = [] if diagonal else forward
-        a, b = left_ids[i], right_ids[j]
-        where = np.concatenate([forward, back]).astype(np.int64)
-        owner = np.concatenate([a[forward], b[back]]) if len(back) else a[forward]
-        other = np.concatenate([b[forward], a[back]]) if len(back) else b[forward]
-        columns = [owner, other, dot[where], common[where].astype(np.int64)]
-        return pa.Table.from_arrays([pa.array(c) for c in columns], schema=_PAIRS)
-
-    return multiply
-
-
-def co_rating_candidates(
-    entries: DataFrame,
-    k: int,
-    shrink: float | None = None,
-    plan: Cut | None = None,
-    slice_rows: int = SLICE_ROWS,
-) -> DataFrame:
-    """``movieId, neighborId, dot, overlap``: a superset of every item's best ``k`` neighbours.
-
-    ``entries`` is ``userId, movieId, rating``, one row per pair, read twice.  Each unordered pair
-    of blocks is multiplied once and answers for both.  Slices of a heavy tile send partial sums,
-    at most block keys squared of them, which is about what they received.
-    """
-    plan = plan or cut(entries, "movieId", slice_rows=slice_rows)
-    n, slices = plan.blocks, plan.slices(slice_rows)
-    rows = entries.select(
-        F.col("userId").cast("bigint").alias("userId"),
-        F.col("movieId").cast("bigint").alias("movieId"),
-        F.col("rating").cast("double").alias("rating"),
-    )
-    own, other = F.col("__own"), F.col("__other")
-    pieces = _sliced_pieces(rows, "movieId", "userId", plan, max(slices))
-    placed = _spread(pieces, slices, slices).select(
-        F.least(own, other).alias("__a"),
-        F.greatest(own, other).alias("__b"),
-        "__slice",
-        "sliced",
-        F.when(own == other, BOTH).when(own < other, LEFT).otherwise(RIGHT).alias("side"),
-        "piece",
-    )
-    tiles = n * (n + 1) // 2 * max(slices)
-    found = _tiles(placed, ["__a", "__b", "__slice"], tiles, _co_rating_tile(k, shrink), _PAIRS_DDL)
-    if max(slices) == 1:
-        return found
-    return found.groupBy("movieId", "neighborId").agg(
-        F.sum("dot").alias("dot"), F.sum("overlap").alias("overlap")
-    )
-
-
-_PRODUCTS = pa.schema([*_SCORES, ("overlap", pa.int64())])
-_PRODUCTS_DDL = _SCORES_DDL + ", overlap bigint"
-
-
-def _product_tile(k: int | None, digits: int):
-    """Sums of a tile: the best ``k`` per query when the tile is whole, else (or for None) all."""
-
-    def multiply(table: pa.Table) -> pa.Table:
-        final = k is not None and not table["sliced"][0].as_py()
-        left, right = _side(table, LEFT, "inner"), _side(table, RIGHT, "inner")
-        if left is None or right is None:
-            return _PRODUCTS.empty_table()
-        queries, qi = _codes(left["queryId"])
-        ids, ij = _codes(right["id"])
-        lu, ru = left["inner"].to_numpy(), right["inner"].to_numpy()
-        lx, rx = left["x"].to_numpy(), right["y"].to_numpy()
-        q, i, score, common = _pair_sums(qi, lu, lx, ij, ru, rx, len(queries), len(ids))
-        wanted = np.round(score, digits) != 0 if final else np.ones(q.size, dtype=bool)
-        barred = _side(table, BARRED, "queryId")
-        if barred is not None:
-            bq, bi = barred["queryId"].to_numpy(), barred["id"].to_numpy()
-            at_q, at_i = np.searchsorted(queries, bq), np.searchsorted(ids, bi)
-            here = (at_q < len(queries)) & (at_i < len(ids))
-            here[here] &= (queries[at_q[here]] == bq[here]) & (ids[at_i[here]] == bi[here])
-            wanted &= ~np.isin(q * len(ids) + i, at_q[here] * len(ids) + at_i[here])
-        chosen = np.flatnonzero(wanted)
-        if final:
-            limit = np.full(len(queries), k)
-            chosen = chosen[_best_pairs(q[chosen], i[chosen], score[chosen], limit, len(ids), digits)]
-        columns = [queries[q[chosen]], ids[i[chosen]], score[chosen], common[chosen].astype(np.int64)]
-        return pa.Table.from_arrays([pa.array(c) for c in columns], schema=_PRODUCTS)
-
-    return multiply
-
-
-def _sparse_tiles(left, right, k, exclude, left_cut, right_cut, slice_rows, digits) -> DataFrame:
-    """``queryId, id, score, overlap`` of every tile, slices of heavy tiles already added up."""
-    left_cut = left_cut or cut(left, "queryId", slice_rows=slice_rows)
-    right_cut = right_cut or cut(right, "id", slice_rows=slice_rows)
-    left_slices, right_slices = left_cut.slices(slice_rows), right_cut.slices(slice_rows)
-    finest = max(*left_slices, *right_slices)
-    lefts = left.select(
-        F.col("queryId").cast("bigint").alias("queryId"),
-        F.col("inner").cast("bigint").alias("inner"),
-        F.col("x").cast("double").alias("x"),
-    )
-    rights = right.select(
-        F.col("id").cast("bigint").alias("id"),
-        F.col("inner").cast("bigint").alias("inner"),
-        F.col("y").cast("double").alias("y"),
-    )
-    left_pieces = _sliced_pieces(lefts, "queryId", "inner", left_cut, finest)
-    right_pieces = _sliced_pieces(rights, "id", "inner", right_cut, finest)
-    own, other = F.col("__own"), F.col("__other")
-    keys = ["__lb", "__rb", "__slice"]
-    placed = (
-        _spread(left_pieces, left_slices, right_slices)
-        .select(own.alias("__lb"), other.alias("__rb"), "__slice", "sliced", F.lit(LEFT).alias("side"), "piece")
-        .unionByName(
-            _spread(right_pieces, right_slices, left_slices)
-            .select(other.alias("__lb"), own.alias("__rb"), "__slice", "sliced", F.lit(RIGHT).alias("side"), "piece")
-        )
-    )
-    if exclude is not None:
-        barred = _barred_pieces(exclude, left_cut, right_cut)
-        tile = F.greatest(F.lit(left_slices)[F.col("__lb")], F.lit(right_slices)[F.col("__rb")])
-        placed = placed.unionByName(
-            barred.select(
-                "__lb", "__rb", _range(tile).alias("__slice"), (tile > 1).alias("sliced"),
-                F.lit(BARRED).alias("side"), "piece",
-            )
-        )
-    tiles = left_cut.blocks * right_cut.blocks * finest
-    found = _tiles(placed, keys, tiles, _product_tile(k, digits), _PRODUCTS_DDL)
-    if finest > 1:
-        found = found.groupBy("queryId", "id").agg(
-            F.sum("score").alias("score"), F.sum("overlap").alias("overlap")
-        )
-    return found
-
-
-def sparse_products(
-    left: DataFrame,
-    right: DataFrame,
-    left_cut: Cut | None = None,
-    right_cut: Cut | None = None,
-    slice_rows: int = SLICE_ROWS,
-) -> DataFrame:
-    """``queryId, id, score, overlap`` of every pair that shares an inner key.
-
-    For a few rows on the left; what leaves the tiles is the result itself, not the pairs of
-    rows behind it, however many rows one inner key has.  Arguments as in :func:`sparse_top_k`.
-    """
-    return _sparse_tiles(left, right, None, None, left_cut, right_cut, slice_rows, SCORE_DIGITS)
-
-
-def sparse_top_k(
-    left: DataFrame,
-    right: DataFrame,
-    k: int,
-    exclude: DataFrame | None = None,
-    left_cut: Cut | None = None,
-    right_cut: Cut | None = None,
-    slice_rows: int = SLICE_ROWS,
-    digits: int = SCORE_DIGITS,
-) -> DataFrame:
-    """Best ``k`` non-zero sums per query: ``queryId, id, score, rank``.
-
-    ``left`` is ``queryId, inner, x``, ``right`` is ``inner, id, y`` and the score of a pair is the
-    sum of ``x·y`` over ``inner``.  ``exclude`` (``queryId, id``) bars pairs; each barred pair
-    travels to the one tile it concerns.  Both sides are read twice, so they should be stored
-    tables.
-    """
-    found = _sparse_tiles(left, right, k, exclude, left_cut, right_cut, slice_rows, digits)
-    found = found.select("queryId", "id", rounded(F.col("score"), digits).alias("score"))
-    order = [F.desc("score"), F.asc("id")]
-    return top_k_per(found.where(F.col("score") != 0), "queryId", order, k)
-
-
-def _barred_pieces(exclude: DataFrame, left_cut: Cut, right_cut: Cut) -> DataFrame:
-    pairs = exclude.select(
-        F.col("queryId").cast("bigint").alias("queryId"), F.col("id").cast("bigint").alias("id")
-    ).distinct()
-    placed = right_cut.place(left_cut.place(pairs, "queryId", "__lb"), "id", "__rb")
-    keys = ["__lb", "__rb"]
-    return packed(placed.select(*keys, "queryId", "id"), keys, left_cut.blocks * right_cut.blocks, "queryId")

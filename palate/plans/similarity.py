@@ -159,9 +159,7 @@ def coldstart_excluding(t):
     SELECT * FROM reasons WHERE reason_rank <= 2""",
 )
 def coldstart_explain(t):
-    entries, asked = rating_entries(t.ratings()), seeds(t)
-    recs = coldstart.recommend_from_entries(entries, asked, k=TOP)
-    return coldstart.explain(entries, asked, recs, m=2)
+    return coldstart.recommend_with_reasons(rating_entries(t.ratings()), seeds(t), k=TOP, m=2)[1]
 
 
 def item_pairs(similarity: str) -> str:

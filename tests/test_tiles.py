@@ -1,13 +1,16 @@
-"""Tile products against brute force, on shapes that force every path: several blocks, sliced
-blocks, a user who rated everything, an item everybody rated, zero vectors, exact ties."""
+"""Products against brute force, on shapes that force every path: several blocks, dealt keys, a user
+who rated everything, an item everybody rated, zero vectors, exact ties."""
+
+import re
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from palate.operators import content, neighbors, tiles
+from palate.operators import content, neighbors, products, ranking
 from palate.operators.favorites import recommend_near_items
-from palate.operators.ratings import item_norms
+from palate.operators.ratings import with_norms
+from palate.session import settle
 
 
 def skewed_ratings(n_users=60, n_items=45, seed=3):
@@ -51,56 +54,65 @@ def assert_same(got, want):
         assert [p[1] for p in got[key]] == pytest.approx([p[1] for p in pairs], abs=1e-9)
 
 
-@pytest.mark.parametrize("blocks", [1, 4, 16])
-@pytest.mark.parametrize("slice_rows", [10_000, 25, 7])
+@pytest.mark.parametrize("cell", [10_000, 100, 9])
 @pytest.mark.parametrize("shrink", [None, 100.0])
-def test_co_ratings_equal_brute_force(spark, blocks, slice_rows, shrink):
+def test_co_ratings_equal_brute_force(spark, cell, shrink):
+    """``cell`` lets no user, the busiest one, or most users be dealt in parts."""
     m = skewed_ratings()
-    entries = as_entries(spark, m)
-    plan = tiles.cut(entries, "movieId", blocks=blocks, slice_rows=slice_rows)
-    assert bool(plan.heavy) == (slice_rows < 100 and blocks == 16)  # the item everybody rated
-    assert sum(plan.rows) == np.count_nonzero(m)
-    found = tiles.co_rating_candidates(entries, 5, shrink, plan, slice_rows)
-    norms = item_norms(entries)
-    joined = found.join(norms.select("movieId", "norm"), "movieId").join(
-        norms.select(F.col("movieId").alias("neighborId"), F.col("norm").alias("other")), "neighborId"
-    )
-    sim = F.col("dot") / (F.col("norm") * F.col("other"))
-    if shrink is not None:
-        sim = sim * F.col("overlap") / (F.col("overlap") + shrink)
-    ranked = neighbors._ranked(
-        joined.select("movieId", "neighborId", F.round(sim, 6).alias("similarity")), 5
-    )
+    pairs = products.self_product(with_norms(as_entries(spark, m)), cell=cell)
+    rows = pairs.collect()
+    overlap = (m > 0).astype(int).T @ (m > 0)
+    assert {(r.movieId, r.neighborId): r.overlap for r in rows} == {
+        (i, j): overlap[i, j] for i in range(m.shape[1]) for j in range(i + 1, m.shape[1]) if overlap[i, j]
+    }
+    assert all(r.dot == pytest.approx(m[:, r.movieId] @ m[:, r.neighborId]) for r in rows)
+    scored = pairs.select("movieId", "neighborId", F.round(products.cosine("dot", shrink), 6).alias("similarity"))
+    back = scored.select(F.col("neighborId").alias("movieId"), F.col("movieId").alias("neighborId"), "similarity")
+    ranked = neighbors._ranked(scored.unionByName(back), 5)
     assert_same(collected(ranked), brute_neighbors(m, 5, shrink))
 
 
-def test_entry_neighbors_default_plan(spark):
+def test_entry_neighbors(spark):
     m = skewed_ratings(seed=9)
-    assert_same(
-        collected(neighbors.entry_neighbors(as_entries(spark, m), 4)), brute_neighbors(m, 4)
-    )
+    assert_same(collected(neighbors.entry_neighbors(as_entries(spark, m), 4)), brute_neighbors(m, 4))
+
 
+def test_a_user_who_rated_a_third_is_spread(spark):
+    """The busiest user's pairs of items are formed by many tasks, none of which gets most of them."""
+    rows = [(0, i, 1.0) for i in range(400)] + [(u, (u * 7 + i) % 400, 2.0) for u in range(1, 200) for i in range(4)]
+    entries = with_norms(spark.createDataFrame(rows, "userId BIGINT, movieId BIGINT, rating DOUBLE"))
+    counts = entries.groupBy("userId").agg(F.count("*").alias("__ln")).withColumn("__rn", F.col("__ln"))
+    tasks, heavy, _ = products._plan(counts, "userId", 2500)
+    assert [(r.userId, r["__l"], r["__r"]) for r in heavy.collect()] == [(0, 8, 8)]
+    dealt = products._dealt(entries, "userId", "movieId", heavy, "__l", "__l", "__a", "__b").where("__a <= __b")
+    cells = dealt.where("userId = 0").groupBy("__a", "__b").count().collect()
+    assert len(cells) == 8 * 9 // 2 and max(r["count"] for r in cells) < 100
+    got = products.self_product(entries, cell=2500)
+    assert got.count() == 400 * 399 // 2
 
-def test_slices_are_powers_of_two():
-    plan = tiles.Cut(3, (10, 100, 1))
-    assert plan.slices(10) == [1, 16, 1]
-    assert plan.slices(1000) == [1, 1, 1]
+
+def test_shuffled_rows_stay_below_the_products(spark):
+    """What leaves the tasks of the join are partial sums: at most one row per product formed."""
+    m = skewed_ratings()
+    entries = settle(with_norms(as_entries(spark, m)), "test")
+    pairs = products.self_product(entries)
+    assert pairs.count() <= sum(d * (d - 1) // 2 for d in (m > 0).sum(axis=1))
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"partial_sum", plan) and "CartesianProduct" not in plan and "Python" not in plan
 
 
-def test_pair_sums_without_dense_table(monkeypatch):
+def test_tasks_follow_the_number_of_products(spark, monkeypatch):
+    monkeypatch.setattr(products, "PER_TASK", 50)
     m = skewed_ratings()
-    u, i = np.nonzero(m)
-    x = m[u, i]
-    dense = tiles._pair_sums(i, u, x, i, u, x, m.shape[1], m.shape[1])
-    monkeypatch.setattr(tiles, "STRIP_CELLS", 50)
-    sparse = tiles._pair_sums(i, u, x, i, u, x, m.shape[1], m.shape[1])
-    for a, b in zip(dense, sparse, strict=True):
-        assert np.allclose(a, b)
-
-
-@pytest.mark.parametrize("slice_rows", [10_000, 20])
-@pytest.mark.parametrize("blocks", [1, 4])
-def test_sparse_product_with_hot_inner_key(spark, blocks, slice_rows):
+    counts = as_entries(spark, m).groupBy("userId").agg(F.count("*").alias("__ln")).withColumn("__rn", F.col("__ln"))
+    tasks, heavy, _ = products._plan(counts, "userId", 10_000)
+    assert heavy is None and tasks == -(-int(((m > 0).sum(axis=1) ** 2).sum()) // 50)
+
+
+@pytest.mark.parametrize("cell, sent", [(10_000, 0), (60, 0), (60, 1000)])
+def test_product_with_a_hot_inner_key(spark, monkeypatch, cell, sent):
+    """Joined by key, with the key dealt in parts, and with the left side sent to all tasks."""
+    monkeypatch.setattr(products, "SENT_ROWS", sent)
     rng = np.random.default_rng(5)
     w = np.where(rng.random((30, 20)) < 0.2, rng.integers(1, 4, (30, 20)), 0).astype(float)
     w[:, 0] = 1  # one seed everybody likes
@@ -115,17 +127,41 @@ def test_sparse_product_with_hot_inner_key(spark, blocks, slice_rows):
         "inner BIGINT, id BIGINT, y DOUBLE",
     )
     barred = {(q, i) for q in range(30) for i in range(50) if rng.random() < 0.4}
-    exclude = spark.createDataFrame(sorted(barred), "queryId BIGINT, id BIGINT")
-    got = tiles.sparse_top_k(
-        left, right, 6, exclude, tiles.cut(left, "queryId", blocks=blocks, slice_rows=slice_rows),
-        tiles.cut(right, "id", blocks=blocks, slice_rows=slice_rows), slice_rows,
-    )
+    exclude = spark.createDataFrame(sorted(barred), "queryId INT, id INT")
+    got = products.product_top_k(left, right, 6, exclude, cell=cell)
     score = np.round(w @ s, 6)
     want = {}
     for q in range(30):
         ranked = sorted((-score[q, i], i) for i in range(50) if (q, i) not in barred and score[q, i])
         want[q] = [(i, -v) for v, i in ranked[:6]]
     assert_same(collected(got, "queryId", "id", "score"), want)
+    overlap = (w > 0).astype(int) @ (s > 0)
+    plain = {(r.queryId, r.id): r.overlap for r in products.product(left, right, exclude, cell=cell).collect()}
+    assert plain == {(q, i): overlap[q, i] for q in range(30) for i in range(50) if overlap[q, i] and (q, i) not in barred}
+
+
+def test_sums_of_a_small_left_side_are_not_shuffled(spark):
+    left = settle(spark.createDataFrame([(1, 2, 1.0), (2, 2, 2.0)], "queryId BIGINT, inner BIGINT, x DOUBLE"), "test")
+    right = settle(spark.range(100).selectExpr("2L AS inner", "id", "CAST(id AS DOUBLE) AS y"), "test")
+    plan = products.product(left, right)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "BroadcastHashJoin" in plan
+
+
+@pytest.mark.parametrize("k", [1, 7, 300])
+def test_top_k_of_many_equals_a_plain_sort(spark, k):
+    rng = np.random.default_rng(k)
+    rows = [(int(rng.integers(0, 4)), i, float(np.round(rng.random(), 2))) for i in range(3000)] + [(9, 1, 0.5), (9, 2, 0.5)]
+    df = spark.createDataFrame(rows, "q INT, id INT, score DOUBLE")
+    got = sorted(map(tuple, ranking.top_k_of_many(df, "q", "score", "id", k).collect()))
+    want = sorted(map(tuple, ranking.top_k_per(df, "q", [F.desc("score"), F.asc("id")], k).select("q", "id", "score", "rank").collect()))
+    assert got == want
+
+
+def test_empty_products(spark):
+    left = spark.createDataFrame([], "queryId BIGINT, inner BIGINT, x DOUBLE")
+    right = spark.createDataFrame([(1, 2, 3.0)], "inner BIGINT, id BIGINT, y DOUBLE")
+    assert products.product_top_k(left, right, 3).count() == 0
+    assert products.self_product(spark.createDataFrame([], "userId INT, movieId INT, rating DOUBLE, norm DOUBLE")).count() == 0
 
 
 def vectors(n=70, d=6, seed=1):
