@@ -1,13 +1,15 @@
 """Feedback jobs: batch forms, and the same jobs run as file streams to their end."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from palate.functions import columns as c
 from palate.operators import ratings as rt
 from palate.plans.registry import query, views
-from palate.session import work_path
+from palate.session import settle, work_path
 from palate.sources.readers import stream_feedback
 from palate.streaming import feedback as fb
+from palate.streaming import state
 
 REVIEWS_SQL = """, reviews AS (
         SELECT strftime(make_timestamp("timestamp" * 1000000), '%Y-%m-%dT%H:%M:%SZ') AS ts_utc,
@@ -140,6 +142,48 @@ def stream_sliding(t):
     return fb.run_to_current(windows, "stream-sliding", WINDOW_KEYS)
 
 
+def delivered(t, rows, purpose, order, parts=4):
+    """Rows of a table as an inbox of files that a stream finds one at a time, in two deliveries.
+
+    Returns ``deliver(n)``, which appends the files of delivery ``n`` (0, 1) and gives the stream.
+    """
+    inbox = work_path(t.spark, purpose)
+    quarter = F.ntile(parts).over(Window.orderBy("part"))
+    # Quarters by the values of ``order``: a few hundred distinct parts are ranked, not the rows.
+    cut = rows.select((order).alias("part")).distinct().withColumn("__file", quarter)
+    cut = settle(cut, f"{purpose}-cut")
+    placed = settle(rows.withColumn("part", order).join(cut, "part").drop("part"), f"{purpose}-rows")
+
+    def deliver(n):
+        for file in (2 * n + 1, 2 * n + 2):
+            placed.where(F.col("__file") == file).drop("__file").coalesce(1).write.mode("append").parquet(inbox)
+        return t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(inbox)
+
+    return deliver
+
+
+@query("stream_latest_stateful", views("purchases") + LATEST_SQL)
+def stream_latest_stateful(t):
+    """Latest ratings from state, over four micro-batches and a restart between deliveries."""
+    deliver = delivered(t, t.purchases(), "latest-inbox", F.pmod(F.xxhash64("userId", "timestamp"), F.lit(64)))
+    root, checkpoint = work_path(t.spark, "latest-state"), work_path(t.spark, "latest-state-checkpoint")
+    for n in (0, 1):
+        state.keep_latest(deliver(n), root, checkpoint)
+    return state.read_kept_latest(t.spark, root)
+
+
+@query("stream_sessions_stateful", views("evts") + SESSIONS_SQL + " SELECT * FROM sessions")
+def stream_sessions_stateful(t):
+    """Open and closed sessions from state; files come in the order of time, with a restart between."""
+    hour = F.floor(F.col("timestamp") / 3600)
+    events = t.events().select("userId", "timestamp")
+    deliver = delivered(t, events, "session-inbox", hour)
+    root, checkpoint = work_path(t.spark, "sessions-state"), work_path(t.spark, "sessions-state-checkpoint")
+    for n in (0, 1):
+        state.keep_sessions(fb.with_event_time(deliver(n)), root, checkpoint)
+    return state.read_sessions(t.spark, root)
+
+
 @query("stream_sessions", views("evts") + SESSIONS_SQL + " SELECT * FROM sessions")
 def stream_sessions(t):
     """Slots are kept up to date by the stream; sessions, the open ones too, are read from them."""

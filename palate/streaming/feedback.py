@@ -6,7 +6,7 @@ sink differ.  Event time is the column ``event_time`` (TIMESTAMP).
 
 import json
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -17,6 +17,7 @@ from palate.operators.ranking import rounded
 from palate.operators.ratings import KEYS
 from palate.session import work_path
 from palate.sources.readers import path_exists
+from palate.streaming import deltas
 
 DELAY = "10 minutes"
 SESSION_GAP_SECONDS = 1800
@@ -244,26 +245,28 @@ def run_to_table(stream: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(out)
 
 
-def keep_updates(stream: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
-    """Store each batch's changed rows of an aggregate; :func:`read_updates` gives the current table."""
+def keep_updates(
+    stream: DataFrame, root: str, checkpoint: str, keys: Sequence[str] = (), most: int = deltas.MOST
+) -> StreamingQuery:
+    """Store each batch's changed rows of an aggregate; :func:`read_updates` gives the current table.
+
+    With ``keys`` the stored rows are folded after ``most`` batches, so that small files stay few.
+    """
 
-    def changed(batch: DataFrame) -> DataFrame:
-        return batch
+    def write(batch: DataFrame, number: int) -> None:
+        deltas.write_delta(batch, root, stream_id(batch.sparkSession, checkpoint), number, keys, most)
 
-    return run_available(stream, _batch_writer({root: changed}, checkpoint), checkpoint, "update")
+    return run_available(stream, write, checkpoint, "update")
 
 
-def read_updates(spark: SparkSession, root: str, keys: list[str]) -> DataFrame:
-    """The newest row of each key, windows that are still open included."""
-    rows = spark.read.parquet(root).drop("run")
-    values = [c for c in rows.columns if c not in (*keys, "batch")]
-    newest = F.max_by(F.struct(*values), F.col("batch")).alias("newest")
-    return rows.groupBy(*keys).agg(newest).select(*keys, *[F.col(f"newest.{c}").alias(c) for c in values])
+def read_updates(spark: SparkSession, root: str, keys: Sequence[str]) -> DataFrame:
+    """The newest row of each key by run and batch, windows that are still open included."""
+    return deltas.read_newest(spark, root, keys)
 
 
 def run_to_current(stream: DataFrame, purpose: str, keys: list[str]) -> DataFrame:
     """Run an aggregate over everything available and return its current table."""
     spark = stream.sparkSession
     out, checkpoint = work_path(spark, purpose), work_path(spark, f"{purpose}-checkpoint")
-    keep_updates(stream, out, checkpoint)
+    keep_updates(stream, out, checkpoint, keys)
     return read_updates(spark, out, keys).select(stream.columns)
