@@ -2,18 +2,17 @@
 
 from collections.abc import Iterable
 from dataclasses import dataclass, replace
-from math import isfinite
+from math import isfinite, sqrt
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from palate.operators.ratings import KEYS, drop_incomplete, hash_split, random_split
+from palate.operators.ratings import KEYS, drop_incomplete, hash_split, random_split, resolve_duplicates
 from palate.operators.tiles import vector_top_k
-from palate.session import checkpoint_root
+from palate.session import checkpoint_root, parallelism, settle
 
 GRID_RANKS = (16, 32, 64)
 GRID_REGS = (0.01, 0.05, 0.1)
@@ -23,7 +22,12 @@ GRID_ITERATIONS = 15
 @dataclass(frozen=True)
 class AlsSettings:
     """Defaults are those of the plain training job.  ``blocks`` raises the number of user and
-    item blocks so that one block of factors and ratings fits a task."""
+    item blocks so that one block of factors and ratings fits a task.
+
+    ``dup_policy`` says what repeated ratings of a pair count as (``sum``, ``latest``, ``avg``, or ``none``:
+    rows as they are, which ALS would fit as often as they occur).  By default they add up where
+    ratings are confidence; else the latest counts, or the average where there is no timestamp.
+    """
 
     rank: int = 50
     reg: float = 0.1
@@ -34,6 +38,12 @@ class AlsSettings:
     seed: int = 42
     blocks: int | None = None
     checkpoint_every: int = 5
+    dup_policy: str | None = None
+
+    def policy_for(self, ratings: DataFrame) -> str:
+        if self.dup_policy is not None:
+            return self.dup_policy
+        return "sum" if self.implicit else "latest" if "timestamp" in ratings.columns else "avg"
 
     def estimator(self) -> ALS:
         als = ALS(
@@ -53,8 +63,14 @@ class AlsSettings:
         return als if self.blocks is None else als.setNumBlocks(self.blocks)
 
 
-def training_input(ratings: DataFrame) -> DataFrame:
-    """Complete rows with int ids; ids beyond int32 are an error in every SQL mode, never a silent wrap."""
+def training_input(ratings: DataFrame, dup_policy: str = "none") -> DataFrame:
+    """Complete rows with int ids, one per pair unless ``dup_policy`` is ``none``.
+
+    Ids beyond int32 are an error in every SQL mode, never a silent wrap; ``codes.fit_coded`` trains
+    on dense codes instead.
+    """
+    if dup_policy != "none":
+        ratings = resolve_duplicates(ratings, dup_policy)
     ids = [
         F.coalesce(F.col(c).try_cast("int"), F.raise_error(F.lit(f"{c} is beyond 32 bits")).cast("int")).alias(c)
         for c in KEYS
@@ -65,7 +81,7 @@ def training_input(ratings: DataFrame) -> DataFrame:
 def fit(ratings: DataFrame, settings: AlsSettings = AlsSettings()) -> ALSModel:
     """Train.  Long factor lineages are cut in the shared checkpoint folder."""
     checkpoint_root(ratings.sparkSession)
-    return settings.estimator().fit(training_input(ratings))
+    return settings.estimator().fit(training_input(ratings, settings.policy_for(ratings)))
 
 
 def predict(model: ALSModel, pairs: DataFrame) -> DataFrame:
@@ -76,12 +92,10 @@ def predict(model: ALSModel, pairs: DataFrame) -> DataFrame:
 
 
 def rmse(predictions: DataFrame) -> float | None:
-    """Root mean squared error; None when there is nothing to score."""
-    if predictions.isEmpty():
-        return None
-    return RegressionEvaluator(
-        labelCol="rating", predictionCol="prediction", metricName="rmse"
-    ).evaluate(predictions)
+    """Root mean squared error, from one pass; None when there is nothing to score."""
+    error = F.col("rating").cast("double") - F.col("prediction")
+    mean = predictions.agg(F.avg(error * error)).first()[0]
+    return None if mean is None else sqrt(mean)
 
 
 def fit_and_score(
@@ -113,22 +127,23 @@ def grid_search(
     ranks: Iterable[int] = GRID_RANKS,
     regs: Iterable[float] = GRID_REGS,
     base: AlsSettings = AlsSettings(max_iter=GRID_ITERATIONS),
-    parallel: int = 1,
+    parallel: int | None = None,
 ) -> GridOutcome:
     """Hold-out grid over rank x regParam; the first of equally good settings wins.
 
-    ``results`` is ``seq, rank, regParam, rmse``.  ``parallel`` fits run at once.
+    ``results`` is ``seq, rank, regParam, rmse``.  ``parallel`` fits run at once, by default as many as
+    keep the session's slots busy: a fit is a row of small jobs, whose gaps others fill.  The ratings
+    are folded and stored once for all of them.
     """
     spark = train.sparkSession
-    grid = [replace(base, rank=int(r), reg=float(g)) for r in ranks for g in regs]
-    train, val = training_input(train).persist(), training_input(val).persist()
-    try:
-        with ThreadPool(max(1, parallel)) as pool:
-            work = inheritable_thread_target(spark)(lambda s: fit_and_score(train, val, s))
-            fitted = pool.map(work, grid)
-    finally:
-        train.unpersist()
-        val.unpersist()
+    policy = base.policy_for(train)
+    grid = [replace(base, rank=int(r), reg=float(g), dup_policy="none") for r in ranks for g in regs]
+    train, val = settle(training_input(train, policy), "train"), settle(training_input(val), "validation")
+    at_once = min(len(grid), max(1, parallelism(spark) // 2)) if parallel is None else max(1, parallel)
+    with ThreadPool(at_once) as pool:
+        work = inheritable_thread_target(spark)(lambda s: fit_and_score(train, val, s))
+        fitted = pool.map(work, grid, chunksize=1)
+    grid = [replace(s, dup_policy=base.dup_policy) for s in grid]
     rows = [(i, s.rank, s.reg, score) for i, (s, (_, score)) in enumerate(zip(grid, fitted, strict=True))]
     results = spark.createDataFrame(rows, "seq INT, rank INT, regParam DOUBLE, rmse DOUBLE")
     usable = [(score, i) for i, _, _, score in rows if score is not None and isfinite(score)]

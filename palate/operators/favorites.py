@@ -3,20 +3,28 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from palate.operators.catalog import only_titled
+from palate.operators.catalog import complete_lists, only_titled
 from palate.operators.tiles import vector_top_k
+from palate.session import settle
 
 
 def recommend_near_items(
-    favorites: DataFrame, factors: DataFrame, k: int = 10, items: DataFrame | None = None, **blocks
+    favorites: DataFrame,
+    factors: DataFrame,
+    k: int = 10,
+    items: DataFrame | None = None,
+    include_zero: bool = False,
+    **blocks,
 ) -> DataFrame:
     """``queryId, movieId, score, rank``: best cosine to any favourite, favourites excluded.
 
-    ``favorites`` is ``queryId, movieId``; ``items`` limits what may be recommended.
+    ``favorites`` is ``queryId, movieId``; ``items`` limits what may be recommended.  A query none of
+    whose favourites has factors gets no list, or with ``include_zero`` every item at score 0: the
+    ``k`` smallest ids that are no favourites of it.
     """
     vectors = factors.select(F.col("id").alias("movieId"), "features")
     liked = favorites.select("queryId", "movieId").distinct()
-    queries = liked.join(vectors, "movieId").select("queryId", "features")
+    queries = liked.join(vectors, "movieId").where(F.col("features").isNotNull()).select("queryId", "features")
     pool = vectors if items is None else vectors.join(items.select("movieId"), "movieId", "left_semi")
     best = vector_top_k(
         queries,
@@ -25,7 +33,13 @@ def recommend_near_items(
         exclude=liked.select("queryId", F.col("movieId").alias("id")),
         **blocks,
     )
-    return best.withColumnRenamed("id", "movieId")
+    best = best.withColumnRenamed("id", "movieId")
+    if not include_zero:
+        return best
+    unknown = settle(liked.join(queries.select("queryId").distinct(), "queryId", "left_anti"), "without-factors")
+    titles = pool.where(F.col("features").isNotNull()).select("movieId").distinct()
+    zeros = complete_lists(best.limit(0), unknown.select("queryId"), titles, unknown, k)
+    return best.unionByName(zeros.select(*[F.col(c).cast(best.schema[c].dataType).alias(c) for c in best.columns]))
 
 
 def recommend_for_favorites(

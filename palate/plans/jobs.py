@@ -22,7 +22,7 @@ def tune(
     top_n: int = TOP_N,
     method: str = "auto",
     fmt: str = "csv",
-    parallel: int = 1,
+    parallel: int | None = None,
     **options,
 ) -> als.GridOutcome:
     """Grid search, save the best model, precompute its item neighbours."""

@@ -2,12 +2,12 @@
 
 from pyspark.sql import functions as F
 
-from palate.operators import als, evaluate, explain, fallback, neighbors
+from palate.operators import als, codes, evaluate, explain, fallback, neighbors
 from palate.operators import ratings as rt
 from palate.operators.weighting import rating_entries
 from palate.plans.registry import query, views
 from palate.plans.similarity import item_pairs
-from palate.session import checkpoint_root, settle
+from palate.session import checkpoint_root, settle, work_path
 from palate.sources import readers, writers
 
 SETTINGS = als.AlsSettings()
@@ -159,6 +159,50 @@ def fallback_popularity_static(t):
     return fallback.recommend_two_step(users_and_strangers(t), t.ratings(), None, k=10)
 
 
+WIDE = 2**40
+
+CODES_SQL = f""" SELECT id + {WIDE} AS id, CAST(dense_rank() OVER (PARTITION BY side ORDER BY id) - 1 AS INTEGER) AS code, side
+    FROM (SELECT DISTINCT userId AS id, 'user' AS side FROM ratings UNION SELECT DISTINCT movieId, 'item' FROM ratings)"""
+
+
+def wide_ratings(t):
+    """The ratings with ids that need 41 bits."""
+    return t.ratings().withColumns({c: F.col(c) + F.lit(WIDE) for c in ("userId", "movieId")})
+
+
+@query("dense_codes", views("ratings") + CODES_SQL)
+def dense_codes(t):
+    ratings = wide_ratings(t)
+    sides = [
+        codes.dense_codes(ratings, c).select(F.col(c).alias("id"), "code", F.lit(side).alias("side"))
+        for c, side in (("userId", "user"), ("movieId", "item"))
+    ]
+    return sides[0].unionByName(sides[1])
+
+
+@query(
+    "als_wide_ids",
+    views("ratings")
+    + f""" SELECT userId + {WIDE} AS userId, CAST(10 AS BIGINT) AS n, CAST(0 AS BIGINT) AS unknown, CAST(0 AS BIGINT) AS off
+    FROM ratings GROUP BY userId""",
+)
+def als_wide_ids(t):
+    """A model over wide ids, stored and read again: every user's list is complete, of rated items, and
+    scored as the model predicts."""
+    ratings = wide_ratings(t)
+    path = work_path(t.spark, "coded-model")
+    codes.save_coded(codes.fit_coded(ratings, SETTINGS), path)
+    model = codes.load_coded(t.spark, path)
+    lists = settle(codes.recommend_coded(model, k=10), "wide-lists")
+    rated = ratings.select("movieId").distinct().withColumn("rated", F.lit(1))
+    checked = codes.predict_coded(model, lists).join(rated, "movieId", "left")
+    return checked.groupBy("userId").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("rated").isNull()).alias("unknown"),
+        F.count_if(F.abs(F.col("score") - F.col("prediction")) > 1e-4).alias("off"),
+    )
+
+
 @query("als_predict")
 def als_predict(t):
     _, val = rt.hash_split(t.ratings())

@@ -275,6 +275,26 @@ def favorites_max_cosine(t):
     return recommend_near_items(favorites(t), t.factors(), k=10)
 
 
+@query(
+    "favorites_zero_lists",
+    views("factors", "purchases")
+    + FAVORITES_SQL.replace(
+        "SELECT DISTINCT userId AS queryId, movieId FROM purchases",
+        """SELECT DISTINCT userId AS queryId, movieId FROM purchases WHERE movieId < 50
+        UNION SELECT DISTINCT -userId - 1, -movieId - 1 FROM evts WHERE eventType = 'error'""",
+    ).replace("round(max(", "round(coalesce(max(").replace("), 6) AS score", "), 0), 6) AS score")
+    .replace("JOIN factors a ON", "LEFT JOIN factors a ON")
+    .replace("list_dot_product(a.features", "list_dot_product(coalesce(a.features, b.features)")
+    + " SELECT queryId, movieId, score, rank FROM best WHERE rank <= 10",
+)
+def favorites_zero_lists(t):
+    """Customers' purchases, and people who only know items without factors."""
+    bought = favorites(t).where(F.col("movieId") < 50)
+    unlucky = t.events().where(F.col("eventType") == "error")
+    strange = unlucky.select((-F.col("userId") - 1).alias("queryId"), (-F.col("movieId") - 1).alias("movieId"))
+    return recommend_near_items(bought.unionByName(strange), t.factors(), k=10, include_zero=True)
+
+
 @query(
     "favorites_by_title",
     views("factors", "movies")

@@ -73,14 +73,18 @@ def _batch_writer(targets: dict[str, Callable[[DataFrame], DataFrame]], checkpoi
 
 
 def run_available(
-    stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append"
+    stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append", once: bool = False
 ) -> StreamingQuery:
-    """Process everything there is, then stop.  ``checkpoint`` must outlive the executors."""
+    """Process everything there is, then stop.  ``checkpoint`` must outlive the executors.
+
+    State that expires by the clock always asks for another batch, so such a stream must run as a
+    single one (``once``).
+    """
     query = (
         stream.writeStream.foreachBatch(write)
         .outputMode(mode)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**({"once": True} if once else {"availableNow": True}))
         .start()
     )
     query.awaitTermination()

@@ -37,12 +37,12 @@ def rocksdb_state(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(PROVIDER, before)
 
 
-def _keep(stream: DataFrame, root: str, checkpoint: str, keys: tuple[str, ...] = ()) -> StreamingQuery:
+def _keep(stream: DataFrame, root: str, checkpoint: str, keys: tuple[str, ...] = (), once: bool = False) -> StreamingQuery:
     def write(batch: DataFrame, number: int) -> None:
         deltas.write_delta(batch, root, stream_id(batch.sparkSession, checkpoint), number, keys)
 
     with rocksdb_state(stream.sparkSession):
-        return run_available(stream, write, checkpoint, "update")
+        return run_available(stream, write, checkpoint, "update", once)
 
 
 # ---------------------------------------------------------------- latest ratings
@@ -89,8 +89,11 @@ def latest_changes(feedback: DataFrame, ttl_seconds: int | None = None) -> DataF
 
 
 def keep_latest(feedback: DataFrame, root: str, checkpoint: str, ttl_seconds: int | None = None) -> StreamingQuery:
-    """Maintain the latest ratings below ``root``; only pairs that change are written."""
-    return _keep(latest_changes(feedback, ttl_seconds), root, checkpoint, KEYS)
+    """Maintain the latest ratings below ``root``; only pairs that change are written.
+
+    With ``ttl_seconds`` all there is becomes one micro-batch.
+    """
+    return _keep(latest_changes(feedback, ttl_seconds), root, checkpoint, KEYS, ttl_seconds is not None)
 
 
 def read_kept_latest(spark: SparkSession, root: str) -> DataFrame:

@@ -172,6 +172,50 @@ def test_ids_beyond_int32_are_an_error(spark, ansi):
         spark.conf.set("spark.sql.ansi.enabled", before)
 
 
+def test_repeated_pairs_count_once_by_policy(spark, planted):
+    settings = als.AlsSettings(rank=3, max_iter=3)
+    stamped = planted.withColumn("timestamp", F.lit(5))
+    older = stamped.where("userId < 100").withColumns({"rating": F.lit(0.5), "timestamp": F.lit(1)})
+    factors = lambda df, s=settings: df.sparkSession.createDataFrame(
+        als.fit(df.coalesce(1).sortWithinPartitions("userId", "movieId"), s).itemFactors.orderBy("id").collect()
+    ).collect()
+    assert als.AlsSettings().policy_for(stamped) == "latest" and als.AlsSettings().policy_for(planted) == "avg"
+    assert als.AlsSettings(implicit=True).policy_for(stamped) == "sum"
+    rows = lambda df, policy: sorted(map(tuple, als.training_input(df, policy).collect()))
+    assert rows(stamped.unionByName(older), "latest") == rows(planted, "avg")
+    twice = rows(planted.unionByName(planted), "sum")
+    assert [x[2] for x in twice] == pytest.approx([2 * x[2] for x in rows(planted, "avg")])
+    assert len(rows(planted.unionByName(planted), "none")) == 2 * len(twice)
+    assert len(factors(stamped.unionByName(older))) == 200
+
+
+def test_wide_ids(spark, planted, tmp_path):
+    from palate.operators import codes
+
+    wide = planted.select((F.col("userId") * -(2**35)).alias("userId"), (F.col("movieId") + 2**40).alias("movieId"), "rating")
+    settings = als.AlsSettings(rank=4, reg=0.02, max_iter=8)
+    codes.save_coded(codes.fit_coded(wide, settings), str(tmp_path / "m"))
+    model = codes.load_coded(spark, str(tmp_path / "m"))
+    assert [(r.userId, r.code) for r in model.users.orderBy("code").collect()] == [(-u * 2**35, 299 - u) for u in range(299, -1, -1)]
+    error = als.rmse(codes.predict_coded(model, wide.withColumn("prediction_", F.lit(1))))
+    assert error < 0.2
+    lists = codes.recommend_coded(model, 5, spark.createDataFrame([(-7 * 2**35,), (12,)], "userId LONG")).orderBy("rank").collect()
+    assert [r["rank"] for r in lists] == [1, 2, 3, 4, 5] and {r.userId for r in lists} == {-7 * 2**35}
+    assert all(2**40 <= r.movieId < 2**40 + 200 for r in lists)
+    assert model.item_factors().count() == 200 and model.user_factors().where("id > 0").count() == 0
+    strangers = spark.createDataFrame([(5, 2**40, 1.0), (None, None, 2.0)], "userId LONG, movieId LONG, rating DOUBLE")
+    assert codes.predict_coded(model, strangers).count() == 0
+
+
+def test_codes_are_dense_over_many_partitions(spark):
+    from palate.operators import codes
+
+    rows = [(i * 7919 % 1000 - 500 if i % 10 else None,) for i in range(3000)]
+    got = codes.dense_codes(spark.createDataFrame(rows, "x LONG").repartition(6), "x").orderBy("x").collect()
+    assert [(r.x, r.code) for r in got] == [(x, i) for i, x in enumerate(sorted({r[0] for r in rows if r[0] is not None}))]
+    assert codes.dense_codes(spark.createDataFrame([], "x LONG"), "x").count() == 0
+
+
 def test_registered_queries_fit_the_whole_job(spark, monkeypatch):
     from fixtures import DATA
 
@@ -187,7 +231,7 @@ def test_registered_queries_fit_the_whole_job(spark, monkeypatch):
     seen = []
     monkeypatch.setattr(als, "fit_and_score", lambda train, val, s: (seen.append((s.rank, s.reg, s.max_iter)), 1.0))
     assert run("als_grid").count() == 9
-    assert seen == [(k, g, als.GRID_ITERATIONS) for k in als.GRID_RANKS for g in als.GRID_REGS]
+    assert sorted(seen) == [(k, g, als.GRID_ITERATIONS) for k in als.GRID_RANKS for g in als.GRID_REGS]
     monkeypatch.setattr(als, "fit", stop)
     for name in ("als_implicit", "als_saved_model", "als_lists_ordered"):
         with pytest.raises(Fitted) as met:

@@ -139,3 +139,29 @@ def test_missing_titles(ratings, movies):
     check = catalog.missing_title_check(rows).first()
     assert (check["n_rows"], check["mismatch"]) == (12, True)
     assert catalog.missing_title_check(catalog.fill_titles(rows, movies)).first()["missing_ratio"] == 0
+
+
+def test_exact_percentile_equals_the_aggregate(spark):
+    import random
+
+    r = random.Random(2)
+    for n, share in ((1, 0.95), (2, 0.5), (37, 0.95), (1000, 0.8), (1001, 0.333)):
+        df = spark.createDataFrame([(int(r.expovariate(0.2)),) for _ in range(n)] + [(None,)], "n LONG")
+        want = df.agg(F.percentile("n", F.lit(share))).first()[0]
+        assert popularity.exact_percentile(df, "n", share).first()[0] == pytest.approx(want, abs=1e-9)
+    assert popularity.exact_percentile(spark.createDataFrame([], "n LONG"), "n", 0.5).first()[0] is None
+
+
+def test_favorites_without_factors_get_zero_lists(spark):
+    from palate.operators.favorites import recommend_near_items
+
+    factors = spark.createDataFrame([(i, [float(i), 1.0] if i != 3 else None) for i in range(1, 7)], "id INT, features ARRAY<DOUBLE>")
+    asked = spark.createDataFrame([(1, 2), (1, 99), (2, 99), (3, 1), (4, 3), (4, 2)], "queryId INT, movieId INT")
+    only_three = spark.createDataFrame([(5, 3), (5, 1000)], "queryId INT, movieId INT")
+    got = {}
+    for row in recommend_near_items(asked.unionByName(only_three), factors, 4, include_zero=True).orderBy("queryId", "rank").collect():
+        got.setdefault(row.queryId, []).append((row.movieId, row.score))
+    assert got[2] == got[5] == [(1, 0.0), (2, 0.0), (4, 0.0), (5, 0.0)]
+    plain = recommend_near_items(asked.unionByName(only_three), factors, 4).collect()
+    assert {x.queryId for x in plain} == {1, 3, 4}
+    assert sorted((x.queryId, x.movieId) for x in plain) == sorted((q, i) for q in (1, 3, 4) for i, _ in got[q])
