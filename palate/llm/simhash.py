@@ -12,7 +12,9 @@ buckets of pairs of segment keys, where all pairs are compared bit by bit.
 
 Equal fingerprints are one class from the start, so a bucket's size is a number of *different*
 fingerprints.  Within a bucket a breadth-first walk compares them by blocks of numbers and gives one
-link for each fingerprint reached, never all pairs; that keeps every component whole.
+link for each fingerprint reached, never all pairs; that keeps every component whole.  A bucket of more
+than ``FULL`` is only counted at first: its fingerprints are then dealt to blocks, and each pair of
+blocks is walked as a group of its own, so memory and the work of a task are bounded.
 
 Defined cases: null and empty texts have fingerprint zero and are linked like any other; a text of
 fewer words than a shingle is one shingle; repeated rows fall into one class; documents of null id
@@ -40,6 +42,8 @@ PAIRS = ((0, 1), (0, 2), (1, 2))
 #: Fixed value: generator polynomial of the binary Golay code, x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1.
 GENERATOR = 0b110001110101
 MOST = 4
+#: Different fingerprints that a bucket is walked with as a whole; and those of a block of a fuller one.
+FULL = 16_384
 #: Shingles turned into bits at a time.
 AT_ONCE = 1 << 16
 _UPPER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -130,7 +134,9 @@ def forest(fps: np.ndarray, most: int = MOST) -> list[tuple[int, int]]:
     return out
 
 
-def _bucket_links(most: int):
+def _bucket_links(most: int, full: int):
+    """``u, v`` of links, and for each bucket of more than ``full`` fingerprints a row ``key`` with their number in ``u``."""
+
     def links(keys: np.ndarray, fps: np.ndarray) -> pd.DataFrame:
         """Links of whole buckets, given sorted by key."""
         starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
@@ -145,38 +151,74 @@ def _bucket_links(most: int):
             hit = (k[d:] == k[:-d]) & (np.bitwise_count(f[d:] ^ f[:-d]) <= most)
             u.append(f[d:][hit].view(np.int64))
             v.append(f[:-d][hit].view(np.int64))
-        for s, n in zip(starts[sizes > 16], sizes[sizes > 16], strict=True):
+        walked = (sizes > 16) & (sizes <= full)
+        for s, n in zip(starts[walked], sizes[walked], strict=True):
             found = np.array(forest(fps[s : s + n], most), np.int64).reshape(-1, 2)
             u.append(found[:, 0])
             v.append(found[:, 1])
         out = pd.DataFrame({"u": np.concatenate(u or [keys[:0]]), "v": np.concatenate(v or [keys[:0]])}, dtype=np.int64)
-        return out.drop_duplicates()
+        out = out.drop_duplicates()
+        out["key"] = pd.Series(pd.NA, index=out.index, dtype="Int32")
+        over = sizes > full
+        return pd.concat([out, marks(keys[starts[over]], sizes[over])]) if over.any() else out
+
+    def marks(keys: np.ndarray, sizes: np.ndarray) -> pd.DataFrame:
+        return pd.DataFrame({"u": sizes.astype(np.int64), "v": 0, "key": pd.array(keys, "Int32")})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         keys, fps = np.zeros(0, np.int32), np.zeros(0, np.int64)
+        counted, so_far = None, 0  # a bucket that is only counted
         for batch in batches:
-            keys = np.r_[keys, batch["key"].to_numpy()]
-            fps = np.r_[fps, batch["fp"].to_numpy()]
+            new_keys, new_fps = batch["key"].to_numpy(), batch["fp"].to_numpy()
+            if counted is not None:
+                same = int(np.searchsorted(new_keys, counted, "right"))
+                so_far += same
+                if same == len(new_keys):
+                    continue
+                yield marks(np.array([counted]), np.array([so_far]))
+                counted, new_keys, new_fps = None, new_keys[same:], new_fps[same:]
+            keys, fps = np.r_[keys, new_keys], np.r_[fps, new_fps]
             if len(keys) < 200_000:
                 continue
             whole = int(np.searchsorted(keys, keys[-1]))  # the last bucket may go on
             if whole:
                 yield links(keys[:whole], fps[:whole])
                 keys, fps = keys[whole:], fps[whole:]
+            if len(keys) > full:
+                counted, so_far = int(keys[0]), len(keys)
+                keys, fps = keys[:0], fps[:0]
+        if counted is not None:
+            yield marks(np.array([counted]), np.array([so_far]))
         if len(keys):
             yield links(keys, fps)
 
     return run
 
 
-def fingerprint_links(fps: DataFrame, most: int = MOST) -> DataFrame:
+def _block_links(most: int):
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        found = np.array(forest(rows["fp"].to_numpy(), most), np.int64).reshape(-1, 2)
+        return pd.DataFrame({"u": found[:, 0], "v": found[:, 1]})
+
+    return run
+
+
+def fingerprint_links(fps: DataFrame, most: int = MOST, full: int = FULL) -> DataFrame:
     """``u, v``: links that join exactly the fingerprints (column ``fp``, different) that links join."""
     if most > MOST:
         raise ValueError("the segments of this code find up to four differing bits")
     keyed = fps.select("fp").mapInPandas(_bucket_keys, "key int, fp long")
     n = shuffle_partitions(fps.sparkSession)
     buckets = keyed.repartition(n, "key").sortWithinPartitions("key")
-    return buckets.mapInPandas(_bucket_links(most), "u long, v long").distinct()
+    found = settle(buckets.mapInPandas(_bucket_links(most, full), "u long, v long, key int"), "bucket-links")
+    links = found.where("key IS NULL").select("u", "v")
+    over = settle(found.where("key IS NOT NULL").select("key", F.ceil(F.col("u") / F.lit(full)).cast("int").alias("blocks")), "full-buckets")
+    if over.count():
+        own = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
+        dealt = keyed.join(over, "key").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        pairs = dealt.groupBy("key", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"))
+        links = links.unionByName(pairs.applyInPandas(_block_links(most), "u long, v long"))
+    return links.distinct()
 
 
 def near_duplicates(fingerprinted: DataFrame, most: int = MOST) -> DataFrame:

@@ -83,6 +83,31 @@ def test_forest_is_linear_in_a_crowd():
     assert len(simhash.forest(crowd.view(np.int64))) == len(crowd) - 1
 
 
+@pytest.mark.parametrize("at_once", [1 << 30, 40])
+def test_full_buckets_are_walked_by_pairs_of_blocks(spark, monkeypatch, at_once):
+    """One crowd of near fingerprints, all in common buckets: the same components, whether walked whole or dealt."""
+    r = random.Random(7)
+    base = [r.getrandbits(64) for _ in range(3)]
+    fps = {b ^ sum(1 << k for k in r.sample(range(64), r.randint(0, 4))) for b in base for _ in range(150)}
+    fps = [f - (1 << 64) if f >> 63 else f for f in fps]
+    df = spark.createDataFrame([(f,) for f in fps], "fp long")
+    whole = simhash.fingerprint_links(df)
+    dealt = simhash.fingerprint_links(df, full=20)
+    groups = lambda links: sorted(map(tuple, components(links).groupBy("root").count().collect()))
+    assert groups(whole) == groups(dealt)
+    assert all(((u ^ v) & (2**64 - 1)).bit_count() <= 4 for u, v in dealt.collect())
+
+
+def test_a_bucket_longer_than_a_batch_is_counted_whole():
+    run = simhash._bucket_links(4, 300_000)
+    keys = np.repeat(np.array([3, 5, 9], np.int32), [10, 700_000, 5])
+    fps = np.arange(len(keys), dtype=np.int64) << 7  # few are near each other
+    batches = (pd.DataFrame({"key": keys[a : a + 90_000], "fp": fps[a : a + 90_000]}) for a in range(0, len(keys), 90_000))
+    out = pd.concat(list(run(batches)))
+    marks = out[out["key"].notna()]
+    assert [(int(k), int(n)) for k, n in zip(marks["key"], marks["u"], strict=True)] == [(5, 700_000)]
+
+
 def test_components_with_loops_and_none(spark):
     df = spark.createDataFrame([(1, 1), (2, 3), (3, 2), (5, 4), (4, 3)], "u long, v long")
     assert {(r.node, r.root) for r in components(df).collect()} == {(2, 2), (3, 2), (4, 2), (5, 2)}
