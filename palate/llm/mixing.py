@@ -9,7 +9,9 @@ what it cannot give: the finish time at which the budget is met is also what set
 No order is made in one task.  Within a source, documents are dealt to buckets by their hash, the
 buckets' sums are accumulated, and each bucket adds its own documents on top.  For the common
 order, finish times are cut into bins whose sums are accumulated, and only the one bin in which
-the budget ends is sorted.
+the budget ends is sorted.  Sums over buckets and bins are themselves accumulated in two levels.
+Rows of an id that very many rows share (or of none) would all meet in one bucket: of these the
+bucket sees one row per size, and they are counted off in parts by their place in storage.
 
 Defined cases: null and empty texts have size 0 and are never taken; sources rank by code point
 with null last; documents of equal id are ordered by size and share nothing else, so identical
@@ -25,12 +27,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from palate.llm.common import ROW, WORD, text_of, with_row_id
+from palate.llm.common import ROW, WORD, same, text_of, with_row_id
 from palate.session import settle
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 PASSES = 2
+#: Ids of more than such a part of all rows count as crowded.
+LOTS = 4096
 #: Documents in a bucket of a source, and copies in a bin of the common order, on average at most.
 GRAIN = 1000
 
@@ -71,28 +75,79 @@ def source_table(sized: DataFrame, weights: Sequence[float], share: float, passe
     return table.withColumn("target", F.round(target, 6))
 
 
+def before(sums: DataFrame, group: list[str], at: str, value: str, out: str) -> DataFrame:
+    """Add ``out``, the sum of ``value`` over the group's rows with a smaller ``at``.
+
+    Two levels: stretches of ``GRAIN`` numbers are added up first, so a window sees the rows of one
+    stretch, or one row per stretch.
+    """
+    part = F.floor(F.col(at) / GRAIN)
+    until = lambda *by: W.partitionBy(*by).orderBy(at).rowsBetween(W.unboundedPreceding, -1)
+    cut = sums.withColumn("__stretch", part)
+    fine = cut.withColumn("__fine", F.coalesce(F.sum(value).over(until(*group, "__stretch")), F.lit(0)))
+    wide = cut.groupBy(*group, "__stretch").agg(F.sum(value).alias("__wide"))
+    line = W.partitionBy(*group).orderBy("__stretch").rowsBetween(W.unboundedPreceding, -1)
+    wide = wide.select(*group, "__stretch", F.coalesce(F.sum("__wide").over(line), F.lit(0)).alias("__upto"))
+    joined = same(fine, wide, [*group, "__stretch"])
+    return joined.withColumn(out, F.col("__upto") + F.col("__fine")).drop("__upto", "__fine", "__stretch")
+
+
+def crowded_ids(sized: DataFrame, n: int) -> DataFrame:
+    """``doc_id`` of more than ``GRAIN`` rows and a ``LOTS``-th of all: ``LOTS`` rows at most."""
+    counts = sized.groupBy("doc_id").agg(F.count("*").alias("__n"))
+    return settle(counts.where(F.col("__n") > max(GRAIN, n / LOTS)).select("doc_id"), "crowded-ids")
+
+
+def _runs(dealt: DataFrame, crowded: DataFrame | None) -> DataFrame:
+    """Add ``__run``, the words of the rows of the same bucket up to and with this one, by ``__h, doc_id, size``."""
+    inside = W.partitionBy("__key", "__bucket").orderBy("__h", "doc_id", "size").rowsBetween(W.unboundedPreceding, 0)
+    if crowded is None:
+        return dealt.withColumn("__run", F.sum("size").over(inside))
+    cell = ["__key", "__bucket", "__h", "doc_id", "size"]
+    marked = same(dealt, F.broadcast(crowded.withColumn("__many", F.lit(True))), ["doc_id"], "left")
+    rest, many = marked.where("__many IS NULL").drop("__many"), marked.where("__many").drop("__many")
+    # One row per size stands for the rows of a crowded id; between other rows it keeps its place.
+    cells = many.groupBy(*cell).agg(F.count("*").alias("__c"))
+    carried = [c for c in dealt.columns if c not in cell]
+    line = rest.withColumns({"__c": F.lit(1).cast("long"), "__one": F.lit(True)})
+    nulls = [F.lit(None).cast(dealt.schema[c].dataType).alias(c) for c in carried]
+    line = line.unionByName(cells.select(*cell, *nulls, "__c", F.lit(False).alias("__one")))
+    line = line.withColumn("__run", F.sum(F.col("size") * F.col("__c")).over(inside))
+    done = line.where("__one").drop("__one", "__c")
+    bases = line.where("NOT __one").select(*cell, "__c", (F.col("__run") - F.col("size") * F.col("__c")).alias("__base"))
+    parts = F.ceil(F.col("__c") / F.lit(GRAIN)).cast("int")
+    bases = settle(bases.withColumn("__parts", parts), "cells")
+    placed = same(many, bases, cell).withColumn("__part", F.pmod(F.xxhash64(*ROW), F.col("__parts")).cast("long"))
+    counts = before(placed.groupBy(*cell, "__part").agg(F.count("*").alias("__n")), cell, "__part", "__n", "__before")
+    placed = same(placed, counts.drop("__n"), [*cell, "__part"])
+    number = F.row_number().over(W.partitionBy(*cell, "__part").orderBy(*ROW)) + F.col("__before")
+    placed = placed.withColumn("__run", F.col("__base") + number * F.col("size"))
+    return done.unionByName(placed.select(done.columns))
+
+
 def queue(sized: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, passes: int = PASSES) -> DataFrame:
     """``sized`` (``doc_id, source, size`` and anything else) with ``source_size, target, passes``.
 
     The last column says how many copies of the document the mix takes.
     """
     carried = [c for c in sized.columns if c not in ("source_size", "target", "passes")]
+    placed = {*ROW} <= {*carried}  # the caller's table says where its rows lie
     sized = settle(sized.select(carried), "sized")
+    sized = sized if placed else with_row_id(sized)
     sources = settle(source_table(sized, weights, share, passes), "sources")
     facts = sized.agg(F.count("*").alias("n"), F.sum("size").alias("words")).first()
     n, budget = facts["n"], int(share * (facts["words"] or 0))
     buckets = max(1, -(-n // GRAIN))
     digest = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     dealt = sized.select(
-        *carried, _name().alias("__key"), digest.alias("__h"),
+        *dict.fromkeys([*carried, *ROW]), _name().alias("__key"), digest.alias("__h"),
         (F.conv(F.substring(digest, 1, 12), 16, 10).cast("long") * buckets / F.lit(16.0**12)).cast("long").alias("__bucket"),
     )
     sums = dealt.groupBy("__key", "__bucket").agg(F.sum("size").alias("__sum"))
-    before = W.partitionBy("__key").orderBy("__bucket").rowsBetween(W.unboundedPreceding, -1)
-    bases = sums.select("__key", "__bucket", F.coalesce(F.sum("__sum").over(before), F.lit(0)).alias("__base"))
+    bases = before(sums, ["__key"], "__bucket", "__sum", "__base").drop("__sum")
     bases = settle(bases.join(sources, "__key"), "bases")
-    inside = W.partitionBy("__key", "__bucket").orderBy("__h", "doc_id", "size").rowsBetween(W.unboundedPreceding, 0)
-    run = dealt.withColumn("__run", F.sum("size").over(inside))
+    crowded = crowded_ids(sized, n)
+    run = _runs(dealt, crowded if crowded.count() else None)
     line = settle(
         run.join(bases, ["__key", "__bucket"]).withColumn("__run", F.col("__base") + F.col("__run")).drop("__base", "__bucket"),
         "queue",
@@ -131,7 +186,7 @@ def _cut(copies: DataFrame, budget: int, level: float | None, bins: int) -> tupl
     bin_of = F.least(F.col("finish") * bins / F.lit(level), F.lit(2.0 * bins)).cast("long")
     binned = copies.withColumn("bin", bin_of)
     sums = binned.groupBy("bin").agg(F.sum("size").alias("words"))
-    upto = sums.withColumn("upto", F.sum("words").over(W.orderBy("bin")))
+    upto = before(sums, [], "bin", "words", "upto").withColumn("upto", F.col("upto") + F.col("words"))
     over = upto.where(F.col("upto") > budget).orderBy("bin").select("bin", (F.col("upto") - F.col("words")).alias("base")).first()
     order = ["finish", "__key", "given", "__h"]
     if over is None:

@@ -7,6 +7,7 @@ import pytest
 from corpus_fixtures import write_tables
 
 from palate.llm import mixing, quality_rules
+from palate.session import settle
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -164,6 +165,41 @@ def test_mixing_equals_brute_force(spark, seed):
         assert x.passes * x.size == taken[x.doc_id]
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_mixing_with_crowded_ids_equals_brute_force(spark, monkeypatch, seed):
+    """Most rows have no id or one id; they are counted off in parts."""
+    import random
+
+    monkeypatch.setattr(mixing, "GRAIN", 10)
+    monkeypatch.setattr(mixing, "LOTS", 20)
+    r = random.Random(seed)
+    rows = [(r.choice([None, None, 7, i]), r.choice(["hot"] * 3 + ["a", None]), r.choice([0, 1, 5, 50])) for i in range(500)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, size long").repartition(4)
+    sized = settle(df, "test")
+    crowded = mixing.crowded_ids(sized, 500)
+    assert {x.doc_id for x in crowded.collect()} == {None, 7}
+    got = mixing.queue(sized).collect()
+    targets, taken = brute_mix(rows)
+    mine = Counter()
+    for x in got:
+        assert x.target == pytest.approx(targets[x.source], rel=1e-6, abs=1e-5) and 0 <= x.passes <= 2
+        mine[x.doc_id] += x.passes * x.size
+    assert len(got) == 500 and +mine == +taken
+
+
+def test_sums_before_in_two_levels(spark, monkeypatch):
+    import random
+
+    monkeypatch.setattr(mixing, "GRAIN", 4)
+    r = random.Random(1)
+    rows = [(g, at, r.randint(0, 9)) for g in ("a", None) for at in r.sample(range(200), 60)]
+    df = spark.createDataFrame(rows, "g string, at long, v long")
+    got = {(x.g, x.at): x.out for x in mixing.before(df, ["g"], "at", "v", "out").collect()}
+    assert got == {(g, at): sum(v for h, b, v in rows if h == g and b < at) for g, at, _ in rows}
+    alone = df.where("g = 'a'").drop("g")
+    assert {x.at: x.out for x in mixing.before(alone, [], "at", "v", "out").collect()} == {at: n for (g, at), n in got.items() if g == "a"}
+
+
 def test_mixing_takes_near_the_targets_and_reruns_agree(spark):
     rows = [(i, "hot" if i % 3 == 0 else f"s{i % 7}", 1 + i * 37 % 100) for i in range(6000)]
     df = spark.createDataFrame(rows, "doc_id long, source string, size long")
