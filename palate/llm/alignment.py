@@ -6,9 +6,10 @@ intersection of the two key sets, sorted, are the places where both end a token.
 lists of ids into groups that cover the same bytes, and link the pair of tokens that ends there.  How
 often a pair of ids is linked in the whole corpus says which links are usual.
 
-Neither tokenizer joins bytes over a space between two other characters, so a text is cut there and
-equal stretches are encoded and aligned once per task while they stay in a bounded table.  This is
-asked of the two vocabularies when they are opened; with others the whole text is one stretch.
+Neither tokenizer joins bytes over a space, or the front of a line end, between two other characters,
+so a text is cut there and equal stretches are encoded and aligned once per task while they stay in a
+bounded table.  This is asked of the two vocabularies when they are opened; with others the whole
+text is one stretch.
 
 A link's shorter token is the end of the longer one.  A token of n bytes has n such ends, so there
 are at most as many different pairs as the vocabularies have bytes, each counted for tokens of equal
@@ -21,6 +22,7 @@ aligned each; an empty table gives an empty result; only the text and the column
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import os
@@ -28,7 +30,7 @@ import re
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import accumulate, count
+from itertools import accumulate, chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -41,13 +43,16 @@ from palate.llm.common import text_of
 from palate.session import settle
 
 #: Stretches of text whose alignment a task remembers, and texts aligned at a time.
-REMEMBERED = 300_000
+REMEMBERED = 600_000
 ROWS_AT_ONCE = 400
 #: Pairs that a task gathers before it adds them up.
 PAIRS_AT_ONCE = 1 << 21
 #: Fixed value: the sign for a space in the pieces of the second tokenizer.
 MARK = "▁"
-_CUT = re.compile(r"(?<=\S) (?=\S)")
+#: A stretch begins behind such a space, which it has in front unsaid, or with such a line end.
+_CUT = re.compile(r"(?<=\S)(?: (?=\S)|(?=\n\S))")
+#: Stands before a line end when B encodes a stretch that no space precedes.
+_STAND_IN = "a"
 _FACTS = "n_a long, n_b long, n_groups long, n_links long"
 _PAIRS = "pairs binary, times binary, total boolean"
 
@@ -80,7 +85,7 @@ class Pair:
         self.sizes_a, self.sizes_b = (list(map(len, x)) for x in (self.bytes_a, self.bytes_b))
         self.cuts = self.may_cut(path_a)
         self.groups = groups
-        self.known: dict[str, int] = {}
+        self.known: dict[str | tuple[str], int] = {}
         self.clear()
 
     def bytes_of_piece(self, i: int) -> bytes:
@@ -95,7 +100,17 @@ class Pair:
         plain = split.get("type") == "ByteLevel" and split.get("use_regex") and not split.get("add_prefix_space")
         inner = any(MARK in self.b.id_to_piece(i).lstrip(MARK) for i in range(len(self.bytes_b)))
         begins = b"".join(self.bytes_b[i] for i in self.b.encode("a b")) == b" a b"
-        return bool(plain and not rules.get("normalizer") and not inner and begins)
+        line_ends = len(self.b.encode(_STAND_IN)) == 1 and not any("\n" in self.b.id_to_piece(i) for i in range(len(self.bytes_b)))
+        return bool(plain and not rules.get("normalizer") and not inner and begins and line_ends)
+
+    def stretches(self, text: str) -> list:
+        """The stretches of a text; a first one that begins with a line end has a space in front all the same."""
+        if not text:
+            return []
+        parts = _CUT.split(text) if self.cuts else [text]
+        if parts[0].startswith("\n"):
+            parts[0] = (parts[0],)
+        return parts
 
     def clear(self) -> None:
         self.known.clear()
@@ -104,49 +119,75 @@ class Pair:
         self.good = array("b")
         self.pairs, self.first = array("q"), array("q", [0])
 
-    def align(self, ids_a: list[int], ids_b: list[int], text: bytes) -> tuple[str, list[int]] | None:
-        """The groups as text and the linked pairs; None where the tokens do not spell the text."""
-        spell_a, spell_b = self.bytes_a.__getitem__, self.bytes_b.__getitem__
-        if b"".join(map(spell_a, ids_a)) != text or b"".join(map(spell_b, ids_b)) != text:
-            return None
+    def spelled(self, ids: list[list[int]], spell: list[bytes], texts: list[bytes]) -> np.ndarray:
+        """Which of the lists of ids give back their texts."""
+        join = b"".join
+        if join(map(spell.__getitem__, chain.from_iterable(ids))) == join(texts) and list(
+            map(len, texts)
+        ) == [sum(map(len, map(spell.__getitem__, x))) for x in ids]:
+            return np.ones(len(ids), bool)
+        return np.array([join(map(spell.__getitem__, x)) == t for x, t in zip(ids, texts, strict=True)], bool)
+
+    def align(self, ids_a: list[int], ids_b: list[int]) -> tuple[list[int], list[str], list[int]]:
+        """Where groups end, the groups as text, and the linked pairs, of two lists of ids that spell the same bytes."""
         end_a = dict(zip(accumulate(map(self.sizes_a.__getitem__, ids_a)), count(1)))  # noqa: B905
         end_b = dict(zip(accumulate(map(self.sizes_b.__getitem__, ids_b)), count(1)))  # noqa: B905
         name_a, name_b, size_b = self.names_a.__getitem__, self.names_b.__getitem__, len(self.bytes_b)
+        common = sorted(end_a.keys() & end_b.keys())
         shown, links = [], []
         i = j = 0
-        for end in sorted(end_a.keys() & end_b.keys()):
-            p, q = end_a[end], end_b[end]
+        for p, q in zip(map(end_a.__getitem__, common), map(end_b.__getitem__, common), strict=True):
             if p == i + 1 and q == j + 1:
                 shown.append(f"{ids_a[i]}|{ids_b[j]}")
             else:
                 shown.append(f"{','.join(map(name_a, ids_a[i:p]))}|{','.join(map(name_b, ids_b[j:q]))}")
             links.append(ids_a[p - 1] * size_b + ids_b[q - 1])
             i, j = p, q
-        return ";".join(shown), links
+        return common, shown, links
 
-    def learn(self, stretches: set[str]) -> None:
+    def learn(self, stretches: set) -> None:
+        """Align the stretches not yet known, all in one line: each ends a group, as both sides end there."""
         new = list(stretches.difference(self.known))
         if not new:
             return
-        encoded_a = self.a.encode_batch_fast([" " + s for s in new], add_special_tokens=False)
-        encoded_b = self.b.encode(new, num_threads=1)
-        for s, a, ids_b in zip(new, encoded_a, encoded_b, strict=True):
-            ids_a = a.ids
-            found = self.align(ids_a, ids_b, b" " + s.encode())
-            shown, links = found or ("", [])
-            self.known[s] = len(self.text)
-            self.text.append(shown)
-            self.good.append(found is not None)
-            self.facts.extend((len(ids_a), len(ids_b), len(links), len(links)))
-            self.pairs.fromlist(links)
-            self.first.append(len(self.pairs))
+        bare = [type(s) is str and s[0] == "\n" for s in new]
+        plain = [s if type(s) is str else s[0] for s in new]
+        whole = [s if b else " " + s for s, b in zip(plain, bare, strict=True)]
+        ids_a = [e.ids for e in self.a.encode_batch_fast(whole, add_special_tokens=False)]
+        ids_b = self.b.encode([_STAND_IN + s if b else s for s, b in zip(plain, bare, strict=True)], num_threads=1)
+        for ids, b in zip(ids_b, bare, strict=True):
+            if b:
+                del ids[0]
+        texts = [t.encode() for t in whole]
+        good = self.spelled(ids_a, self.bytes_a, texts) & self.spelled(ids_b, self.bytes_b, texts)
+        n_a, n_b = (np.fromiter(map(len, x), np.int64, len(x)) for x in (ids_a, ids_b))
+        fine = good.tolist()
+        common, shown, links = self.align(
+            list(chain.from_iterable(x for x, ok in zip(ids_a, fine, strict=True) if ok)),
+            list(chain.from_iterable(x for x, ok in zip(ids_b, fine, strict=True) if ok)),
+        )
+        sizes = np.where(good, np.fromiter(map(len, texts), np.int64, len(texts)), 0)
+        stops = np.searchsorted(np.array(common, np.int64), np.cumsum(sizes), "right")
+        groups = np.diff(stops, prepend=0)
+        edges = stops.tolist()
+        self.known.update(zip(new, range(len(self.text), len(self.text) + len(new)), strict=True))
+        self.text.extend([";".join(shown[x:y]) for x, y in zip([0, *edges], edges, strict=False)])
+        self.good.frombytes(good.astype(np.int8).tobytes())
+        self.facts.frombytes(np.stack([n_a, n_b, groups, groups], axis=1).tobytes())
+        base = len(self.pairs)
+        self.pairs.fromlist(links)
+        self.first.frombytes((stops + base).astype(np.int64).tobytes())
 
     def documents(self, texts: list[str]) -> tuple[np.ndarray, list[str], list[np.ndarray], list[np.ndarray]]:
         """Facts (four a text), digest or groups, and each text's different pairs with their numbers."""
-        split = [(_CUT.split(t) if self.cuts else [t]) if t else [] for t in texts]
+        split = [self.stretches(t) for t in texts]
         if len(self.known) > REMEMBERED:
             self.clear()
-        self.learn(set().union(*split))
+        gc.disable()  # very many lists and strings, none in a cycle
+        try:
+            self.learn(set().union(*split))
+        finally:
+            gc.enable()
         number = self.known.__getitem__
         lists = [list(map(number, s)) for s in split]
         good = np.array(self.good, bool)

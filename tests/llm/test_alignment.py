@@ -75,7 +75,7 @@ def test_cut_texts_equal_whole_texts(libraries, seed):
     both = alignment.Pair(A, B, groups=True)
     assert both.cuts
     for k in range(150):
-        bits = BITS if k % 2 else BITS[:12]
+        bits = [BITS, BITS[:12], ["a", "B.", " ", "\n", "\n", "x\ny", "é", " \n"]][k % 3]
         texts = ["".join(r.choice(bits) for _ in range(r.randint(0, 60))) for _ in range(4)]
         facts, shown, pairs, times = both.documents(texts)
         for i, t in enumerate(texts):
