@@ -30,7 +30,7 @@ import re
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import accumulate, chain, count
+from itertools import accumulate, chain, compress, count
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +45,8 @@ from palate.session import settle
 #: Stretches of text whose alignment a task remembers, and texts aligned at a time.
 REMEMBERED = 600_000
 ROWS_AT_ONCE = 400
+#: Stretches that A encodes as one line.
+LINE = 512
 #: Pairs that a task gathers before it adds them up.
 PAIRS_AT_ONCE = 1 << 21
 #: Fixed value: the sign for a space in the pieces of the second tokenizer.
@@ -64,6 +66,22 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
+def _lengths(items: list) -> np.ndarray:
+    return np.fromiter(map(len, items), np.int64, len(items))
+
+
+class Spelled(dict):
+    """Groups of one token each as text, by their pair; no more than there are different pairs."""
+
+    def __init__(self, size_b: int):
+        super().__init__()
+        self.size_b = size_b
+
+    def __missing__(self, pair: int) -> str:
+        shown = self[pair] = f"{pair // self.size_b}|{pair % self.size_b}"
+        return shown
+
+
 class Pair:
     """A byte-level BPE vocabulary (A) and a piece model (B), for use inside a task."""
 
@@ -83,6 +101,7 @@ class Pair:
         self.bytes_b = [self.bytes_of_piece(i) for i in range(self.b.vocab_size())]
         self.names_a, self.names_b = ([str(i) for i in range(len(x))] for x in (self.bytes_a, self.bytes_b))
         self.sizes_a, self.sizes_b = (list(map(len, x)) for x in (self.bytes_a, self.bytes_b))
+        self.single = Spelled(len(self.bytes_b))
         self.cuts = self.may_cut(path_a)
         self.groups = groups
         self.known: dict[str | tuple[str], int] = {}
@@ -107,6 +126,8 @@ class Pair:
         """The stretches of a text; a first one that begins with a line end has a space in front all the same."""
         if not text:
             return []
+        if self.cuts and text.replace("\n", " ").split(" ") == text.split():
+            return text.replace("\n", " \n").split(" ")  # every gap is one space or one line end
         parts = _CUT.split(text) if self.cuts else [text]
         if parts[0].startswith("\n"):
             parts[0] = (parts[0],)
@@ -119,32 +140,50 @@ class Pair:
         self.good = array("b")
         self.pairs, self.first = array("q"), array("q", [0])
 
-    def spelled(self, ids: list[list[int]], spell: list[bytes], texts: list[bytes]) -> np.ndarray:
+    def spelled(self, ids: list[list[int]], spell: list[bytes], sizes: list[int], texts: list[bytes]) -> np.ndarray:
         """Which of the lists of ids give back their texts."""
         join = b"".join
-        if join(map(spell.__getitem__, chain.from_iterable(ids))) == join(texts) and list(
-            map(len, texts)
-        ) == [sum(map(len, map(spell.__getitem__, x))) for x in ids]:
+        flat = list(chain.from_iterable(ids))
+        ends = np.cumsum([0, *map(sizes.__getitem__, flat)])[np.cumsum(_lengths(ids))]
+        if join(map(spell.__getitem__, flat)) == join(texts) and np.array_equal(ends, np.cumsum(_lengths(texts))):
             return np.ones(len(ids), bool)
         return np.array([join(map(spell.__getitem__, x)) == t for x, t in zip(ids, texts, strict=True)], bool)
 
-    def align(self, ids_a: list[int], ids_b: list[int]) -> tuple[list[int], list[str], list[int]]:
+    def align(self, ids_a: list[int], ids_b: list[int]) -> tuple[list[int], list[str], np.ndarray]:
         """Where groups end, the groups as text, and the linked pairs, of two lists of ids that spell the same bytes."""
         end_a = dict(zip(accumulate(map(self.sizes_a.__getitem__, ids_a)), count(1)))  # noqa: B905
         end_b = dict(zip(accumulate(map(self.sizes_b.__getitem__, ids_b)), count(1)))  # noqa: B905
-        name_a, name_b, size_b = self.names_a.__getitem__, self.names_b.__getitem__, len(self.bytes_b)
         common = sorted(end_a.keys() & end_b.keys())
-        shown, links = [], []
-        i = j = 0
-        for p, q in zip(map(end_a.__getitem__, common), map(end_b.__getitem__, common), strict=True):
-            if p == i + 1 and q == j + 1:
-                shown.append(f"{ids_a[i]}|{ids_b[j]}")
-            else:
-                shown.append(f"{','.join(map(name_a, ids_a[i:p]))}|{','.join(map(name_b, ids_b[j:q]))}")
-            links.append(ids_a[p - 1] * size_b + ids_b[q - 1])
-            i, j = p, q
+        p, q = (np.fromiter(map(x.__getitem__, common), np.int64, len(common)) for x in (end_a, end_b))
+        links = np.array(ids_a, np.int64)[p - 1] * len(self.bytes_b) + np.array(ids_b, np.int64)[q - 1]
+        shown = list(map(self.single.__getitem__, links.tolist()))
+        i, j = (np.concatenate([[0], x[:-1]]) if len(x) else x for x in (p, q))
+        wide = np.flatnonzero((p - i > 1) | (q - j > 1))
+        name_a, name_b = self.names_a.__getitem__, self.names_b.__getitem__
+        for k, i0, i1, j0, j1 in zip(*(x.tolist() for x in (wide, i[wide], p[wide], j[wide], q[wide])), strict=True):
+            shown[k] = f"{','.join(map(name_a, ids_a[i0:i1]))}|{','.join(map(name_b, ids_b[j0:j1]))}"
         return common, shown, links
 
+    def encode_lines(self, whole: list[str], texts: list[bytes]) -> tuple[list[int], np.ndarray, np.ndarray]:
+        """A's ids of stretches that may stand in one line, how many each has, and which lines gave their bytes back.
+
+        A line that does not, or has no token end at an end of a stretch, gives no ids and is false for all its stretches.
+        """
+        at = range(0, len(whole), LINE)
+        lines = ["".join(whole[x : x + LINE]) for x in at]
+        flat: list[int] = []
+        numbers, good = np.zeros(len(whole), np.int64), np.zeros(len(whole), bool)
+        for x, line, found in zip(at, lines, self.a.encode_batch_fast(lines, add_special_tokens=False), strict=True):
+            ids = found.ids
+            ends = np.cumsum(np.fromiter(map(self.sizes_a.__getitem__, ids), np.int64, len(ids)))
+            edges = np.cumsum(_lengths(texts[x : x + LINE]))
+            stops = np.searchsorted(ends, edges, "right")
+            if b"".join(map(self.bytes_a.__getitem__, ids)) == line.encode() and np.array_equal(ends[stops - 1], edges):
+                flat += ids
+                numbers[x : x + LINE] = np.diff(stops, prepend=0)
+                good[x : x + LINE] = True
+        return flat, numbers, good
+
     def learn(self, stretches: set) -> None:
         """Align the stretches not yet known, all in one line: each ends a group, as both sides end there."""
         new = list(stretches.difference(self.known))
@@ -153,20 +192,29 @@ class Pair:
         bare = [type(s) is str and s[0] == "\n" for s in new]
         plain = [s if type(s) is str else s[0] for s in new]
         whole = [s if b else " " + s for s, b in zip(plain, bare, strict=True)]
-        ids_a = [e.ids for e in self.a.encode_batch_fast(whole, add_special_tokens=False)]
         ids_b = self.b.encode([_STAND_IN + s if b else s for s, b in zip(plain, bare, strict=True)], num_threads=1)
         for ids, b in zip(ids_b, bare, strict=True):
             if b:
                 del ids[0]
         texts = [t.encode() for t in whole]
-        good = self.spelled(ids_a, self.bytes_a, texts) & self.spelled(ids_b, self.bytes_b, texts)
-        n_a, n_b = (np.fromiter(map(len, x), np.int64, len(x)) for x in (ids_a, ids_b))
-        fine = good.tolist()
-        common, shown, links = self.align(
-            list(chain.from_iterable(x for x, ok in zip(ids_a, fine, strict=True) if ok)),
-            list(chain.from_iterable(x for x, ok in zip(ids_b, fine, strict=True) if ok)),
-        )
-        sizes = np.where(good, np.fromiter(map(len, texts), np.int64, len(texts)), 0)
+        good = self.spelled(ids_b, self.bytes_b, self.sizes_b, texts)
+        edges = [not (s[-1].isspace() or s[b].isspace()) for s, b in zip(plain, bare, strict=True)]
+        in_line = good & np.array(edges, bool) if self.cuts else np.zeros(len(new), bool)
+        some = np.flatnonzero(in_line).tolist()
+        flat, numbers, sure = self.encode_lines([whole[k] for k in some], [texts[k] for k in some])
+        first = list(compress(some, sure.tolist()))
+        alone = np.ones(len(new), bool)
+        alone[first] = False
+        rest = np.flatnonzero(alone).tolist()
+        ids_a = [e.ids for e in self.a.encode_batch_fast([whole[k] for k in rest], add_special_tokens=False)]
+        fine = self.spelled(ids_a, self.bytes_a, self.sizes_a, [texts[k] for k in rest]) & good[rest]
+        flat += chain.from_iterable(compress(ids_a, fine.tolist()))
+        order = first + rest  # the lines' stretches, then those encoded alone
+        new, texts, ids_b = ([x[k] for k in order] for x in (new, texts, ids_b))
+        good = np.concatenate([np.ones(len(first), bool), fine])
+        n_a, n_b = np.concatenate([numbers[sure], _lengths(ids_a)]), _lengths(ids_b)
+        common, shown, links = self.align(flat, list(chain.from_iterable(compress(ids_b, good.tolist()))))
+        sizes = np.where(good, _lengths(texts), 0)
         stops = np.searchsorted(np.array(common, np.int64), np.cumsum(sizes), "right")
         groups = np.diff(stops, prepend=0)
         edges = stops.tolist()
@@ -175,7 +223,7 @@ class Pair:
         self.good.frombytes(good.astype(np.int8).tobytes())
         self.facts.frombytes(np.stack([n_a, n_b, groups, groups], axis=1).tobytes())
         base = len(self.pairs)
-        self.pairs.fromlist(links)
+        self.pairs.frombytes(links.tobytes())
         self.first.frombytes((stops + base).astype(np.int64).tobytes())
 
     def documents(self, texts: list[str]) -> tuple[np.ndarray, list[str], list[np.ndarray], list[np.ndarray]]:
@@ -189,22 +237,21 @@ class Pair:
         finally:
             gc.enable()
         number = self.known.__getitem__
-        lists = [list(map(number, s)) for s in split]
+        lists = [np.fromiter(map(number, s), np.int64, len(s)) for s in split]
         good = np.array(self.good, bool)
         facts_of = np.array(self.facts, np.int64).reshape(-1, 4)
         pairs_of, first = np.array(self.pairs, np.int64), np.array(self.first, np.int64)
         facts = np.zeros((len(texts), 4), np.int64)
         shown, pairs, times = [], [], []
         none = np.zeros(0, np.int64)
-        for k, stretches in enumerate(lists):
-            if not stretches or not good[stretches].all():
+        for k, which in enumerate(lists):
+            if not len(which) or not good[which].all():
                 shown.append("")
                 pairs.append(none)
                 times.append(none)
                 continue
-            which = np.array(stretches)
             facts[k] = facts_of[which].sum(axis=0)
-            whole = ";".join(map(self.text.__getitem__, stretches))
+            whole = ";".join(map(self.text.__getitem__, which.tolist()))
             shown.append(whole if self.groups else hashlib.sha256(whole.encode()).hexdigest())
             n = first[which + 1] - first[which]
             at = np.arange(n.sum()) + np.repeat(first[which] - np.cumsum(n) + n, n)
