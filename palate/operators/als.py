@@ -10,6 +10,7 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from palate.operators.pruned import Pruned, pruned_top_k
 from palate.operators.ratings import KEYS, drop_incomplete, hash_split, random_split, resolve_duplicates
 from palate.operators.tiles import vector_top_k
 from palate.session import checkpoint_root, parallelism, settle
@@ -174,9 +175,22 @@ def recommend_everyone(model: ALSModel, k: int = 10) -> DataFrame:
     return _top_items(model, model.userFactors, k)
 
 
+def recommend_pruned(model: ALSModel, k: int = 10, users: DataFrame | None = None) -> Pruned:
+    """The lists of ``recommend_everyone`` (or of ``users``) from as few products as lengths allow; also
+    how many were formed.  Worth it where items differ much in length."""
+    factors = model.userFactors
+    if users is not None:
+        factors = factors.join(users.select(F.col("userId").cast("int").alias("id")).distinct(), "id", "left_semi")
+    done = pruned_top_k(factors.select(F.col("id").alias("queryId"), "features"), model.itemFactors, k)
+    return replace(done, lists=_as_lists(done.lists))
+
+
 def _top_items(model: ALSModel, user_factors: DataFrame, k: int) -> DataFrame:
     queries = user_factors.select(F.col("id").alias("queryId"), "features")
-    best = vector_top_k(queries, model.itemFactors, k, metric="dot")
+    return _as_lists(vector_top_k(queries, model.itemFactors, k, metric="dot"))
+
+
+def _as_lists(best: DataFrame) -> DataFrame:
     return best.select(
         F.col("queryId").cast("int").alias("userId"),
         F.col("id").cast("int").alias("movieId"),
