@@ -10,6 +10,7 @@ from math import ceil, isqrt
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -146,18 +147,35 @@ def _unit(m: np.ndarray) -> np.ndarray:
     return m / np.where(lengths == 0.0, 1.0, lengths)
 
 
-def _tag_matrix(tags: list, vocabulary: dict) -> np.ndarray:
-    m = np.zeros((len(tags), len(vocabulary)))
-    for r, names in enumerate(tags):
-        for name in names or ():
-            m[r, vocabulary[name]] = 1.0
-    return m
+def _tag_postings(left: pa.Table, right: pa.Table) -> list[tuple[np.ndarray, np.ndarray]]:
+    """``(codes, rows)`` of each side: its rows' distinct tags in order of code, then row; a tag has
+    the same code on both sides."""
+    sides = [table["tags"].combine_chunks() for table in (left, right)]
+    names = pa.concat_arrays([tags.flatten() for tags in sides])
+    codes = names.dictionary_encode(null_encoding="encode").indices.to_numpy().astype(np.int64)
+    rows = [pc.list_parent_indices(tags).to_numpy().astype(np.int64) for tags in sides]
+    out = []
+    for own, r, tags in zip(np.split(codes, [len(rows[0])]), rows, sides, strict=True):
+        out.append(np.divmod(np.unique(own * len(tags) + r), len(tags)))
+    return out
 
 
-def _jaccard(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    both = left @ right.T
-    either = left.sum(axis=1)[:, None] + right.sum(axis=1)[None, :] - both
-    return np.divide(both, either, out=np.zeros_like(both), where=either > 0)
+def _jaccard(left: tuple, right: tuple, at: int, n_left: int, n_right: int) -> np.ndarray:
+    """Jaccard of ``n_left`` rows of the left side from row ``at`` on with all rows of the right side.
+
+    Shared tags are counted from one tag's postings after the other's, so what this holds beside the
+    result does not grow with the number of different tags.
+    """
+    inside = (left[1] >= at) & (left[1] < at + n_left)
+    codes, rows = left[0][inside], left[1][inside] - at
+    shared = np.intersect1d(codes, right[0])
+    both = np.zeros((n_left, n_right))
+    ends = [np.searchsorted(side, shared, edge) for side in (codes, right[0]) for edge in ("left", "right")]
+    for a, b, c, d in zip(*ends, strict=True):
+        both[np.ix_(rows[a:b], right[1][c:d])] += 1.0
+    mine, theirs = np.bincount(rows, minlength=n_left), np.bincount(right[1], minlength=n_right)
+    either = mine[:, None] + theirs[None, :] - both
+    return np.divide(both, either, out=both, where=either > 0)
 
 
 _SCORES = pa.schema([("queryId", pa.int64()), ("id", pa.int64()), ("score", pa.float64())])
@@ -173,10 +191,7 @@ def _vector_tile(metric: str, tag_weight: float | None):
         if metric == "cosine":
             lm, rm = _unit(lm), _unit(rm)
         if tag_weight is not None:
-            lt, rt = left["tags"].to_pylist(), right["tags"].to_pylist()
-            names = sorted({n for tags in (*lt, *rt) for n in tags or ()})
-            vocabulary = {n: i for i, n in enumerate(names)}
-            lt, rt = _tag_matrix(lt, vocabulary), _tag_matrix(rt, vocabulary)
+            lt, rt = _tag_postings(left, right)
         query, keep, ids = (left["queryId"].to_numpy(), left["keep"].to_numpy(), right["id"].to_numpy())
         out = []
         strip = max(1, STRIP_CELLS // len(ids))
@@ -184,7 +199,7 @@ def _vector_tile(metric: str, tag_weight: float | None):
             rows = slice(at, at + strip)
             scores = lm[rows] @ rm.T
             if tag_weight is not None:
-                scores = (1.0 - tag_weight) * scores + tag_weight * _jaccard(lt[rows], rt)
+                scores = (1.0 - tag_weight) * scores + tag_weight * _jaccard(lt, rt, at, len(scores), len(ids))
             q, first = np.unique(query[rows], return_index=True)
             if len(q) < scores.shape[0]:
                 scores = np.maximum.reduceat(scores, first, axis=0)

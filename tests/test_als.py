@@ -136,6 +136,27 @@ def test_implicit_mode(planted):
     assert not als.recommend_everyone(model, 3).isEmpty()
 
 
+def test_explanations_equal_brute_force(spark):
+    """A user with most of the history, a favourite without factors, a zero vector, a null one, ties, repeated rows."""
+    rng = np.random.default_rng(4)
+    vectors = {i: rng.standard_normal(6).round(3).tolist() for i in range(60)}
+    vectors |= {5: [0.0] * 6, 6: vectors[4], 7: vectors[4]}
+    rows = [(0 if i % 2 else i % 25, int(rng.integers(0, 66)), float(rng.integers(2, 11)) / 2) for i in range(500)]
+    recs = [(u, int(i)) for u in range(30) for i in rng.choice(62, 5, replace=False)]
+    unit = {i: np.array(v) / (np.linalg.norm(v) or 1.0) for i, v in vectors.items()}
+    want = set()
+    for u, i in recs:
+        liked = {m for w, m, r in rows if w == u and r >= 4.0 and m in unit and m != i}
+        near = sorted((-round(float(unit[i] @ unit[m]), 6), m) for m in liked) if i in unit else []
+        want |= {(u, i, m, n) for n, (_, m) in enumerate(near[:3], 1)}
+    history = spark.createDataFrame([*rows, (3, None, 5.0)], "userId INT, movieId INT, rating DOUBLE")
+    factors = spark.createDataFrame([*vectors.items(), (65, None)], "id INT, features ARRAY<DOUBLE>")
+    asked = spark.createDataFrame([*recs, recs[0]], "userId INT, movieId INT")
+    found = explain.explain_by_factors(asked, history, factors).collect()
+    got = {(r["userId"], r["movieId"], r["favoriteId"], r["reason_rank"]) for r in found}
+    assert len(found) == len(got) and got == want
+
+
 def test_explanations_are_the_nearest_favorites(spark):
     factors = spark.createDataFrame(
         [(1, [1.0, 0.0]), (2, [0.9, 0.1]), (3, [0.0, 1.0]), (4, [1.0, 0.1])], "id INT, features ARRAY<FLOAT>"

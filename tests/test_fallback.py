@@ -1,5 +1,6 @@
 """Who is served by which branch, and what a branch returns."""
 
+import numpy as np
 import pytest
 
 from palate.operators import als, evaluate, fallback
@@ -110,6 +111,37 @@ def test_mmr_prefers_unlike_items(spark):
     assert greedy == [10, 11, 12, 13]
 
 
+def test_mmr_equals_a_plain_loop_wherever_batches_end(spark):
+    rng = np.random.default_rng(2)
+    vectors = {i: rng.standard_normal(5).round(2).tolist() for i in range(30)} | {7: [0.0] * 5, 8: None}
+    queries = [*range(40), None]
+    rows = [(q, int(i), float(rng.integers(0, 40)) / 40) for q in queries for i in rng.choice(33, 1 + (q or 0) % 13, replace=False)]
+    unit = lambda i: np.array(vectors.get(i) or [0.0] * 5) / (np.linalg.norm(vectors.get(i) or [0.0]) or 1.0)
+    want = {}
+    for q in queries:
+        left, done = sorted((i, s) for p, i, s in rows if p == q), []
+        while left and len(done) < 6:
+            value = lambda c: round(0.5 * c[1] - 0.5 * max((unit(c[0]) @ unit(d) for d in done), default=0.0), 9)  # noqa: B023, E731
+            best = max(left, key=lambda c: (value(c), -c[0]))  # noqa: B023
+            left.remove(best)
+            done.append(best[0])
+        want[q] = done
+    cands = spark.createDataFrame(rows, "queryId BIGINT, movieId BIGINT, score DOUBLE")
+    factors = spark.createDataFrame([(i, v) for i, v in vectors.items()], "id INT, features ARRAY<DOUBLE>")
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    try:
+        for size in (1, 7, 10_000):
+            spark.conf.set(key, size)
+            got = {}
+            for r in mmr_rerank(cands, factors, lam=0.5, k=6).orderBy("rank").collect():
+                got.setdefault(r["queryId"], []).append(r["movieId"])
+            assert got == want
+    finally:
+        spark.conf.set(key, before)
+    assert mmr_rerank(cands.limit(0), factors).count() == 0
+
+
 def test_ranking_metrics_by_hand(spark):
     recs = spark.createDataFrame([(1, 10, 1), (1, 11, 2), (1, 12, 3), (2, 10, 1)], "userId INT, movieId INT, rank INT")
     relevant = spark.createDataFrame([(1, 11), (1, 12), (1, 99), (2, 50), (3, 10)], "userId INT, movieId INT")

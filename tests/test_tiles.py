@@ -2,12 +2,14 @@
 who rated everything, an item everybody rated, zero vectors, exact ties."""
 
 import re
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from palate.operators import content, neighbors, products, ranking
+from palate.operators import content, neighbors, products, ranking, tiles
 from palate.operators.favorites import recommend_near_items
 from palate.operators.ratings import with_norms
 from palate.session import settle
@@ -271,3 +273,35 @@ def test_hybrid_places_new_items_by_genre(spark, movies):
     best = collected(content.hybrid_neighbors(profiles, 1, factor_weight=0.5), score="score")
     assert best[4] == [(3, pytest.approx(0.5 * 2 / 3, abs=1e-6))]
     assert best[1] == [(2, pytest.approx(0.5 * 3 / 5, abs=1e-6))]
+
+
+def test_hybrid_equals_brute_force_for_any_vocabulary(spark):
+    """Tags that everybody has, tags of one item alone, repeated and null tags, empty and null lists."""
+    rng = np.random.default_rng(5)
+    rows = []
+    for i in range(300):
+        tags = ["all"] * (i % 4 > 0) + [f"t{x}" for x in rng.integers(0, 12, i % 5)] + [f"only{i}"] * (i % 3)
+        rows.append((i, rng.standard_normal(4).round(3).tolist() if i % 7 else [0.0] * 4, None if i % 50 == 9 else [*tags, *([None] * (i % 11 == 0))]))
+    profiles = spark.createDataFrame(rows, "id INT, features ARRAY<DOUBLE>, tags ARRAY<STRING>")
+    unit = np.array([np.array(f) / (np.linalg.norm(f) or 1.0) for _, f, _ in rows])
+    sets = [set(t or ()) for *_, t in rows]
+    alike = np.array([[len(a & b) / len(a | b) if a | b else 0.0 for b in sets] for a in sets])
+    want = np.round(0.6 * (unit @ unit.T) + 0.4 * alike, 6)
+    for blocks in ({}, {"query_blocks": 3, "item_blocks": 2}):
+        got = collected(content.hybrid_neighbors(profiles, 5, factor_weight=0.6, **blocks), score="score")
+        for i in range(300):
+            best = sorted((-want[i, j], j) for j in range(300) if j != i)[:5]
+            assert [s for _, s in got[i]] == pytest.approx([-s for s, _ in best], abs=2e-6)
+
+
+def test_shared_tags_need_no_room_per_tag():
+    """A block of 2 000 rows with 100 000 different tags: dense rows would take 1.6 GB."""
+    n = 2000
+    tags = pa.table({"tags": pa.array([[f"{i}-{j}" for j in range(50)] + ["all"] for i in range(n)])})
+    lists = tiles._tag_postings(tags, tags)
+    tracemalloc.start()
+    got = tiles._jaccard(*lists, 100, 200, n)
+    _, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert most < 60_000_000
+    assert got.shape == (200, n) and got[0, 100] == 1.0 and got[0, 0] == pytest.approx(1 / 101)
