@@ -3,6 +3,8 @@
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,9 +27,34 @@ def checkpoint_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or root
 
 
+#: Local property that names the folder of the workspace in force; threads of a job inherit it.
+WORKSPACE = "palate.workspace"
+
+
 def work_path(spark: SparkSession, purpose: str) -> str:
-    """A new path below the checkpoint folder; nothing is created yet."""
-    return f"{checkpoint_root(spark)}/palate/{purpose}-{uuid.uuid4().hex}"
+    """A new path in the workspace in force, else below the checkpoint folder; nothing is created yet."""
+    folder = spark.sparkContext.getLocalProperty(WORKSPACE) or f"{checkpoint_root(spark)}/palate"
+    return f"{folder}/{purpose}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def workspace(spark: SparkSession) -> Iterator[str]:
+    """Owner of the tables settled inside the block: they lie in one folder, deleted at its end.
+
+    Whatever should outlive the block must be written (or collected) inside it: a table made inside
+    still reads its intermediates.  The folder is deleted when the block fails, too.  Blocks nest; each
+    thread has its own.
+    """
+    sc = spark.sparkContext
+    outer = sc.getLocalProperty(WORKSPACE)
+    folder = work_path(spark, "workspace")
+    sc.setLocalProperty(WORKSPACE, folder)
+    try:
+        yield folder
+    finally:
+        sc.setLocalProperty(WORKSPACE, outer)
+        where = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def parallelism(spark: SparkSession) -> int:

@@ -1,5 +1,7 @@
 """Readers and sinks: round trips, dirty input, appends."""
 
+import glob
+
 import pytest
 from fixtures import FEEDBACK, MOVIES, RATINGS
 from pyspark.sql import functions as F
@@ -10,6 +12,7 @@ from palate.functions import vectors as v
 from palate.operators import ratings as rt
 from palate.operators.catalog import first_titles, recent_ratings, user_history
 from palate.plans.jobs import nightly_retrain, tune
+from palate.session import workspace
 from palate.operators.als import AlsSettings
 from palate.sources import readers, writers
 
@@ -168,15 +171,23 @@ def test_hash_split_is_disjoint_and_stable(ratings):
 
 
 def test_tune_job_writes_model_grid_and_neighbors(spark, ratings_csv, tmp_path):
-    out = tune(
-        spark, ratings_csv, str(tmp_path / "model"), str(tmp_path / "sims"), str(tmp_path / "grid"),
-        ranks=(2,), regs=(0.1,), base=AlsSettings(max_iter=2), top_n=3,
-    )
+    with workspace(spark) as owned:
+        out = tune_small(spark, ratings_csv, tmp_path)
+        left = glob.glob(f"{owned.removeprefix('file:')}/**/*.parquet", recursive=True)
+    assert left == []  # the job deleted what it stored on its way
+    assert not out.model.itemFactors.isEmpty()
     assert out.settings.rank == 2
     assert readers.read_neighbors(spark, str(tmp_path / "sims")).count() > 0
     assert readers.load_als_or_none(spark, str(tmp_path / "model")) is not None
 
 
+def tune_small(spark, ratings_csv, tmp_path):
+    return tune(
+        spark, ratings_csv, str(tmp_path / "model"), str(tmp_path / "sims"), str(tmp_path / "grid"),
+        ranks=(2,), regs=(0.1,), base=AlsSettings(max_iter=2), top_n=3,
+    )
+
+
 def test_nightly_job_merges_feedback_and_trains(spark, ratings_csv, tmp_path, feedback):
     fb, reviews = str(tmp_path / "fb"), str(tmp_path / "reviews")
     writers.append_feedback(feedback, fb)
