@@ -305,3 +305,44 @@ def test_shared_tags_need_no_room_per_tag():
     tracemalloc.stop()
     assert most < 60_000_000
     assert got.shape == (200, n) and got[0, 100] == 1.0 and got[0, 0] == pytest.approx(1 / 101)
+
+
+def test_blocks_hold_bytes_not_few_rows():
+    assert tiles.rows_per_block(50) > 16 * 4096 - 1 and tiles.rows_per_block(64) == tiles.BLOCK_ROWS
+    assert 1024 <= tiles.rows_per_block(100_000) < tiles.rows_per_block(1000) < tiles.rows_per_block(64)
+
+
+@pytest.mark.parametrize("keep", [1, 7])
+def test_few_cells_hold_the_best(keep):
+    rng = np.random.default_rng(keep)
+    scores = np.round(rng.random((9, 1500)), 2)  # many ties
+    rows, cols = tiles._best_cells(scores, np.full(9, keep))
+    for r in range(9):
+        want = sorted(range(1500), key=lambda c: (-scores[r, c], c))[:keep]
+        assert cols[rows == r].tolist() == want
+    few = tiles._few_cells(scores, keep, 6)
+    assert len(few[0]) < scores.size / 4
+    scores[3, 5] = np.nan
+    assert tiles._few_cells(scores, keep, 6) is None
+
+
+def test_radius_pairs_are_not_shuffled(spark):
+    rows = [(i % 40, [float(i % 7), 1.0, float(i % 3)]) for i in range(80)]  # every id twice
+    factors = spark.createDataFrame(rows, "id BIGINT, features ARRAY<DOUBLE>")
+    found = neighbors.radius_pairs(factors, 0.3, bucket_rows=16)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" not in plan
+    got = [tuple(r)[:2] for r in found.collect()]
+    assert got and len(got) == len(set(got))
+
+
+def test_a_favourite_is_multiplied_once_for_all(spark, monkeypatch):
+    from palate.operators import favorites
+
+    asked = []
+    real = favorites.vector_top_k
+    monkeypatch.setattr(favorites, "vector_top_k", lambda q, *a, **o: asked.append(q.count()) or real(q, *a, **o))
+    factors = spark.createDataFrame([(i, [1.0, float(i), float(i * i % 7)]) for i in range(30)], "id BIGINT, features ARRAY<DOUBLE>")
+    liked = spark.createDataFrame([(q, q % 3) for q in range(90)], "queryId BIGINT, movieId BIGINT")
+    assert favorites.recommend_near_items(liked, factors, 4).count() == 360
+    assert asked == [3]
