@@ -4,8 +4,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from palate.operators import als, evaluate, explain
+from palate.operators import als, evaluate, explain, scoring
 from palate.operators import ratings as rt
+from palate.session import settle
 from palate.sources import readers, writers
 
 
@@ -258,3 +259,43 @@ def test_registered_queries_fit_the_whole_job(spark, monkeypatch):
         with pytest.raises(Fitted) as met:
             run(name)
         assert met.value.args[0] == als.AlsSettings(implicit=name == "als_implicit")
+
+
+def test_stored_pairs_meet_vectors_in_cells(spark, fitted, monkeypatch):
+    """The rows of ``predict``, bit by bit, without a vector per pair in any shuffle."""
+    model, _ = fitted
+    width = model.userFactors.count() + model.itemFactors.count()
+    users, items = spark.range(-3, 320).select(F.col("id").alias("userId")), spark.range(-3, 220).select(F.col("id").alias("movieId"))
+    twice = spark.createDataFrame([(7, 7), (7, 7)], "userId BIGINT, movieId BIGINT")
+    pairs = users.crossJoin(items).unionByName(twice).select(
+        "userId", F.when(F.col("movieId") % 5 != 0, F.concat_ws("-", "userId", "movieId")).alias("note"), "movieId", F.array("movieId").alias("list")
+    )
+    pairs = settle(pairs, "pairs")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "97")
+    try:
+        for shape in (None, (1, 1), (3, 4), (5, 1)):
+            if shape is not None:
+                monkeypatch.setattr(scoring, "grid", lambda *_, s=shape: s)
+            scored = als.predict_stored(model, pairs)
+            assert "MapInArrow" in scored._jdf.queryExecution().executedPlan().toString()
+            told = als.predict(model, pairs)
+            assert scored.columns == told.columns and scored.dtypes == told.dtypes
+            assert scored.exceptAll(told).isEmpty() and told.exceptAll(scored).isEmpty()
+            assert told.count() > 20 * width
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    few = pairs.where("userId = 7")
+    assert "MapInArrow" not in als.predict_stored(model, few)._jdf.queryExecution().executedPlan().toString()
+    assert als.predict_stored(model, pairs.where("false")).isEmpty()
+    for way in (als.predict, als.predict_stored):
+        with pytest.raises(Exception, match="(?i)null"):
+            way(model, pairs.withColumn("userId", F.expr("nullif(userId, 7)"))).collect()
+
+
+def test_grid_bounds_cells_and_prefers_few_copies():
+    assert scoring.grid(10, 10, 50, 1) == (1, 1)
+    parts, blocks = scoring.grid(900_000, 1_200_000, 50, 12)
+    assert parts * blocks >= 12
+    assert scoring.copies(900_000, 1_200_000, (parts, blocks)) <= scoring.copies(900_000, 1_200_000, (12, 1))
+    parts, blocks = scoring.grid(5_400_000, 7_200_000, 50, 12)
+    assert 7_200_000 * 224 / blocks <= scoring.ITEM_BYTES and 5_400_000 * 224 / parts <= scoring.USER_BYTES
