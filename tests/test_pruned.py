@@ -4,6 +4,7 @@ import random
 
 import pytest
 
+from palate.operators import pruned
 from palate.operators.pruned import pruned_top_k
 from palate.operators.tiles import vector_top_k
 
@@ -50,3 +51,11 @@ def test_empty_sides(spark):
     some, none = vectors(spark, 5, "queryId", True, 5), vectors(spark, 5, "id", True, 6).limit(0)
     assert pruned_top_k(some, none, 3).lists.count() == 0
     assert pruned_top_k(none.withColumnRenamed("id", "queryId"), some.withColumnRenamed("queryId", "id"), 3).lists.count() == 0
+
+
+def test_bands_share_blocks():
+    """Short bands that follow each other lie in one block, a long one in several: few copies of queries, few lists."""
+    start, parts, lowest = pruned._blocks([30, 30, 30, 30, 250, 10], 1, 100)
+    assert (start[1:], parts[1:], lowest) == ([0, 0, 0, 1, 4], [1, 1, 1, 3, 1], [1, 4, 4, 4, 5])
+    start, parts, lowest = pruned._blocks([40] * 32, 0, 10_000)
+    assert lowest == [0] and set(start) == {0} and set(parts) == {1}
