@@ -5,6 +5,7 @@ from collections import defaultdict
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from palate.operators import fallback, neighbors, products
 from palate.session import workspace
@@ -71,3 +72,55 @@ def test_neighbours_and_histories_store_no_pairs(spark):
                     scores[u, got[i, n][0]] += x * got[i, n][1]
         history = {(r.userId, r.movieId): r.score for r in fallback.score_by_history(entries, table).collect()}
         assert history.keys() == scores.keys() and all(abs(v - scores[k]) < 1e-8 for k, v in history.items())
+
+
+@pytest.mark.parametrize(
+    "values, kind, width",
+    [
+        ([-3, 4, None, 250], "bigint", 1),
+        ([10**9, 10**9 + 70_000], "int", 3),
+        ([-(2**40), 2**31 - 2**40], "bigint", 4),
+        ([0, 2**40], "bigint", None),
+        ([0.5, 5.0, None, 3.5], "double", 1),
+        ([0.25, 1000.75], "double", 2),
+        ([0.123456, -0.999999, 1.0, 0.3], "double", 3),
+        ([0.1234567, 1.0], "double", None),
+        ([float("nan"), 1.0], "double", None),
+        ([float("inf"), 1.0], "double", None),
+        ([None], "double", None),
+    ],
+)
+def test_lists_hold_numbers_in_few_bytes(spark, values, kind, width):
+    """Every value comes back as it was; numbers that do not fit are held as they are."""
+    df = spark.createDataFrame([(v,) for v in values], f"c {kind}")
+    how = products.packings(df, ["c"])["c"]
+    assert (sum({"tinyint": 1, "smallint": 2}[p] for p in how.parts) or None) == width
+    small = df.select("c", *how.pack(F.col("c")))
+    back = small.select("c", how.unpack([F.col(x) for x in how.columns]).alias("back"))
+    assert back.schema["back"].dataType == df.schema["c"].dataType
+    assert back.where(~F.col("c").eqNullSafe(F.col("back"))).isEmpty()
+
+
+def test_entries_of_all_digits_bring_no_lengths(spark):
+    """Weighted entries travel over their item's length: one number of eight bytes, the same neighbours."""
+    rnd = random.Random(8)
+    rows = [(u, i, rnd.choice([0.0, rnd.random()])) for u in range(40) for i in range(30) if rnd.random() < 0.3]
+    rows += [(u, 99, 0.0) for u in range(5)]  # an item without length
+    entries = spark.createDataFrame(rows, "userId INT, movieId INT, rating DOUBLE")
+    got = {(r.movieId, r.neighborId): r.similarity for r in neighbors.entry_neighbors(entries, 100).collect()}
+    by_item = defaultdict(dict)
+    for u, i, x in rows:
+        by_item[i][u] = x
+    length = {i: sum(x * x for x in v.values()) ** 0.5 for i, v in by_item.items()}
+    want = {}
+    for i in by_item:
+        for j in by_item:
+            both = by_item[i].keys() & by_item[j].keys()
+            if i != j and both:
+                over = length[i] * length[j]
+                want[i, j] = sum(by_item[i][u] * by_item[j][u] for u in both) / over if over else 0.0
+    assert got.keys() == want.keys() and all(abs(got[k] - v) < 1e-6 for k, v in want.items())
+
+
+def test_owned_sums_are_few_enough_not_to_spill():
+    assert products.PER_OWNER <= 1_000_000
