@@ -22,6 +22,10 @@ BUCKET_LENGTH = 1.2
 HASH_TABLES = 3
 COS_THRESHOLD = 0.60
 
+#: Vectors in a part of a bucket, and pairs that a tile holds before it keeps each item's best.
+BUCKET_ROWS = 32_768
+HELD_PAIRS = 2_000_000
+
 ORDER = (F.desc, "similarity"), (F.asc, "neighborId")
 
 
@@ -91,6 +95,15 @@ def factor_neighbors(factors: DataFrame, top_n: int = TOP_N, **blocks) -> DataFr
     )
 
 
+def _nearest(found: list[tuple], top_n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The ``top_n`` nearest of each item, nearest first, ties to the smaller id."""
+    one, two, near = (np.concatenate(x) for x in zip(*found, strict=True))
+    order = np.lexsort((two, -np.round(near, SCORE_DIGITS), one))
+    place = np.arange(order.size) - np.searchsorted(one[order], one[order])
+    best = order[place < top_n]
+    return one[best], two[best], near[best]
+
+
 def _bucket_tile(top_n: int | None, radius: float):
     schema = pa.schema([("movieId", pa.int64()), ("neighborId", pa.int64()), ("similarity", pa.float64())])
 
@@ -103,34 +116,34 @@ def _bucket_tile(top_n: int | None, radius: float):
         a, b = ids[left], ids[right]
         am, bm = m[left], m[right]
         lengths_b = (bm * bm).sum(axis=1)
-        found = []
+        found, held = [], 0
+        both_ways = not (side == 1).any()
         strip = max(1, 4_000_000 // max(1, len(b)))
         for at in range(0, len(a), strip):
             part = am[at : at + strip]
             squared = (part * part).sum(axis=1)[:, None] + lengths_b[None, :] - 2.0 * (part @ bm.T)
             r, c = np.nonzero(squared < radius * radius)
             near = 1.0 - np.maximum(squared[r, c], 0.0) / 2.0
-            found.append((a[at + r], b[c], near))
-        one = np.concatenate([f[0] for f in found])
-        two = np.concatenate([f[1] for f in found])
-        near = np.concatenate([f[2] for f in found])
+            one, two = a[at + r], b[c]
+            keep = one != two
+            one, two, near = one[keep], two[keep], near[keep]
+            found.append((one, two, near))
+            if both_ways:
+                found.append((two, one, near))
+            held += len(near) * (1 + both_ways)
+            if top_n is not None and held > HELD_PAIRS:
+                found = [_nearest(found, top_n)]
+                held = len(found[0][0])
+        if top_n is not None:
+            return pa.Table.from_arrays([pa.array(x) for x in _nearest(found, top_n)], schema=schema)
+        one, two, near = (np.concatenate(x) for x in zip(*found, strict=True))
         del found
-        keep = one != two
-        one, two, near = one[keep], two[keep], near[keep]
-        if not (side == 1).any():
-            one, two = np.concatenate([one, two]), np.concatenate([two, one])
-            near = np.concatenate([near, near])
-        if top_n is None:
-            if len(np.unique(a)) < len(a) or len(np.unique(b)) < len(b):  # an id's rows are all in this tile
-                order = np.lexsort((-near, two, one))
-                one, two, near = one[order], two[order], near[order]
-                first = np.append(True, (one[1:] != one[:-1]) | (two[1:] != two[:-1]))[: len(one)]
-                one, two, near = one[first], two[first], near[first]
-            return pa.Table.from_arrays([pa.array(x) for x in (one, two, near)], schema=schema)
-        order = np.lexsort((two, -np.round(near, SCORE_DIGITS), one))
-        place = np.arange(order.size) - np.searchsorted(one[order], one[order])
-        best = order[place < top_n]
-        return pa.Table.from_arrays([pa.array(x[best]) for x in (one, two, near)], schema=schema)
+        if len(np.unique(a)) < len(a) or len(np.unique(b)) < len(b):  # an id's rows are all in this tile
+            order = np.lexsort((-near, two, one))
+            one, two, near = one[order], two[order], near[order]
+            first = np.append(True, (one[1:] != one[:-1]) | (two[1:] != two[:-1]))[: len(one)]
+            one, two, near = one[first], two[first], near[first]
+        return pa.Table.from_arrays([pa.array(x) for x in (one, two, near)], schema=schema)
 
     return pairs_within
 
@@ -171,7 +184,7 @@ def radius_pairs(factors: DataFrame, cos_threshold: float, bucket_rows: int | No
     """
     n, width = factors.agg(F.count(F.lit(1)), F.max(F.size("features"))).first()
     slots = 4 * parallelism(factors.sparkSession)
-    parts = ceil(max(1, n) / bucket_rows) if bucket_rows else block_count(n, rows_per_block(width), slots)
+    parts = ceil(max(1, n) / bucket_rows) if bucket_rows else block_count(n, min(BUCKET_ROWS, rows_per_block(width)), slots)
     unit = with_unit_vector(factors.where(F.col("features").isNotNull()), "features", "unit_vec")
     members = unit.select(
         F.col("id").cast("bigint").alias("id"),
@@ -214,7 +227,7 @@ def lsh_neighbors(
         F.posexplode("hashes").alias("table", "hash"),
     ).withColumn("bucket", vector_to_array("hash")[0].cast("bigint")).drop("hash")
     if bucket_rows is None:
-        bucket_rows = rows_per_block(factors.agg(F.max(F.size("features"))).first()[0])
+        bucket_rows = min(BUCKET_ROWS, rows_per_block(factors.agg(F.max(F.size("features"))).first()[0]))
     # Every bucket with more rows than one part holds; stored, so the join is planned by its size.
     sizes = members.groupBy("table", "bucket").agg(F.count(F.lit(1)).alias("size"))
     full = settle(sizes.where(F.col("size") > bucket_rows), "full-buckets")

@@ -346,3 +346,25 @@ def test_a_favourite_is_multiplied_once_for_all(spark, monkeypatch):
     liked = spark.createDataFrame([(q, q % 3) for q in range(90)], "queryId BIGINT, movieId BIGINT")
     assert favorites.recommend_near_items(liked, factors, 4).count() == 360
     assert asked == [3]
+
+
+@pytest.mark.parametrize("one_side", [True, False])
+def test_a_full_bucket_keeps_only_the_best_pairs(monkeypatch, one_side):
+    """Where all vectors of a bucket are near, a tile holds few pairs at once, and the same come out."""
+    rng = np.random.default_rng(2)
+    m = tiles._unit(1.0 + 0.1 * rng.random((1500, 6)))
+    side = np.where(np.arange(1500) < 700, 0, 2) if not one_side else np.ones(1500, int)
+    table = pa.table({"side": side, "id": np.arange(1500), "unit": pa.array(list(m))})
+    want = neighbors._bucket_tile(3, 1.0)(table)
+    monkeypatch.setattr(neighbors, "HELD_PAIRS", 20_000)
+    most, real = [], neighbors._nearest
+    monkeypatch.setattr(neighbors, "_nearest", lambda found, n: most.append(sum(len(x[0]) for x in found)) or real(found, n))
+    monkeypatch.setattr(neighbors, "max", lambda *a: min(20, max(*a)), raising=False)  # strips of a few rows
+    got = neighbors._bucket_tile(3, 1.0)(table)
+    assert len(most) > 5 and max(most) < 200_000
+    assert got.select(["movieId", "neighborId"]).equals(want.select(["movieId", "neighborId"])) and got.num_rows == 3 * 1500
+    assert np.allclose(got["similarity"], want["similarity"], atol=1e-9)
+    squared = m @ m.T if one_side else np.where((np.arange(1500) < 700)[:, None] != (np.arange(1500) < 700)[None, :], m @ m.T, -1.0)
+    np.fill_diagonal(squared, -1.0)
+    near = {(i, int(j)) for i in range(1500) for j in np.lexsort((np.arange(1500), -np.round(squared[i], 6)))[:3]}
+    assert {*zip(got["movieId"].to_pylist(), got["neighborId"].to_pylist(), strict=True)} == near
