@@ -317,3 +317,40 @@ def test_grid_bounds_cells_and_prefers_few_copies():
     assert scoring.copies(900_000, 1_200_000, (parts, blocks)) <= scoring.copies(900_000, 1_200_000, (12, 1))
     parts, blocks = scoring.grid(5_400_000, 7_200_000, 50, 12)
     assert 7_200_000 * 224 / blocks <= scoring.ITEM_BYTES and 5_400_000 * 224 / parts <= scoring.USER_BYTES
+
+
+def test_blocks_grow_with_the_ratings(spark, monkeypatch):
+    """Ten blocks, unless these would hold too many ratings; then Spark's own tables lie on disk."""
+    rows = spark.createDataFrame([(u, i, 3.0) for u in range(20) for i in range(6)], "userId INT, movieId INT, rating FLOAT")
+    of = lambda s: als._sized(s, rows)
+    assert of(als.AlsSettings()).getNumUserBlocks() == 10 and of(als.AlsSettings()).getIntermediateStorageLevel() == "MEMORY_AND_DISK"
+    monkeypatch.setattr(als, "BLOCK_RATINGS", 10)
+    large = of(als.AlsSettings())
+    assert (large.getNumUserBlocks(), large.getNumItemBlocks(), large.getIntermediateStorageLevel(), large.getFinalStorageLevel()) == (
+        12, 12, "DISK_ONLY", "DISK_ONLY")
+    assert of(als.AlsSettings(blocks=3)).getNumUserBlocks() == 3
+    assert als.fit(rows, als.AlsSettings(rank=2, max_iter=2, dup_policy="none")).userFactors.count() == 20
+
+
+def test_a_fit_frees_what_it_shuffled_soon():
+    assert als.AlsSettings().checkpoint_every <= 2
+
+
+def test_grid_fits_of_many_ratings_run_one_by_one(spark, monkeypatch):
+    rows = spark.createDataFrame([(u, i, float(1 + (u + i) % 5)) for u in range(12) for i in range(8)], "userId INT, movieId INT, rating DOUBLE")
+    running, most, real = [], [], als.fit_and_score
+
+    def counted(*a):
+        running.append(1)
+        most.append(len(running))
+        try:
+            return real(*a)
+        finally:
+            running.pop()
+
+    monkeypatch.setattr(als, "fit_and_score", counted)
+    monkeypatch.setattr(als, "GRID_RATINGS", 96)
+    outcome = als.grid_search(rows, rows, (1, 2), (0.1, 1.0), als.AlsSettings(max_iter=1))
+    assert max(most) == 1 and len(most) == 4
+    best = min((r.rmse, r.seq) for r in outcome.results.collect())
+    assert (outcome.rmse, outcome.settings.rank) == (best[0], (1, 1, 2, 2)[best[1]])
